@@ -76,7 +76,7 @@ def exact_quantiles(
     counted = counted if keys else counted.withColumn("_all", F.lit(0))
     summed = materialise(running_total(counted, totals_key, ["_value"], F.col("_n"), "_upto", slabs), "value-ranks")
     totals = materialise(summed.groupBy(*totals_key).agg(F.sum("_n").alias("_total")), "totals")
-    ranked = balanced_join(summed, totals, totals_key, "inner", ["_value"])
+    ranked = balanced_join(summed, totals, totals_key, "inner", ["_value"], nulls_match=True)
     wanted = ranked.withColumn(
         "probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
     ).withColumn("_at", F.col("probability") * (F.col("_total") - 1))

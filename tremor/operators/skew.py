@@ -25,6 +25,14 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str]):
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
+def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str, nulls_match: bool) -> DataFrame:
+    if not nulls_match:
+        return left.join(right, keys, how)
+    marked = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(marked, condition, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def balanced_join(
     left: DataFrame,
     right: DataFrame,
@@ -34,6 +42,7 @@ def balanced_join(
     limit: int | None = None,
     rows_per_split: int | None = None,
     small: bool | None = None,
+    nulls_match: bool = False,
 ) -> DataFrame:
     """Equi-join of a large, possibly skewed ``left`` with a ``right`` of few rows per key.
 
@@ -43,7 +52,8 @@ def balanced_join(
     left rows get a salt from a hash of the ``spread`` columns, and the right
     rows of that key are repeated once per salt.
 
-    ``how`` is inner, left, left_semi or left_anti; NULL keys match nothing.
+    ``how`` is inner, left, left_semi or left_anti; NULL keys match nothing
+    unless ``nulls_match``.
     ``small`` passes on the result of an earlier :func:`is_small` check of ``right``.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -51,7 +61,7 @@ def balanced_join(
     if small is None:
         small = is_small(right, limit)
     if small:
-        return left.join(F.broadcast(right), keys, how)
+        return _join(left, F.broadcast(right), keys, how, nulls_match)
     per = ROWS_PER_SPLIT if rows_per_split is None else rows_per_split
     heavy = materialise(
         left.groupBy(*keys)
@@ -62,17 +72,17 @@ def balanced_join(
     )
     if not is_small(heavy, limit):
         # So many heavy keys that no single one dominates; the shuffle is balanced.
-        return left.join(right, keys, how)
+        return _join(left, right, keys, how, nulls_match)
     heavy = F.broadcast(heavy)
     spread = spread or [f.name for f in left.schema.fields if f.name not in keys and f.dataType.typeName() != "map"]
-    salted_left = left.join(heavy, keys, "left").withColumn(
+    salted_left = _join(left, heavy, keys, "left", nulls_match).withColumn(
         "_salt", F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_splits")), F.lit(0).cast("bigint"))
     ).drop("_splits")
-    salted_right = right.join(heavy, keys, "left").withColumn(
+    salted_right = _join(right, heavy, keys, "left", nulls_match).withColumn(
         "_salt",
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_splits").cast("bigint"), F.lit(1).cast("bigint")) - 1)),
     ).drop("_splits")
-    return salted_left.join(salted_right, keys + ["_salt"], how).drop("_salt")
+    return _join(salted_left, salted_right, keys + ["_salt"], how, nulls_match).drop("_salt")
 
 
 def attach_group_stats(df: DataFrame, keys: list[str], aggregates: list, spread: list[str] | None = None) -> DataFrame:

@@ -61,14 +61,14 @@ def high_risk(df: DataFrame, threshold: float = 0.7) -> DataFrame:
     ).orderBy(F.desc("avg_risk_score"), "geographic_zone", "magnitude_category")
 
 
-def cell_analysis(df: DataFrame) -> DataFrame:
-    """Per coarse cell and zone, with the share of all events."""
+def cell_analysis(df: DataFrame, digits: tuple[int, int, int] = (2, 1, 3)) -> DataFrame:
+    """Per coarse cell and zone, with the share of all events. ``digits`` rounds magnitude, depth and risk."""
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     return df.groupBy(
         F.coalesce("earthquake_cluster", F.lit(-1)).alias("earthquake_cluster"), "geographic_zone"
     ).agg(
-        F.count(F.lit(1)).alias("cluster_size"), _mean("magnitude", 2, "avg_magnitude"), _mean("depth", 1, "avg_depth"),
-        _mean("risk_score", 3, "avg_risk"),
+        F.count(F.lit(1)).alias("cluster_size"), _mean("magnitude", digits[0], "avg_magnitude"),
+        _mean("depth", digits[1], "avg_depth"), _mean("risk_score", digits[2], "avg_risk"),
     ).withColumn("percentage", F.col("cluster_size") * 100.0 / total)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tremor.functions.temporal import within
 from tremor.operators.dedup import first_per_key
 from tremor.operators.filters import optional_filters
 
@@ -52,3 +53,14 @@ def hazard_zones(zones: DataFrame, risk_level: str | None = None, limit: int = 1
 def viewing_rows(df: DataFrame, limit: int = 10_000) -> DataFrame:
     """A bounded set of rows for plotting, in id order."""
     return df.filter("magnitude is not null").orderBy("id").limit(limit)
+
+
+def recent_depth_stats(enhanced: DataFrame, as_of, days: int = 30, digits: int = 2) -> DataFrame:
+    """Statistics by depth category of the last days before ``as_of``."""
+    recent = enhanced.filter(within(F.col("datetime_local"), as_of, f"{days} DAYS"))
+    return recent.groupBy("depth_category").agg(
+        F.count(F.lit(1)).alias("event_count"),
+        *[F.round(f(c), digits).alias(n) for n, f, c in (
+            ("avg_magnitude", F.avg, "magnitude"), ("max_magnitude", F.max, "magnitude"), ("min_depth", F.min, "depth"),
+            ("max_depth", F.max, "depth"), ("avg_hazard_score", F.avg, "hazard_score"))],
+    ).orderBy(F.desc("event_count"), "depth_category")
