@@ -51,7 +51,7 @@ class Tables:
 
     @cached_property
     def stored(self) -> dict[str, DataFrame]:
-        return master.tables(self.catalog)
+        return master.stored_tables(self.processed, materialise(master.cluster(self.processed, labels=self.labels), "clusters"))
 
     @property
     def clusters(self) -> DataFrame:

@@ -205,11 +205,11 @@ _histogram("a25_hazard_histogram", "hazard_score", 25, "enhanced", "enh", ENH)
 
 
 def _boxes(name: str, group: str, value: str) -> None:
-    parts = ", ".join(f"{r(f'quantile_cont({value},{p})')} AS {n}" for n, p in (("low", 0), ("q1", 0.25), ("median", 0.5), ("q3", 0.75), ("high", 1)))
+    parts = ", ".join(f"{r(f'quantile_cont({value},{p})', 9)} AS {n}" for n, p in (("low", 0), ("q1", 0.25), ("median", 0.5), ("q3", 0.75), ("high", 1)))
 
     @query(name, f"WITH {PROC} SELECT {group}, {parts} FROM proc GROUP BY 1")
     def run(t: Tables):
-        return rounded(charts.five_numbers(t.processed, group, value), "low", "q1", "median", "q3", "high")
+        return rounded(charts.five_numbers(t.processed, group, value), "low", "q1", "median", "q3", "high", digits=9)
 
 
 _boxes("a26_depth_by_region", "region", "depth")
@@ -246,9 +246,9 @@ def _(t: Tables):
     return ranks.select(F.explode(F.array(*MEDIANS)).alias("x")).select("x.*")
 
 
-@query("a30_exact_medians", f"WITH {EV} SELECT " + ", ".join(f"{r(f'median({m})')} AS {m}" for m in MEDIANS) + " FROM ev")
+@query("a30_exact_medians", f"WITH {EV} SELECT " + ", ".join(f"{r(f'median({m})', 9)} AS {m}" for m in MEDIANS) + " FROM ev")
 def _(t: Tables):
-    return rounded(exact_medians(t.catalog, MEDIANS), *MEDIANS)
+    return rounded(exact_medians(t.catalog, MEDIANS), *MEDIANS, digits=9)
 
 
 CLUSTERING = ["longitude", "latitude", "depth", "magnitude", "hazard_score", "intensity_score"]

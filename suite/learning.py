@@ -1 +1,182 @@
+"""Feature pipelines, classifiers, metrics, K-Means."""
 
+from __future__ import annotations
+
+
+from pyspark.sql import functions as F
+
+from suite.base import Tables, query, rounded
+from suite.sql import CLUSTERS, EV, PROC, r
+from tremor.functions.scores import with_extended_features
+from tremor.learning import metrics, models, prepare, split
+from tremor.sources import sinks
+
+c = F.col
+_kept: dict = {}
+
+
+def kept(t: Tables, name: str, make):
+    """Compute a fitted model once per set of tables."""
+    key = (id(t), name)
+    if key not in _kept:
+        _kept[key] = make()
+    return _kept[key]
+
+
+def features(t: Tables):
+    return kept(t, "features", lambda: prepare.fit_features(t.features))
+
+
+def comparison(t: Tables):
+    return kept(t, "comparison", lambda: models.compare_models(t.training, trees=20))
+
+
+def guesses(t: Tables):
+    """A fixed rule as prediction, to check the metrics by value."""
+    from tremor.functions.classify import cluster_risk
+
+    rows = t.processed.join(t.clusters.select("id", "risk_zone"), "id")
+    return rows.select(c("risk_zone").alias("label"), cluster_risk(c("magnitude")).alias("prediction"))
+
+
+GUESS = """g AS (SELECT clus.risk_zone AS label, CASE WHEN magnitude>=6.5 THEN 'Extreme' WHEN magnitude>=5.5 THEN 'High' WHEN magnitude>=4.5 THEN 'Moderate' ELSE 'Low' END AS prediction FROM proc JOIN clus USING (id)),
+ k AS (SELECT DISTINCT label AS class FROM g UNION SELECT DISTINCT prediction FROM g),
+ pc AS (SELECT class, (SELECT count(*) FROM g WHERE label=class) AS support, (SELECT count(*) FROM g WHERE prediction=class) AS guessed, (SELECT count(*) FROM g WHERE prediction=class AND label=class) AS hit FROM k),
+ rep AS (SELECT class, support, CASE WHEN guessed=0 THEN 0 ELSE hit/guessed END AS p, CASE WHEN support=0 THEN 0 ELSE hit/support END AS rc, hit FROM pc),
+ rep2 AS (SELECT *, CASE WHEN p+rc=0 THEN 0 ELSE 2*p*rc/(p+rc) END AS f FROM rep)"""
+
+
+@query("l1_median_imputation", f"WITH {EV}, h AS (SELECT id, CASE WHEN tsunami=0 THEN depth END AS depth, CASE WHEN alert IS NOT NULL THEN magnitude END AS magnitude FROM ev) SELECT id, {r('coalesce(depth, median(depth) OVER ())', 9)} AS depth, {r('coalesce(magnitude, median(magnitude) OVER ())', 9)} AS magnitude FROM h")
+def _(t: Tables):
+    holes = t.catalog.select("id", F.when(c("tsunami") == 0, c("depth")).alias("depth"), F.when(c("alert").isNotNull(), c("magnitude")).alias("magnitude"))
+    return rounded(prepare.impute_medians(holes, ["depth", "magnitude"]), "depth", "magnitude", digits=9)
+
+
+@query("l2_encoded_categories")
+def _(t: Tables):
+    _, rows = features(t)
+    return rows.select("id", *[x for x in rows.columns if x.endswith("_index")])
+
+
+@query("l3_feature_vectors")
+def _(t: Tables):
+    from pyspark.ml.functions import vector_to_array
+
+    _, rows = features(t)
+    return rows.select("id", F.size(vector_to_array("features_raw")).alias("width"))
+
+
+@query("l4_scaled_features")
+def _(t: Tables):
+    """Mean and deviation of the first scaled columns, which must be 0 and 1."""
+    from pyspark.ml.functions import vector_to_array
+
+    _, rows = features(t)
+    v = rows.select(vector_to_array("features_scaled").alias("v"))
+    return v.agg(*[F.round(f(c("v")[i]), 6).alias(f"{n}_{i}") for i in range(4) for n, f in (("mean", F.avg), ("std", F.stddev))])
+
+
+@query("l5_principal_components")
+def _(t: Tables):
+    from pyspark.ml.functions import vector_to_array
+
+    _, rows = features(t)
+    return rows.select("id", vector_to_array("features_pca").alias("components"))
+
+
+@query("l7_label_encoding", f"WITH RECURSIVE {CLUSTERS}, n AS (SELECT risk_zone, (row_number() OVER (ORDER BY risk_zone)-1)::DOUBLE AS label FROM (SELECT DISTINCT risk_zone FROM clus)) SELECT id, risk_zone, label FROM clus JOIN n USING (risk_zone)")
+def _(t: Tables):
+    return models.encode_labels(t.clusters.select("id", "risk_zone"))
+
+
+@query("l8_stratified_split", f"WITH {PROC} SELECT region, count(*) AS \"rows\", round(count(*)*0.2::DOUBLE)::BIGINT AS test_rows FROM proc GROUP BY 1")
+def _(t: Tables):
+    marked = split.stratified_split(t.processed.select("id", "region"), "region", 0.2)
+    return marked.groupBy("region").agg(F.count(F.lit(1)).alias("rows"), F.count_if("is_test").alias("test_rows"))
+
+
+@query("l9_random_forest")
+def _(t: Tables):
+    return comparison(t)[1].filter("model_name = 'RandomForest'")
+
+
+@query("l10_logistic_regression")
+def _(t: Tables):
+    return comparison(t)[1].filter("model_name = 'LogisticRegression'")
+
+
+@query("l11_grid_search")
+def _(t: Tables):
+    """A reduced grid; the full one is the default of the library function."""
+    rows = with_extended_features(t.training.drop("is_test"))
+    found = models.search(rows, grid={"numTrees": [5, 10], "maxDepth": [4], "minInstancesPerNode": [1, 4]}, folds=3)
+    table = [({p.name: str(v) for p, v in m.items()}, float(s)) for m, s in zip(found.getEstimatorParamMaps(), found.avgMetrics)]
+    return t.spark.createDataFrame(table, "settings map<string,string>, f1_weighted double").select(
+        F.to_json("settings").alias("settings"), "f1_weighted")
+
+
+@query("l11_stratified_folds", f"WITH {PROC}, n AS (SELECT region, count(*) AS n FROM proc GROUP BY 1) SELECT region, f::INTEGER AS fold, (n//5 + CASE WHEN f < n%5 THEN 1 ELSE 0 END) AS \"rows\" FROM n, range(5) g(f)")
+def _(t: Tables):
+    return split.stratified_folds(t.processed.select("id", "region"), "region", 5).groupBy("region", "fold").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("l12_weighted_metrics", f"WITH RECURSIVE {CLUSTERS}, {GUESS} SELECT {r('sum(hit)/sum(support)')} AS accuracy, {r('sum(p*support)/sum(support)')} AS precision, {r('sum(rc*support)/sum(support)')} AS recall, {r('sum(f*support)/sum(support)')} AS f1_score FROM rep2")
+def _(t: Tables):
+    return rounded(metrics.weighted_metrics(guesses(t)), "accuracy", "precision", "recall", "f1_score")
+
+
+CLASSES = ["Extreme", "High", "Low", "Moderate"]
+
+
+@query("l13_confusion_matrix", f"WITH RECURSIVE {CLUSTERS}, {GUESS} SELECT label, " + ", ".join(f"count(*) FILTER (WHERE prediction='{k}') AS \"{k}\"" for k in CLASSES) + " FROM g GROUP BY 1")
+def _(t: Tables):
+    return metrics.confusion_matrix(guesses(t), CLASSES)
+
+
+@query("l13_class_report", f"WITH RECURSIVE {CLUSTERS}, {GUESS} SELECT class, {r('p')} AS precision, {r('rc')} AS recall, {r('f')} AS f1_score, support FROM rep2")
+def _(t: Tables):
+    return rounded(metrics.class_report(guesses(t)).drop("hit"), "precision", "recall", "f1_score")
+
+
+@query("l14_feature_importances")
+def _(t: Tables):
+    return models.feature_importances(t.spark, comparison(t)[0]["RandomForest"])
+
+
+@query("k7_top_features")
+def _(t: Tables):
+    return models.top_features(models.feature_importances(t.spark, comparison(t)[0]["RandomForest"]))
+
+
+@query("l15_best_model")
+def _(t: Tables):
+    return models.best_model(comparison(t)[1])
+
+
+@query("l16_scored_clusters")
+def _(t: Tables):
+    return models.score(t.clusters, t.processed, comparison(t)[0]["RandomForest"]).select("id", "cluster_id", "risk_zone", "probability")
+
+
+@query("l16_scored_without_model", f"WITH RECURSIVE {CLUSTERS} SELECT id, risk_zone FROM clus")
+def _(t: Tables):
+    return models.score(t.clusters.drop("risk_zone"), t.processed, None).select("id", "risk_zone")
+
+
+@query("l17_saved_model")
+def _(t: Tables):
+    path = sinks.scratch_path(t.catalog, "model")
+    models.save(comparison(t)[0]["LogisticRegression"], path)
+    return models.score(t.clusters, t.processed, models.load(path)).groupBy("risk_zone").count()
+
+
+@query("g3_k_means_silhouettes")
+def _(t: Tables):
+    return kept(t, "k_means", lambda: models.choose_k_means(features(t)[1]))[1]
+
+
+@query("a4_k_means_profile")
+def _(t: Tables):
+    rows = features(t)[1]
+    model, _ = kept(t, "k_means", lambda: models.choose_k_means(rows))
+    return models.k_means_profile(model.transform(rows))

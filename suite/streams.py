@@ -1 +1,43 @@
+"""Streaming ingestion, run until the available files are consumed."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from suite.base import Tables, query
+from suite.sql import EV
+from tremor.sources import sinks
+from tremor.sources.geojson import to_features
+from tremor.streaming.ingest import read_feature_stream, start_ingest, transform_features
+
+VALID = "magnitude > 0 AND latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180"
+SHOWN = ["id", "magnitude", "place", "longitude", "latitude", "depth"]
+
+
+def landed(t: Tables) -> str:
+    path = sinks.scratch_path(t.catalog, "landing")
+    to_features(t.catalog).repartition(4, "id").write.json(path)
+    return path
+
+
+def ingested(t: Tables, files_per_trigger: int | None = None):
+    stream = transform_features(read_feature_stream(t.spark, landed(t), files_per_trigger))
+    out = sinks.scratch_path(t.catalog, "ingested")
+    running = start_ingest(stream, sinks.scratch_path(t.catalog, "progress"), out, available_now=True)
+    running.awaitTermination()
+    return t.spark.read.schema(stream.schema).parquet(out)
+
+
+@query("r1_stream_ingest", f"WITH {EV} SELECT {', '.join(SHOWN)}, epoch_us(time)//1000 AS time_ms FROM ev WHERE {VALID}")
+def _(t: Tables):
+    return ingested(t).select(*SHOWN, F.unix_millis("time").alias("time_ms"))
+
+
+@query("s15_stream_source", f"WITH {EV} SELECT count(*) AS events, count(DISTINCT id) AS ids FROM ev WHERE {VALID}")
+def _(t: Tables):
+    return ingested(t, files_per_trigger=1).agg(F.count(F.lit(1)).alias("events"), F.countDistinct("id").alias("ids"))
+
+
+@query("s16_stream_sink", f"WITH {EV} SELECT id, true AS stamped FROM ev WHERE {VALID}")
+def _(t: Tables):
+    return ingested(t).select("id", F.col("processed_at").isNotNull().alias("stamped"))

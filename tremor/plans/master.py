@@ -46,13 +46,16 @@ def process(catalog: DataFrame, grid: float = GRID_SIZE, edge: str = "first") ->
     )
 
 
-def cluster(processed: DataFrame, eps: float = DBSCAN_EPS, min_samples: int = DBSCAN_MIN_SAMPLES) -> DataFrame:
+def cluster(
+    processed: DataFrame, eps: float = DBSCAN_EPS, min_samples: int = DBSCAN_MIN_SAMPLES, labels: DataFrame | None = None
+) -> DataFrame:
     """Clustered events with their cluster's summary and seed risk zone; noise is left out.
 
-    ``processed`` should be a written table.
+    ``processed`` should be a written table. ``labels`` passes on an earlier clustering of it.
     """
     require_columns(processed, ["id", "latitude", "longitude", "magnitude", "depth", "spatial_density", "hazard_score"])
-    numbered = without_noise(dbscan(processed, eps, min_samples)).select("id", "cluster_id")
+    labels = dbscan(processed, eps, min_samples) if labels is None else labels
+    numbered = without_noise(labels).select("id", "cluster_id")
     events = materialise(
         processed.select("id", "latitude", "longitude", "magnitude").join(numbered, "id"), "clustered"
     )
@@ -65,7 +68,10 @@ def cluster(processed: DataFrame, eps: float = DBSCAN_EPS, min_samples: int = DB
 def tables(catalog: DataFrame, eps: float = DBSCAN_EPS, min_samples: int = DBSCAN_MIN_SAMPLES) -> dict[str, DataFrame]:
     """The four stored tables of a run, written once and read back."""
     processed = materialise(process(catalog).select(*PROCESSED_COLUMNS), "processed")
-    clusters = materialise(cluster(processed, eps, min_samples), "clusters")
+    return stored_tables(processed, materialise(cluster(processed, eps, min_samples), "clusters"))
+
+
+def stored_tables(processed: DataFrame, clusters: DataFrame) -> dict[str, DataFrame]:
     return {
         "earthquakes_processed": processed,
         "earthquake_clusters": clusters,

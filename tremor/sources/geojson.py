@@ -9,9 +9,10 @@ from tremor.functions.temporal import from_millis
 from tremor.schemas import FEATURE_COLLECTION
 
 
-def read_collections(spark: SparkSession, path: str) -> DataFrame:
-    """Feature-collection files. One file is one record, so land many moderate files."""
-    return spark.read.schema(FEATURE_COLLECTION).option("multiLine", True).json(path)
+def read_collections(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
+    """Feature collections. A file that is one big document is read by one task, so land many
+    moderate files, or one collection per line with ``one_per_file=False``."""
+    return spark.read.schema(FEATURE_COLLECTION).option("multiLine", one_per_file).json(path)
 
 
 def catalog_columns(feature: str) -> list[Column]:
