@@ -29,15 +29,15 @@ class Tables:
     def catalog(self) -> DataFrame:
         return catalog_from_events(self.spark.read.parquet(f"{self.folder}/events.parquet"))
 
-    @property
+    @cached_property
     def enhanced(self) -> DataFrame:
         return etl.enhance(self.catalog)
 
-    @property
+    @cached_property
     def features(self) -> DataFrame:
         return etl.with_features(etl.clean(self.catalog))
 
-    @property
+    @cached_property
     def evaluated(self) -> DataFrame:
         return evaluation.derive(self.catalog)
 

@@ -10,6 +10,7 @@ from tremor.learning.prepare import exact_medians, z_scores
 from tremor.operators import charts, hazard, maintain, stats
 from tremor.functions.temporal import within
 from tremor.plans import evaluation
+from tremor.workspace import constants
 
 c = F.col
 
@@ -236,8 +237,7 @@ MEDIANS = ["magnitude", "depth", "felt", "cdi", "mmi", "sig", "nst", "dmin", "rm
     f"SELECT '{m}' AS \"column\", count({m}) AS present, true AS within_tolerance FROM ev" for m in MEDIANS))
 def _(t: Tables):
     """The approximate median may be any value whose rank is within the tolerance, so the rank is checked."""
-    approx = stats.approximate_medians(t.catalog, MEDIANS, 100)
-    values = {m: approx.select(m).scalar() for m in MEDIANS}
+    values = constants(stats.approximate_medians(t.catalog, MEDIANS, 100))
     ranks = t.catalog.agg(*[
         F.struct(
             F.lit(m).alias("column"), F.count(m).alias("present"),

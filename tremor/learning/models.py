@@ -18,7 +18,7 @@ from tremor.learning.metrics import weighted_metrics, with_gap
 from tremor.learning.prepare import impute_medians
 from tremor.learning.split import stratified_folds, stratified_split
 from tremor.operators.filters import labelled
-from tremor.workspace import materialise
+from tremor.workspace import constants, materialise
 
 SEED = 42
 
@@ -48,8 +48,8 @@ def encode_labels(rows: DataFrame, column: str = "risk_zone") -> DataFrame:
 def with_class_weights(rows: DataFrame) -> DataFrame:
     """Weight n / (classes * class size). The class table is as small as the set of risk zones."""
     sizes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("_size"))
-    weights = sizes.withColumn("weight", rows.agg(F.count(F.lit(1)).alias("n")).scalar()
-                               / (rows.agg(F.countDistinct("label").alias("k")).scalar() * F.col("_size")))
+    whole = constants(sizes.agg(F.sum("_size").alias("n"), F.count(F.lit(1)).alias("k")))
+    weights = sizes.withColumn("weight", whole["n"] / (whole["k"] * F.col("_size")))
     return rows.join(F.broadcast(weights.drop("_size")), "label")
 
 

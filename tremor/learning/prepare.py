@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tremor import constants as K
 from tremor.operators.ranking import column_quantiles
 from tremor.operators.stats import population_moments
-from tremor.workspace import materialise
+from tremor.workspace import constants, materialise
 
 NUMERIC = [
     "magnitude", "depth", "latitude", "longitude", "felt", "cdi", "mmi", "sig", "nst", "dmin", "rms", "gap",
@@ -37,10 +37,10 @@ def exact_medians(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def impute_medians(df: DataFrame, columns: list[str]) -> DataFrame:
     """NULLs become the exact median of the column, or 0 where a column is all NULL."""
-    medians = materialise(exact_medians(df, columns), "medians")
+    medians = constants(exact_medians(df, columns))
     kinds = {f.name: f.dataType for f in df.schema.fields}
     return df.withColumns({
-        c: F.coalesce(F.col(c), F.coalesce(medians.select(c).scalar(), F.lit(0.0)).cast(kinds[c])) for c in columns
+        c: F.coalesce(F.col(c), F.coalesce(medians[c], F.lit(0.0)).cast(kinds[c])) for c in columns
     })
 
 
@@ -53,12 +53,11 @@ def z_scores(df: DataFrame, columns: dict[str, str] | None = None) -> DataFrame:
     """(x - mean) / population deviation, NULL as 0 first; a constant column gives 0."""
     columns = columns or NORMALISED
     filled = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns])
-    moments = population_moments(filled, list(columns))
+    moments = constants(population_moments(filled, list(columns)))
     added = {}
     for c, name in columns.items():
-        mean, std = (moments.select(f"{c}_{k}").scalar() for k in ("mean", "std"))
-        centred = F.coalesce(F.col(c).cast("double"), F.lit(0.0)) - mean
-        added[name] = F.coalesce(F.try_divide(centred, std), F.lit(0.0))
+        centred = F.coalesce(F.col(c).cast("double"), F.lit(0.0)) - moments[f"{c}_mean"]
+        added[name] = F.coalesce(F.try_divide(centred, moments[f"{c}_std"]), F.lit(0.0))
     return df.withColumns(added)
 
 

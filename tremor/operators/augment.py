@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tremor.workspace import constants
+
 NOISY = ("longitude", "latitude", "depth", "magnitude")
 
 
@@ -34,12 +36,12 @@ def augment(
 
     ``label`` becomes the ``data_source`` of the copies.
     """
-    spread = df.agg(*[F.stddev(c).alias(c) for c in NOISY])
+    spread = constants(df.agg(*[F.stddev(c).alias(c) for c in NOISY]))
     repeated = df.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     copied = F.col("_copy") > 0
     changes = {
         c: F.when(
-            copied, F.col(c) + _normal(seed, F.col("id"), F.col("_copy"), F.lit(c)) * spread.select(c).scalar() * scale
+            copied, F.col(c) + _normal(seed, F.col("id"), F.col("_copy"), F.lit(c)) * spread[c] * scale
         ).otherwise(F.col(c))
         for c in NOISY
     }

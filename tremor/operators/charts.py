@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremor.operators.ranking import group_quantiles_wide
+from tremor.workspace import constants
 
 # Calendar order of the buckets, Monday first.
 CALENDARS = {
@@ -50,9 +51,8 @@ def peak_bucket(counts: DataFrame) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """(bin, low, high, events) of equal width; the last bin includes its upper edge."""
     present = df.filter(F.col(column).isNotNull()).select(F.col(column).alias("x"))
-    ends = present.agg(F.min("x").alias("low"), F.max("x").alias("high"))
-    low = ends.select("low").scalar()
-    width = ends.select(((F.col("high") - F.col("low")) / bins).alias("w")).scalar()
+    ends = constants(present.agg(F.min("x").alias("low"), F.max("x").alias("high")))
+    low, width = ends["low"], (ends["high"] - ends["low"]) / bins
     # All values equal: one bin takes everything.
     index = F.coalesce(F.floor(F.try_divide(F.col("x") - low, width)), F.lit(0))
     counted = present.groupBy(F.least(index, F.lit(bins - 1)).cast("int").alias("bin")).agg(

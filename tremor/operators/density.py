@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tremor.constants import GRID_SIZE, KM_PER_DEGREE
 from tremor.operators.skew import balanced_join
-from tremor.workspace import materialise
+from tremor.workspace import constants, materialise
 
 
 def with_grid_cells(df: DataFrame, grid: float = GRID_SIZE, edge: str = "first") -> DataFrame:
@@ -18,10 +18,10 @@ def with_grid_cells(df: DataFrame, grid: float = GRID_SIZE, edge: str = "first")
     """
     if edge not in ("first", "drop"):
         raise ValueError(f"unknown edge rule {edge!r}")
-    origin = df.agg(F.min("latitude").alias("latitude"), F.min("longitude").alias("longitude"))
+    origin = constants(df.agg(F.min("latitude").alias("latitude"), F.min("longitude").alias("longitude")))
 
     def cell(axis: str):
-        index = F.ceil((F.col(axis) - origin.select(axis).scalar()) / grid) - 1
+        index = F.ceil((F.col(axis) - origin[axis]) / grid) - 1
         return F.when(index >= 0, index) if edge == "drop" else F.when(index.isNotNull(), F.greatest(index, F.lit(0)))
 
     return df.withColumns({"lat_grid": cell("latitude"), "lon_grid": cell("longitude")})

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tremor.functions.classify import quality_flag
 from tremor.operators.ranking import exact_quantiles
-from tremor.workspace import materialise
+from tremor.workspace import constants
 
 
 def coordinates_valid() -> Column:
@@ -97,12 +97,10 @@ def good_quality(df: DataFrame) -> DataFrame:
 
 def within_quartile_fences(df: DataFrame, column: str = "magnitude", reach: float = 1.5) -> DataFrame:
     """Keep values within ``reach`` interquartile ranges of the quartiles."""
-    quartiles = materialise(exact_quantiles(df, [], column, [0.25, 0.75]), "quartiles")
-    fences = quartiles.agg(F.min("quantile").alias("q1"), F.max("quantile").alias("q3"))
-    width = F.col("q3") - F.col("q1")
-    low = fences.select((F.col("q1") - reach * width).alias("v")).scalar()
-    high = fences.select((F.col("q3") + reach * width).alias("v")).scalar()
-    return df.filter((F.col(column) >= low) & (F.col(column) <= high))
+    quartiles = exact_quantiles(df, [], column, [0.25, 0.75])
+    fences = constants(quartiles.agg(F.min("quantile").alias("q1"), F.max("quantile").alias("q3")))
+    width = fences["q3"] - fences["q1"]
+    return df.filter(F.col(column).between(fences["q1"] - reach * width, fences["q3"] + reach * width))
 
 
 def invalid_record() -> Column:

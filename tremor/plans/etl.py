@@ -11,6 +11,7 @@ from tremor.operators.filters import valid_events
 from tremor.operators.stats import (
     approximate_medians, category_distribution, monthly_stats, with_relative_magnitudes, zone_stats,
 )
+from tremor.workspace import constants
 
 NUMERIC = ["magnitude", "depth", "felt", "cdi", "mmi", "sig", "nst", "dmin", "rms", "gap"]
 CATEGORICAL = ["alert", "status", "magnitude_type", "type", "net"]
@@ -19,10 +20,10 @@ TEXT = ["place", "alert", "status", "magnitude_type", "type"]
 
 def fill_medians(df: DataFrame, columns: list[str]) -> DataFrame:
     """NULLs become the approximate median of their column; all medians come from one pass."""
-    medians = approximate_medians(df, columns)
+    medians = constants(approximate_medians(df, columns))
     kinds = {f.name: f.dataType for f in df.schema.fields}
     return df.withColumns({
-        c: F.coalesce(F.col(c), medians.select(c).scalar().cast(kinds[c])) for c in columns
+        c: F.coalesce(F.col(c), medians[c].cast(kinds[c])) for c in columns
     })
 
 

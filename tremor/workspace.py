@@ -10,7 +10,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_folders: dict[str, str] = {}
 
@@ -43,3 +44,13 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def constants(one_row: DataFrame) -> dict[str, Column]:
+    """The values of a one-row aggregate as typed literals.
+
+    One job, however many values are used afterwards; scalar subqueries would
+    scan the data once per value.
+    """
+    row = one_row.first()
+    return {f.name: F.lit(row[f.name]).cast(f.dataType) for f in one_row.schema.fields}
