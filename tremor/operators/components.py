@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremor.operators.skew import balanced_join, is_small
+from tremor.operators.skew import balanced_join, is_small, size_up_to
 from tremor.workspace import materialise
 
 MAX_ROUNDS = 100
@@ -28,17 +28,20 @@ def connected_components(edges: DataFrame, limit: int | None = None) -> DataFram
     of rounds grows with the logarithm of the graph. The smallest node of a
     component never moves, hence it ends up as the label.
     """
-    both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    u, v = F.col("u"), F.col("v")
+    both = edges.select(F.explode(F.array(F.struct(u, v), F.struct(v.alias("u"), u.alias("v")))).alias("e")).select("e.*")
     current = materialise(both.filter("u <> v").distinct(), "edges")
     nodes = current.select(F.col("u").alias("node")).distinct()
     maps = []
-    while not current.isEmpty():
+    while size := size_up_to(current, limit):
         if len(maps) == MAX_ROUNDS:
             raise RuntimeError(f"components did not settle within {MAX_ROUNDS} rounds")
-        direct = materialise(
-            current.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root")).filter("root < node"), "pointers"
-        )
-        small = is_small(direct, limit)
+        direct = current.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root")).filter("root < node")
+        small = size.fits
+        if not small:
+            # The pointers may still be few; they never outnumber the edges.
+            direct = materialise(direct, "pointers")
+            small = is_small(direct, limit)
         pointers = direct
         for _ in range(2):
             pointers = _follow(pointers, "root", direct, limit, small)

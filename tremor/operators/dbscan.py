@@ -80,6 +80,20 @@ def _marked(df: DataFrame, prefix: str, columns: list[str] | None = None) -> Dat
     return df.select(*[F.col(c).alias(prefix + c) for c in columns or df.columns])
 
 
+def _scrambled(cell: str):
+    """A one-to-one mix of a cube's key by xor and shift.
+
+    Neighbouring cubes have keys in order, which would make long chains of
+    pointers in the component search; mixed keys keep the chains short.
+    """
+    x = F.col(cell)
+    for left, right, last in ((13, 7, 17), (21, 35, 4)):
+        x = x.bitwiseXOR(F.shiftleft(x, left))
+        x = x.bitwiseXOR(F.shiftrightunsigned(x, right))
+        x = x.bitwiseXOR(F.shiftleft(x, last))
+    return x
+
+
 def _both_cells(pairs: DataFrame, *extra: str) -> DataFrame:
     """The distinct (cell, extra) of both sides of a table of pairs."""
     sides = [pairs.select(*[F.col(f"{s}_{c}").alias(c) for c in ("cell", *extra)]) for s in "ab"]
@@ -263,47 +277,42 @@ def density_labels(
     flagged = materialise(located_loose.join(neighbours, "id"), "flagged")
     cores, others = flagged.filter("is_core").drop("is_core"), flagged.filter("not is_core").drop("is_core")
 
-    # One graph node per cube with a core point, named by its smallest core id.
+    # Graph of the cubes that hold a core point, then the smallest core id of each component.
+    spots = cores.select("cell", "phi", "lam")
+    core_links = _meeting(sparse_pairs.filter(in_order), spots, spots, p).select(*PAIR)
+    half = adjacent.filter("a_dense and b_dense").filter(in_order).select(*PAIR)
+    core_touch = contacts.join(cores.select("id", F.col("cell").alias("a_cell")), "id").select(*PAIR)
+    links = core_links.unionByName(core_touch).unionByName(_dense_links(points, blocks, half, p))
+    components = connected_components(
+        links.select(_scrambled("a_cell").alias("u"), _scrambled("b_cell").alias("v")), p.broadcast_rows
+    )
     nodes = materialise(
-        cores.groupBy("cell").agg(F.min("id").alias("node"))
-        .unionByName(dense_cells.select("cell", F.col("first_id").alias("node"))),
+        cores.groupBy("cell").agg(F.min("id").alias("first_id"))
+        .unionByName(dense_cells.select("cell", "first_id"))
+        .withColumn("node", _scrambled("cell")).join(components, "node", "left")
+        .select("cell", "first_id", F.coalesce("label", "node").alias("component")),
         "nodes",
     )
-    spots = cores.join(nodes, "cell").select("cell", "node", "phi", "lam")
-    core_links = _meeting(sparse_pairs.filter(in_order), spots, spots, p).select(
-        F.col("a_node").alias("u"), F.col("b_node").alias("v")
-    )
-    half = adjacent.filter("a_dense and b_dense").filter(in_order).select(*PAIR)
-    cube_links = (
-        _dense_links(points, blocks, half, p)
-        .join(nodes.select(F.col("cell").alias("a_cell"), F.col("node").alias("u")), "a_cell")
-        .join(nodes.select(F.col("cell").alias("b_cell"), F.col("node").alias("v")), "b_cell")
-        .select("u", "v")
-    )
-    touch = contacts.join(nodes.select(F.col("cell").alias("b_cell"), F.col("node").alias("v")), "b_cell").select("id", "v")
-    core_touch = touch.join(cores.join(nodes, "cell").select("id", F.col("node").alias("u")), "id").select("u", "v")
-    labels = connected_components(core_links.unionByName(cube_links).unionByName(core_touch), p.broadcast_rows)
-    node_labels = materialise(
-        nodes.join(labels, "node", "left").select("cell", "node", F.coalesce("label", "node").alias("label")), "node-labels"
+    names = materialise(nodes.groupBy("component").agg(F.min("first_id").alias("label")), "names")
+    cell_labels = materialise(
+        p.join(nodes.select("cell", "component"), names, ["component"], "inner", ["cell"]).select("cell", "label"), "cell-labels"
     )
 
     # Border points: the smallest label among core points in their own, an adjacent sparse or a dense cube.
-    labelled_cores = cores.join(node_labels.select("cell", "label"), "cell")
+    labelled_cores = cores.join(cell_labels, "cell")
     offers = (
-        others.select("id", "cell").join(node_labels, "cell").select("id", "label")
+        others.select("id", "cell").join(cell_labels, "cell").select("id", "label")
         .unionByName(
             _meeting(sparse_pairs, others, labelled_cores.drop("id"), p)
             .select(F.col("a_id").alias("id"), F.col("b_label").alias("label"))
         )
         .unionByName(
-            touch.join(others.select("id"), "id", "left_semi")
-            .join(node_labels.select(F.col("node").alias("v"), "label"), "v").select("id", "label")
+            contacts.join(others.select("id"), "id", "left_semi")
+            .join(cell_labels.withColumnRenamed("cell", "b_cell"), "b_cell").select("id", "label")
         )
         .groupBy("id").agg(F.min("label").alias("label"))
     )
-    cube_labels = materialise(
-        node_labels.join(dense_cells.select("cell"), "cell", "left_semi").select("cell", "label"), "cube-labels"
-    )
+    cube_labels = materialise(cell_labels.join(dense_cells.select("cell"), "cell", "left_semi"), "cube-labels")
     in_cubes = p.join(points.select("id", "cell"), cube_labels, ["cell"], "inner", ["id"])
     return (
         in_cubes.select("id", "label", F.lit(True).alias("is_core"))
