@@ -144,14 +144,13 @@ def _dense_links(points: DataFrame, blocks: DataFrame, pairs: DataFrame, p: Para
             return found
         if spots is None:
             # Distinct locations of the cubes still in question.
-            cubes = materialise(_both_cells(undecided), "open-cubes")
             spots = materialise(
-                p.join(points.select("cell", "phi", "lam", *AXES), cubes, ["cell"], "left_semi", ["phi", "lam"])
+                p.join(points.select("cell", "phi", "lam", *AXES), _both_cells(undecided), ["cell"], "left_semi", ["phi", "lam"])
                 .dropDuplicates(["cell", "phi", "lam"]),
                 "spots",
             )
         placed = spots.withColumn("block", p.block(level)).select("cell", "block", "phi", "lam")
-        small_pairs = materialise(undecided.filter("small").drop("small"), "small-pairs")
+        small_pairs = undecided.filter("small").drop("small")
         exact = materialise(
             p.join(_marked(placed, "a_"), small_pairs, ["a_cell", "a_block"], "inner", ["a_phi", "a_lam"])
             .join(_marked(placed, "b_"), ["b_cell", "b_block"])
@@ -160,6 +159,8 @@ def _dense_links(points: DataFrame, blocks: DataFrame, pairs: DataFrame, p: Para
             "exact-links",
         )
         found = found.unionByName(exact)
+        if undecided.filter("not small").isEmpty():
+            return found
         large = materialise(undecided.filter("not small").drop("small").join(exact, PAIR, "left_anti"), "large-pairs")
         if large.isEmpty():
             return found
@@ -200,7 +201,7 @@ def _dense_contacts(points: DataFrame, loose: DataFrame, blocks: DataFrame, pair
     )
     met = materialise(met.select("id", "phi", "lam", "b_cell", "b_block", "b_n", "b_single", "whole"), "contacts")
     near = met.filter("whole or b_single").select("id", "b_cell", F.col("b_n").alias("near"))
-    cut = materialise(met.filter("not whole and not b_single").select("id", "phi", "lam", "b_cell", "b_block"), "cut-blocks")
+    cut = met.filter("not whole and not b_single").select("id", "phi", "lam", "b_cell", "b_block")
     if not cut.isEmpty():
         placed = points.withColumn("block", p.block(1)).select(
             F.col("cell").alias("b_cell"), F.col("block").alias("b_block"), F.col("phi").alias("q_phi"), F.col("lam").alias("q_lam")
@@ -289,31 +290,36 @@ def density_labels(
     nodes = materialise(
         cores.groupBy("cell").agg(F.min("id").alias("first_id"))
         .unionByName(dense_cells.select("cell", "first_id"))
+        .join(cells.select("cell", "dense"), "cell")
         .withColumn("node", _scrambled("cell")).join(components, "node", "left")
-        .select("cell", "first_id", F.coalesce("label", "node").alias("component")),
+        .select("cell", "dense", "first_id", F.coalesce("label", "node").alias("component")),
         "nodes",
     )
-    names = materialise(nodes.groupBy("component").agg(F.min("first_id").alias("label")), "names")
+    names = nodes.groupBy("component").agg(F.min("first_id").alias("label"))
     cell_labels = materialise(
-        p.join(nodes.select("cell", "component"), names, ["component"], "inner", ["cell"]).select("cell", "label"), "cell-labels"
+        p.join(nodes.select("cell", "dense", "component"), names, ["component"], "inner", ["cell"])
+        .select("cell", "dense", "label"),
+        "cell-labels",
     )
 
     # Border points: the smallest label among core points in their own, an adjacent sparse or a dense cube.
-    labelled_cores = cores.join(cell_labels, "cell")
+    named = cell_labels.select("cell", "label")
+    labelled_cores = cores.join(named, "cell")
     offers = (
-        others.select("id", "cell").join(cell_labels, "cell").select("id", "label")
+        others.select("id", "cell").join(named, "cell").select("id", "label")
         .unionByName(
             _meeting(sparse_pairs, others, labelled_cores.drop("id"), p)
             .select(F.col("a_id").alias("id"), F.col("b_label").alias("label"))
         )
         .unionByName(
             contacts.join(others.select("id"), "id", "left_semi")
-            .join(cell_labels.withColumnRenamed("cell", "b_cell"), "b_cell").select("id", "label")
+            .join(named.withColumnRenamed("cell", "b_cell"), "b_cell").select("id", "label")
         )
         .groupBy("id").agg(F.min("label").alias("label"))
     )
-    cube_labels = materialise(cell_labels.join(dense_cells.select("cell"), "cell", "left_semi"), "cube-labels")
-    in_cubes = p.join(points.select("id", "cell"), cube_labels, ["cell"], "inner", ["id"])
+    in_cubes = p.join(
+        points.select("id", "cell"), cell_labels.filter("dense").select("cell", "label"), ["cell"], "inner", ["id"]
+    )
     return (
         in_cubes.select("id", "label", F.lit(True).alias("is_core"))
         .unionByName(labelled_cores.select("id", "label", F.lit(True).alias("is_core")))
@@ -328,10 +334,7 @@ def dbscan(
     """(id, cluster_id, is_core): clusters numbered from 0 by smallest core id, noise is -1."""
     labels = materialise(density_labels(events, eps, min_samples, id_col, **options), "density-labels")
     clusters = labels.filter(F.col("label").isNotNull()).select("label").distinct()
-    numbers = materialise(
-        row_numbers(clusters, [], ["label"], "_rn").select("label", (F.col("_rn") - 1).cast("int").alias("cluster_id")),
-        "cluster-numbers",
-    )
+    numbers = row_numbers(clusters, [], ["label"], "_rn").select("label", (F.col("_rn") - 1).cast("int").alias("cluster_id"))
     return balanced_join(labels, numbers, ["label"], "left", [id_col], options.get("broadcast_rows")).select(
         id_col, F.coalesce("cluster_id", F.lit(-1)).alias("cluster_id"), "is_core"
     )
