@@ -9,13 +9,13 @@ from tremor.operators.skew import balanced_join
 from tremor.workspace import materialise
 
 # Hash values are counted in this many ranges per class.
-RANGES = 4096
+RANGES = 1 << 16
 
 
 def _hashed(df: DataFrame, id_col: str, seed: int) -> DataFrame:
-    """A pseudo-random non-negative number per row, and its leading 12 of 63 bits."""
+    """A pseudo-random non-negative number per row, and its leading 16 of 63 bits."""
     draw = F.xxhash64(id_col, F.lit(seed)).bitwiseAND(F.lit((1 << 63) - 1))
-    return df.withColumn("_draw", draw).withColumn("_range", F.shiftright("_draw", 51))
+    return df.withColumn("_draw", draw).withColumn("_range", F.shiftright("_draw", 47))
 
 
 def with_class_position(df: DataFrame, label: str, id_col: str = "id", seed: int = 42) -> DataFrame:

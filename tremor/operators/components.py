@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremor.operators.skew import balanced_join, is_small, size_up_to
+from tremor.operators.skew import BROADCAST_ROWS, balanced_join, is_small
 from tremor.workspace import materialise
 
 MAX_ROUNDS = 100
@@ -33,11 +33,11 @@ def connected_components(edges: DataFrame, limit: int | None = None) -> DataFram
     current = materialise(both.filter("u <> v").distinct(), "edges")
     nodes = current.select(F.col("u").alias("node")).distinct()
     maps = []
-    while size := size_up_to(current, limit):
+    while size := current.count():
         if len(maps) == MAX_ROUNDS:
             raise RuntimeError(f"components did not settle within {MAX_ROUNDS} rounds")
         direct = current.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root")).filter("root < node")
-        small = size.fits
+        small = size <= (BROADCAST_ROWS if limit is None else limit)
         if not small:
             # The pointers may still be few; they never outnumber the edges.
             direct = materialise(direct, "pointers")

@@ -80,6 +80,16 @@ def _marked(df: DataFrame, prefix: str, columns: list[str] | None = None) -> Dat
     return df.select(*[F.col(c).alias(prefix + c) for c in columns or df.columns])
 
 
+def _sample() -> list:
+    """Any one location of a group, and whether it is the only one.
+
+    The choice does not matter for the result: a sample only ever confirms a link
+    that exists. Plain numbers keep the aggregation hash-based.
+    """
+    only = (F.min("phi") == F.max("phi")) & (F.min("lam") == F.max("lam"))
+    return [F.struct(F.first("phi").alias("phi"), F.first("lam").alias("lam")).alias("sample"), only.alias("single")]
+
+
 def _scrambled(cell: str):
     """A one-to-one mix of a cube's key by xor and shift.
 
@@ -174,8 +184,8 @@ def _finer(spots: DataFrame, large: DataFrame, level: int, p: Parameters) -> Dat
     inside = p.join(spots.withColumn("parent", p.block(level)), active, ["cell", "parent"], "left_semi", ["phi", "lam"])
     parts = materialise(
         inside.groupBy("cell", "parent", p.block(level + 1).alias("block")).agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct("phi", "lam")).alias("sample"), *box_aggregates()
-        ).withColumn("single", F.col("n") == 1),
+            F.count(F.lit(1)).alias("n"), *_sample(), *box_aggregates()
+        ),
         "block-parts",
     )
     keyed = large.select(*PAIR, F.col("a_block").alias("a_parent"), F.col("b_block").alias("b_parent"))
@@ -235,9 +245,8 @@ def density_labels(
 
     blocks = materialise(
         points.groupBy("cell", p.block(1).alias("block")).agg(
-            F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"),
-            F.min(F.struct("phi", "lam")).alias("sample"), F.max(F.struct("phi", "lam")).alias("last"), *box_aggregates(),
-        ).withColumn("single", F.col("sample") == F.col("last")).drop("last"),
+            F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"), *_sample(), *box_aggregates()
+        ),
         "blocks",
     )
     merged_box = [f(f"{e}_{d}").alias(f"{e}_{d}") for d in "xyz" for e, f in (("lo", F.min), ("hi", F.max))]

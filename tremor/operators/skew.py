@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -16,29 +15,9 @@ BROADCAST_ROWS = 500_000
 ROWS_PER_SPLIT = 1_000_000
 
 
-@dataclass(frozen=True)
-class Size:
-    """A row count that stopped just past a limit; false for an empty table."""
-
-    rows: int
-    limit: int
-
-    @property
-    def fits(self) -> bool:
-        return self.rows <= self.limit
-
-    def __bool__(self) -> bool:
-        return self.rows > 0
-
-
-def size_up_to(df: DataFrame, limit: int | None = None) -> Size:
-    limit = BROADCAST_ROWS if limit is None else limit
-    return Size(df.limit(limit + 1).count(), limit)
-
-
 def is_small(df: DataFrame, limit: int | None = None) -> bool:
-    """True if ``df`` has at most ``limit`` rows."""
-    return size_up_to(df, limit).fits
+    """True if ``df`` has at most ``limit`` rows. A written table is counted from its footers."""
+    return df.count() <= (BROADCAST_ROWS if limit is None else limit)
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str]):

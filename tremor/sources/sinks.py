@@ -95,12 +95,11 @@ def refresh_tables(tables: dict[str, DataFrame], path: str) -> DataFrame:
 
 
 def append_by_month(df: DataFrame, path: str, time: str = "datetime_local") -> None:
-    """Append into one folder per local month. Rows are spread by month and day, so a
-    busy month is written by several tasks."""
+    """Append into one folder per local month. Rebalancing gathers small months and splits busy
+    ones over several tasks by measured size."""
     month = F.date_format(F.date_trunc("month", time), "yyyy-MM")
-    df.withColumn("month_batch", month).repartition("month_batch", F.to_date(time)).write.mode("append").partitionBy(
-        "month_batch"
-    ).parquet(path)
+    tagged = df.withColumn("month_batch", month).hint("rebalance", F.col("month_batch"))
+    tagged.write.mode("append").partitionBy("month_batch").parquet(path)
 
 
 def replace_table(df: DataFrame, path: str) -> None:
