@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from suite.base import Tables, query, rounded
-from suite.sql import CLUSTERS, EV, PROC, r
+from suite.sql import CLUSTERS, EV, FEAT, PROC, r
 from tremor.functions.scores import with_extended_features
 from tremor.learning import metrics, models, prepare, split
 from tremor.sources import sinks
@@ -52,28 +52,35 @@ def _(t: Tables):
     return rounded(prepare.impute_medians(holes, ["depth", "magnitude"]), "depth", "magnitude", digits=9)
 
 
-@query("l2_encoded_categories")
-def _(t: Tables):
-    _, rows = features(t)
-    return rows.select("id", *[x for x in rows.columns if x.endswith("_index")])
+# The categories that vary in the test tables, and the leading numeric features in vector order.
+VARYING = ["alert_standardized", "magnitude_category", "depth_category_detailed", "geographic_zone"]
+LEADING = ["magnitude", "depth", "latitude", "longitude"]
 
 
-@query("l3_feature_vectors")
-def _(t: Tables):
+def leading(t: Tables, vector: str):
     from pyspark.ml.functions import vector_to_array
 
     _, rows = features(t)
-    return rows.select("id", F.size(vector_to_array("features_raw")).alias("width"))
+    return rows.select("id", vector_to_array(vector).alias("v")).select("id", *[c("v")[i].alias(n) for i, n in enumerate(LEADING)])
 
 
-@query("l4_scaled_features")
+@query("l2_encoded_categories", f"WITH {FEAT}, " + ", ".join(
+    f"i{k} AS (SELECT {x}, (row_number() OVER (ORDER BY count(*) DESC, {x})-1)::DOUBLE AS {x}_index FROM feat GROUP BY {x})" for k, x in enumerate(VARYING))
+    + f" SELECT id, {', '.join(x + '_index' for x in VARYING)} FROM feat " + " ".join(f"JOIN i{k} USING ({x})" for k, x in enumerate(VARYING)))
 def _(t: Tables):
-    """Mean and deviation of the first scaled columns, which must be 0 and 1."""
-    from pyspark.ml.functions import vector_to_array
-
     _, rows = features(t)
-    v = rows.select(vector_to_array("features_scaled").alias("v"))
-    return v.agg(*[F.round(f(c("v")[i]), 6).alias(f"{n}_{i}") for i in range(4) for n, f in (("mean", F.avg), ("std", F.stddev))])
+    return rows.select("id", *[x for x in rows.columns if x.endswith("_index")])
+
+
+@query("l3_feature_vectors", f"WITH {FEAT} SELECT id, {', '.join(LEADING)} FROM feat")
+def _(t: Tables):
+    return leading(t, "features_raw")
+
+
+@query("l4_scaled_features", f"WITH {FEAT} SELECT id, " + ", ".join(
+    f"{r(f'({x}-avg({x}) OVER ())/stddev_samp({x}) OVER ()')} AS {x}" for x in LEADING) + " FROM feat")
+def _(t: Tables):
+    return rounded(leading(t, "features_scaled"), *LEADING)
 
 
 @query("l5_principal_components")

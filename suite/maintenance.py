@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from suite.base import Tables, query, rounded, stamp
-from suite.sql import CLUSTERS, CLUSTER_RISK, ENH, EV, r
+from suite.sql import CLUSTERS, CLUSTER_RISK, ENH, PROC, r
 from tremor.operators import maintain
 from tremor.plans.etl import ENHANCED_COLUMNS
+from tremor.plans.master import PROCESSED_COLUMNS
 
 c = F.col
 
@@ -111,7 +112,11 @@ def _(t: Tables):
     return t.spark.read.schema("id string, region string").parquet(path)
 
 
-@query("z12_describe_columns")
+COLUMNS = list(zip(PROCESSED_COLUMNS, ["string", "double", "double", "double", "double", "timestamp", "string", "double", "double", "string", "string", "string", "int", "string"]))
+
+
+@query("z12_describe_columns", f"WITH {PROC} " + " UNION ALL ".join(
+    f"SELECT {i} AS position, '{n}' AS column_name, '{k}' AS data_type, count({n}) AS filled FROM proc" for i, (n, k) in enumerate(COLUMNS, 1)))
 def _(t: Tables):
     """Column types next to the share of filled values, read from the table itself."""
     columns = maintain.describe_columns(t.processed)
