@@ -40,19 +40,30 @@ def connect(folder: str):
 
 
 def _plain(v):
-    if isinstance(v, float):
-        if math.isnan(v):
-            return "NaN"
-        return repr(v)
-    return v
+    return "NaN" if isinstance(v, float) and math.isnan(v) else v
+
+
+def _same(a, b, tolerance: float) -> bool:
+    if isinstance(a, float) and isinstance(b, float):
+        return a == b or abs(a - b) <= tolerance
+    return a == b and type(a) is type(b)
+
+
+def _key(row) -> str:
+    """Sort key that ignores the last digits of doubles."""
+    return repr([round(v, 4) + 0.0 if isinstance(v, float) else v for v in row])
 
 
 def _kind(name: str) -> str:
     return KINDS.get(name, name.upper())
 
 
-def compare(df: DataFrame, con, sql: str) -> str:
-    """An empty string if rows, columns and kinds agree, else the first difference."""
+def compare(df: DataFrame, con, sql: str, tolerance: float = 0.0) -> str:
+    """An empty string if rows, columns and kinds agree, else the first difference.
+
+    ``tolerance`` allows for a mean that lies exactly between two rounded values
+    and falls to either side with the order of the additions.
+    """
     rel = con.sql(sql)
     theirs_columns = sorted(rel.columns)
     ours_columns = sorted(df.columns)
@@ -65,12 +76,12 @@ def compare(df: DataFrame, con, sql: str) -> str:
     theirs = [tuple(_plain(row[i]) for i in order) for row in rel.fetchall()]
     if len(ours) != len(theirs):
         return f"rows {len(ours)} <> {len(theirs)}"
-    ours.sort(key=repr)
-    theirs.sort(key=repr)
-    different = [(a, b) for a, b in zip(ours, theirs) if a != b]
+    ours.sort(key=lambda row: (_key(row), repr(row)))
+    theirs.sort(key=lambda row: (_key(row), repr(row)))
+    different = [(a, b) for a, b in zip(ours, theirs) if not all(_same(x, y, tolerance) for x, y in zip(a, b))]
     if different:
         a, b = different[0]
-        parts = [f"{c}: {x!r} <> {y!r}" for c, x, y in zip(ours_columns, a, b) if x != y]
+        parts = [f"{c}: {x!r} <> {y!r}" for c, x, y in zip(ours_columns, a, b) if not _same(x, y, tolerance)]
         return f"{len(different)} of {len(ours)} rows differ; " + "; ".join(parts)[:400]
     if ours_kind != theirs_kind:
         return f"kinds differ: { {n: (ours_kind[n], theirs_kind[n]) for n in ours_kind if ours_kind[n] != theirs_kind[n]} }"
