@@ -20,9 +20,8 @@ from pyspark.sql import DataFrame  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from suite.base import Tables  # noqa: E402
-from tremor.operators import charts, dedup, filters, hazard, stats, validate  # noqa: E402
+from tremor.operators import charts, dedup, filters, stats, validate  # noqa: E402
 from tremor.operators.dbscan import dbscan  # noqa: E402
-from tremor.operators.density import with_density  # noqa: E402
 from tremor.operators.ranking import batches  # noqa: E402
 from tremor.learning.prepare import exact_medians, z_scores  # noqa: E402
 from tremor.plans import etl, evaluation, master  # noqa: E402

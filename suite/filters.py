@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from suite.base import Tables, query, stamp
-from suite.sql import ENH, EV, EVAL, FEAT, LABELS, PROC, REGION, VALID, r, stamp as sql_stamp
+from suite.sql import ENH, EV, EVAL, LABELS, PROC, REGION, VALID, stamp as sql_stamp
 from tremor.operators import dedup, filters
 from tremor.operators.charts import marker_sample, points
 from tremor.operators.ranking import batches

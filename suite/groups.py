@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from suite.base import Tables, query, rounded, stamp
 from suite.sql import CLUSTERS, ENH, EV, EVAL, FEAT, LABELS, PROC, r, stamp as sql_stamp
 from tremor.learning.prepare import exact_medians, z_scores
-from tremor.operators import charts, hazard, maintain, stats
-from tremor.functions.temporal import within
+from tremor.operators import charts, hazard, stats
 from tremor.plans import evaluation
 from tremor.workspace import constants
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from suite.base import Tables, query, rounded, stamp
-from suite.sql import CLUSTERS, ENH, EV, FEAT, LABELS, PROC, r, stamp as sql_stamp
+from suite.sql import CLUSTERS, ENH, FEAT, LABELS, PROC, r, stamp as sql_stamp
 from tremor.learning.models import trainable, training_rows
 from tremor.operators import dedup, hazard, maintain, stats
 from tremor.operators.density import with_cell_counts, with_grid_cells

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from suite.base import Tables, query, scalar, stamp
+from suite.base import Tables, query, scalar
 from suite.sql import (
     ALERT_LEVEL, DEPTH_BAND, DEPTH_CLASS, DEPTH_LEVEL, ENH, EV, FEAT, HEMISPHERE, INTENSITY, MAGNITUDE_BAND,
     MAGNITUDE_CLASS, MAGNITUDE_HAZARD, MAGNITUDE_LEVEL, PROC, QUALITY, REGION, ZONE, r, stamp as sql_stamp,

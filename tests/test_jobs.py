@@ -4,7 +4,6 @@ import json
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 from tremor.learning import metrics, split
 from tremor.sources import files, sinks

@@ -82,9 +82,3 @@ def balanced_join(
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_splits").cast("bigint"), F.lit(1).cast("bigint")) - 1)),
     ).drop("_splits")
     return _join(salted_left, salted_right, keys + ["_salt"], how, nulls_match).drop("_salt")
-
-
-def attach_group_stats(df: DataFrame, keys: list[str], aggregates: list, spread: list[str] | None = None) -> DataFrame:
-    """Aggregate per group and join the result back to every row."""
-    stats = materialise(df.groupBy(*keys).agg(*aggregates), "group-stats")
-    return balanced_join(df, stats, keys, "left", spread)
