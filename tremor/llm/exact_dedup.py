@@ -26,6 +26,8 @@ STATE_STORE = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "300",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Else every state partition reserves megabytes of disk for files that stay small.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 # A micro-batch takes at most so many new files.
 FILES_PER_BATCH = 10_000

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremor.llm.base import documents, plain
+from tremor.llm.chat import format_conversations, read_back
 from tremor.llm.exact_dedup import exact_duplicates
+from tremor.llm.mixing import mix
+from tremor.llm.packing import pack_documents
+from tremor.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +34,36 @@ g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t
 SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.t) AS text_sha256 FROM n JOIN g USING (t)""")
 def op2(spark, folder):
     return exact_duplicates(spark, f"{folder}/documents.parquet").drop("row")
+
+
+@query("op7_mixing")
+def op7(spark, folder):
+    return mix(documents(spark, folder)).drop("source", "hash")
+
+
+@query("op8_packing")
+def op8(spark, folder):
+    return pack_documents(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op9_chat_format", r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+ UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+ CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+ sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+ CAST(sum(24 + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\n')) + length(replace(replace(text, '\', '\\'), '<|', '<\|'))) AS BIGINT) AS formatted_chars,
+ count(*) FILTER (role = 'assistant') AS n_examples
+FROM c GROUP BY conv_id""")
+def op9(spark, folder):
+    said = "<|im_end|><|im_start|>assistant ok"
+    turns = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text")
+    )
+    return read_back(format_conversations(turns.unionByName(extra)))
+
+
+@query("op10_token_counts")
+def op10(spark, folder):
+    return count_tokens(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
