@@ -12,7 +12,9 @@ from tremor.llm.base import documents, plain
 from tremor.llm.chat import format_conversations, read_back
 from tremor.llm.exact_dedup import exact_duplicates
 from tremor.llm.mixing import mix
+from tremor.llm.near_dedup import near_duplicates
 from tremor.llm.packing import pack_documents
+from tremor.llm.paragraph_dedup import duplicate_paragraphs, remove_paragraphs
 from tremor.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +38,18 @@ def op2(spark, folder):
     return exact_duplicates(spark, f"{folder}/documents.parquet").drop("row")
 
 
+@query("op3_near_dedup")
+def op3(spark, folder):
+    return near_duplicates(documents(spark, folder), words=2)
+
+
+@query("op6_paragraph_dedup")
+def op6(spark, folder):
+    docs = documents(spark, folder)
+    out = remove_paragraphs(docs, duplicate_paragraphs(docs))
+    return out.withColumn("kept_sha256", F.sha2("kept_text", 256)).drop("kept_text")
+
+
 @query("op7_mixing")
 def op7(spark, folder):
     return mix(documents(spark, folder)).drop("source", "hash")
