@@ -16,6 +16,7 @@ from tremor.llm.near_dedup import near_duplicates
 from tremor.llm.packing import pack_documents
 from tremor.llm.paragraph_dedup import duplicate_paragraphs, remove_paragraphs
 from tremor.llm.token_counts import count_tokens
+from tremor.llm.toxicity import toxicity, train
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,6 +44,12 @@ def op3(spark, folder):
     return near_duplicates(documents(spark, folder), words=2)
 
 
+@query("op5_toxicity")
+def op5(spark, folder):
+    docs = documents(spark, folder)
+    return toxicity(docs, train(docs, spark.read.parquet(f"{folder}/labels.parquet")))
+
+
 @query("op6_paragraph_dedup")
 def op6(spark, folder):
     docs = documents(spark, folder)
