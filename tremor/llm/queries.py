@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tremor.llm.base import documents, plain
 from tremor.llm.chat import format_conversations, read_back
 from tremor.llm.exact_dedup import exact_duplicates
+from tremor.llm.fingerprints import edited_fingerprints
 from tremor.llm.mixing import mix
 from tremor.llm.near_dedup import near_duplicates
 from tremor.llm.packing import pack_documents
@@ -31,6 +32,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_fingerprints")
+def op1(spark, folder):
+    return edited_fingerprints(documents(spark, folder))
+
+
 @query("op2_exact_dedup", r"""
 WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
