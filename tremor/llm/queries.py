@@ -16,6 +16,7 @@ from tremor.llm.mixing import mix
 from tremor.llm.near_dedup import near_duplicates
 from tremor.llm.packing import pack_documents
 from tremor.llm.paragraph_dedup import duplicate_paragraphs, remove_paragraphs
+from tremor.llm.suffix_dedup import remove_repeats
 from tremor.llm.token_counts import count_tokens
 from tremor.llm.toxicity import toxicity, train
 
@@ -50,6 +51,11 @@ def op3(spark, folder):
     return near_duplicates(documents(spark, folder), words=2)
 
 
+@query("op4_suffix_dedup")
+def op4(spark, folder):
+    return remove_repeats(documents(spark, folder)).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept", "spans")
+
+
 @query("op5_toxicity")
 def op5(spark, folder):
     docs = documents(spark, folder)
