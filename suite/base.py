@@ -27,15 +27,8 @@ class Tables:
 
     @cached_property
     def catalog(self) -> DataFrame:
-        """The whole events table as a catalog, written once as the operators' input.
-
-        A source with fewer splits than cores is spread out first.
-        """
-        derived = catalog_from_events(self.spark.read.parquet(f"{self.folder}/events.parquet"))
-        cores = self.spark.sparkContext.defaultParallelism
-        if derived.rdd.getNumPartitions() < cores:
-            derived = derived.repartition(cores, "id")
-        return materialise(derived, "catalog")
+        """The whole events table as a catalog, written once as the operators' input."""
+        return materialise(catalog_from_events(self.spark.read.parquet(f"{self.folder}/events.parquet")), "catalog")
 
     @cached_property
     def enhanced(self) -> DataFrame:

@@ -69,6 +69,25 @@ for _kind in ("parquet", "csv", "json"):
     _round_trip(_kind)
 
 
+@query("s3_read_reordered_csv", f"WITH {EV} SELECT {', '.join(SHOWN)}, CAST(NULL AS DOUBLE) AS gap, {sql_stamp('time')} AS time FROM ev")
+def _(t: Tables):
+    """Another column order, a column too many, and one missing."""
+    path = sinks.scratch_path(t.catalog, "wide") + ".csv"
+    sinks.write_csv(catalog(t).drop("gap").select("magnitude", F.lit("x,y").alias("extra"), "place", "time", "longitude", "latitude", "id", "depth", "alert", "felt"), path)
+    return files.read_catalog(t.spark, path).select(*SHOWN, "gap", stamp("time").alias("time"))
+
+
+@query("s4_read_two_layouts", f"WITH {EV} SELECT id, {sql_stamp('time')} AS time, latitude, longitude, depth, CASE WHEN alert='red' THEN magnitude END AS magnitude, place FROM ev")
+def _(t: Tables):
+    """Two files with different column orders, one of them without magnitudes."""
+    path = sinks.scratch_path(t.catalog, "layouts") + ".csv"
+    rows = t.catalog.withColumn("time", F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    red = c("alert").eqNullSafe("red")
+    sinks.write_csv(rows.filter(red).select("place", "longitude", "latitude", "id", "time", "magnitude", "depth"), path)
+    rows.filter(~red).select("id", "time", "latitude", "longitude", "depth", "place").write.mode("append").option("header", True).csv(path)
+    return files.read_evaluation_csv(t.spark, path).withColumn("time", stamp("time"))
+
+
 def evaluation_csv(t: Tables) -> str:
     path = sinks.scratch_path(t.catalog, "evaluation") + ".csv"
     sinks.write_csv(t.catalog.select("net", "id", F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time"), "latitude", "longitude", "depth", "magnitude", "place", "gap"), path)
@@ -134,6 +153,20 @@ def _(t: Tables):
     return t.spark.read.schema(out.schema).parquet(path).drop("time", "risk_score", "ring_of_fire_distance", "energy_release_log", "population_impact_estimate", "tectonic_activity_score")
 
 
+@query("s13_refresh_from_itself", f"WITH {PROC} SELECT id, region FROM proc WHERE region <> 'Other'")
+def _(t: Tables):
+    """A table replaced by a part of itself; a refresh that breaks a reference changes nothing."""
+    path = sinks.scratch_path(t.catalog, "stored")
+    sinks.refresh_tables({"events": t.processed.select("id", "region")}, path)
+    kept = sinks.read_stored(t.spark, path, "events").filter("region <> 'Other'")
+    sinks.refresh_tables({"events": kept, "regions": kept.select("region").distinct()}, path, (("events", "region", "regions", "region"),))
+    try:
+        sinks.refresh_tables({"events": t.processed.select("id", "region"), "regions": kept.select("region").limit(1)}, path, (("events", "region", "regions", "region"),))
+    except ValueError:
+        return sinks.read_stored(t.spark, path, "events")
+    raise AssertionError("a broken reference went unnoticed")
+
+
 @query("s12_append_aligned", f"WITH {EV} SELECT id, magnitude, place FROM ev UNION ALL SELECT id, magnitude, CAST(NULL AS VARCHAR) FROM ev WHERE magnitude >= 5")
 def _(t: Tables):
     """Appending a batch without a column of the target, aligned to the target's schema first."""

@@ -104,12 +104,12 @@ def _(t: Tables):
 
 @query("z11_replace_table", f"WITH {ENH} SELECT id, region FROM enh WHERE region <> 'Other'")
 def _(t: Tables):
-    from tremor.sources.sinks import replace_table, scratch_path
+    from tremor.sources.sinks import read_stored, replace_table, scratch_path
 
     path = scratch_path(t.catalog, "replaced")
     replace_table(snapshot(t).select("id", "region"), path)
-    replace_table(snapshot(t).filter("region <> 'Other'").select("id", "region"), path)
-    return t.spark.read.schema("id string, region string").parquet(path)
+    replace_table(read_stored(t.spark, path, "table").filter("region <> 'Other'"), path)
+    return read_stored(t.spark, path, "table")
 
 
 COLUMNS = list(zip(PROCESSED_COLUMNS, ["string", "double", "double", "double", "double", "timestamp", "string", "double", "double", "string", "string", "string", "int", "string"]))

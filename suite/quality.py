@@ -9,6 +9,7 @@ from suite.sql import CLUSTERS, EV, EVAL, PROC, REGION, r
 from tremor.functions.classify import region
 from tremor.operators import validate
 from tremor.plans import evaluation
+from tremor.sources import sinks
 
 c = F.col
 
@@ -50,7 +51,7 @@ PROCESSED = [
 
 @query("v1_row_count", f"WITH {EV} " + _results(RAW[:1], "ev"))
 def _(t: Tables):
-    return validate.check(t.catalog, validate.raw_rules()[:1])
+    return validate.check(t.catalog, validate.raw_rules(max_rows=100_000)[:1])
 
 
 @query("v2_not_null", f"WITH {EV} " + _results([("not_null", "alert", 0.5), ("not_null", "id"), ("not_null", "alert")], "ev"))
@@ -60,7 +61,7 @@ def _(t: Tables):
 
 @query("v3_between", f"WITH {EV} " + _results(RAW, "ev"))
 def _(t: Tables):
-    return validate.check(t.catalog, validate.raw_rules())
+    return validate.check(t.catalog, validate.raw_rules(max_rows=100_000))
 
 
 @query("v4_in_set", f"WITH {EV} " + _results([("in_set", "alert", ["red", "orange"]), ("in_set", "net", ["us"])], "ev"))
@@ -70,13 +71,13 @@ def _(t: Tables):
 
 @query("v5_processed_rules", f"WITH {PROC} " + _results(PROCESSED, "proc"))
 def _(t: Tables):
-    return validate.check(t.processed, validate.processed_rules())
+    return validate.check(t.processed, validate.processed_rules(max_rows=200_000))
 
 
 @query("v5_report", f"""WITH {PROC}, results AS ({_results(PROCESSED, 'proc')}) SELECT count(*) AS total_expectations, count(*) FILTER (WHERE passed) AS successful_expectations,
  count(*) FILTER (WHERE NOT passed) AS failed_expectations, bool_and(passed) AS success, {r('avg(CASE WHEN passed THEN 1 ELSE 0 END)')} AS data_quality_score FROM results""")
 def _(t: Tables):
-    return rounded(validate.report(validate.check(t.processed, validate.processed_rules())), "data_quality_score")
+    return rounded(validate.report(validate.check(t.processed, validate.processed_rules(max_rows=200_000))), "data_quality_score")
 
 
 FIELDS = {
@@ -137,7 +138,10 @@ def _(t: Tables):
  count(*)>100 AS enough_records, 'below target' AS size_status FROM (SELECT *, {REGION} AS region FROM ev)""")
 def _(t: Tables):
     landed = t.catalog.withColumns({"year": F.year("time"), "region": region(c("longitude"), c("latitude"))})
-    return validate.landed_file_check(landed, size_mb=1.0)
+    path = sinks.scratch_path(t.catalog, "landed")
+    sinks.write_parquet(landed, path)
+    size_mb = sinks.folder_bytes(landed, path) / 1e6
+    return validate.landed_file_check(t.spark.read.schema(landed.schema).parquet(path), size_mb)
 
 
 @query("v13_suite_summary", f"""WITH {EVAL}, n AS (SELECT (SELECT least(count(*),10) FROM eva) AS a, (SELECT count(DISTINCT geographic_zone) FROM eva) AS b, (SELECT count(*) FROM (SELECT DISTINCT year, month FROM eva)) AS c,
@@ -145,7 +149,18 @@ def _(t: Tables):
  SELECT 'top_magnitude_earthquakes' AS query, 'SUCCESS' AS status, a AS row_count FROM n UNION ALL SELECT 'earthquakes_by_zone','SUCCESS',b FROM n UNION ALL SELECT 'monthly_trends','SUCCESS',c FROM n
  UNION ALL SELECT 'depth_analysis','SUCCESS',d FROM n UNION ALL SELECT 'high_risk_analysis','SUCCESS',e FROM n UNION ALL SELECT 'clustering_analysis','SUCCESS',f FROM n""")
 def _(t: Tables):
-    return evaluation.summary(t.evaluated)
+    return evaluation.summary(t.evaluated).drop("error")
+
+
+@query("v8_no_zone", "SELECT CAST(NULL AS VARCHAR) AS geographic_zone, 0::BIGINT AS zone_count, CAST(NULL AS DOUBLE) AS avg_magnitude, 'FAIL' AS status FROM (SELECT count(*) AS n FROM events WHERE event_id < 0) WHERE n = 0")
+def _(t: Tables):
+    return validate.zone_distribution(t.evaluated.withColumn("geographic_zone", F.when(c("magnitude") < 0, c("geographic_zone"))))
+
+
+@query("v13_failed_query", f"WITH {EV} SELECT 'sound' AS query, 'SUCCESS' AS status, count(*) AS row_count FROM ev UNION ALL SELECT 'broken', 'FAILED', 0::BIGINT")
+def _(t: Tables):
+    suite = {"sound": lambda: t.catalog, "broken": lambda: t.catalog.filter("no_such_column > 0")}
+    return validate.suite_summary(t.spark, suite).drop("error")
 
 
 @query("v13_fallback_row", f"WITH {EVAL} SELECT 2000 AS year, 1 AS month, 0::BIGINT AS monthly_count FROM (SELECT count(*) AS n FROM eva WHERE magnitude > 1000) WHERE n = 0")

@@ -16,7 +16,7 @@ SHOWN = ["id", "magnitude", "place", "longitude", "latitude", "depth"]
 
 def landed(t: Tables) -> str:
     path = sinks.scratch_path(t.catalog, "landing")
-    to_features(t.catalog).repartition(4, "id").write.json(path)
+    to_features(t.catalog).write.json(path)
     return path
 
 

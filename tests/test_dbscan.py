@@ -108,3 +108,12 @@ def test_border_between_two_clusters(spark):
 def test_bad_arguments(spark):
     with pytest.raises(ValueError):
         run(spark, [("a", 0.0, 0.0)], 0.0, 5)
+
+
+def test_hot_cut_block_next_to_loose_points(spark):
+    """A dense cube that the reach of loose points cuts is refined down to blocks of few points."""
+    rng = random.Random(8)
+    eps = 0.02
+    rows = [(f"h{i:05d}", 10 + rng.random() * 0.3, 20 + rng.random() * 0.3) for i in range(700)]
+    rows += [(f"l{i:05d}", 10 + math.degrees(eps) * (0.7 + 0.06 * i), 20.1) for i in range(12)]
+    assert run(spark, rows, eps, 40) == brute(rows, eps, 40)

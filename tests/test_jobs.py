@@ -4,6 +4,7 @@ import json
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tremor.learning import metrics, split
 from tremor.sources import files, sinks
@@ -71,3 +72,26 @@ def test_database_fallback(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).columns == ["id", "magnitude", "extra"]
     with pytest.raises(Exception):
         sinks.write_jdbc(df, "t", "jdbc:none://nowhere", {})
+
+
+def test_write_jdbc_raises_errors_of_the_plan(spark, tmp_path):
+    broken = spark.range(3).select(F.raise_error(F.lit("broken plan")).cast("string").alias("id"))
+    with pytest.raises(Exception, match="broken plan"):
+        sinks.write_jdbc(broken, "t", "jdbc:none://nowhere", {}, fallback=str(tmp_path / "t"))
+
+
+def test_failed_refresh_keeps_the_old_version(spark, tmp_path):
+    path = str(tmp_path)
+    sinks.refresh_tables({"a": spark.range(5), "b": spark.range(2)}, path)
+    broken = spark.range(3).select(F.raise_error(F.lit("crash")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="crash"):
+        sinks.refresh_tables({"a": spark.range(9), "b": broken}, path)
+    assert (sinks.read_stored(spark, path, "a").count(), sinks.read_stored(spark, path, "b").count()) == (5, 2)
+    sinks.refresh_tables({"a": sinks.read_stored(spark, path, "a").filter("id > 1")}, path)
+    assert sinks.read_stored(spark, path, "a").count() == 3
+
+
+def test_header_with_a_repeated_name_raises(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("id,magnitude,id\n1,2,3\n")
+    with pytest.raises(ValueError, match="twice"):
+        files.read_csv_by_name(spark, str(tmp_path / "t.csv"))

@@ -212,3 +212,36 @@ def test_augment_repeats_exactly(spark):
 def test_median_of_empty_column(spark):
     df = spark.createDataFrame([(None, 1.0)], "a double, b double")
     assert stats.approximate_medians(df, ["a", "b"]).first().asDict() == {"a": 0.0, "b": 1.0}
+
+
+def test_dominant_key_is_split_among_many_heavy_ones(spark, monkeypatch):
+    """Fifty heavy keys, one with most of the rows: the dominant one is salted whatever the limit of small sides."""
+    monkeypatch.setattr(skew, "HEAVY_KEYS", 20)
+    left = spark.range(8000).select(F.when(F.col("id") % 4 > 0, 0).otherwise(F.col("id") % 50 + 1).alias("k"), F.col("id").alias("v"))
+    right = spark.range(60).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    heavy = skew.heavy_keys(left, ["k"], rows_per_split=10)
+    found = {r["k"]: r["_splits"] for r in heavy.collect()}
+    assert 0 < len(found) < 20 and found[0] == 600
+    joined = skew.balanced_join(left, right, ["k"], "inner", ["v"], limit=10, rows_per_split=10)
+    assert "_salt" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.count() == 8000 and joined.filter("w <> 2 * k").count() == 0
+
+
+def test_default_rules_have_no_ceiling(spark):
+    rows = spark.range(300_000).select(
+        F.col("id").cast("string").alias("id"), F.lit(5.0).alias("magnitude"), F.lit(0.0).alias("latitude"),
+        F.lit(100.0).alias("longitude"), F.lit(10.0).alias("depth"),
+    )
+    assert validate.report(validate.check(rows, validate.raw_rules()), strict=True).first()["success"]
+    assert not validate.check(rows, validate.raw_rules(max_rows=100_000)).first()["passed"]
+
+
+def test_one_scan_for_the_overall_status(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(5.0, 1.0, 2.0, 3.0, "z", 2020, 1)], "magnitude double, latitude double, longitude double, depth double, geographic_zone string, year int, month int").write.parquet(path)
+    status = validate.overall_status(spark.read.parquet(path))
+    assert status._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert {r["test"]: r["status"] for r in status.collect()} == {
+        "record_count": "PASS", "magnitude_quality": "PASS", "latitude_quality": "PASS", "longitude_quality": "PASS", "depth_quality": "PASS",
+        "magnitude_range": "PASS", "geographic_distribution": "PASS", "temporal_coverage": "FAIL", "overall": "FAIL",
+    }

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tremor.functions.classify import cluster_risk
 from tremor.functions.scores import BASIC_FEATURES, EXTENDED_FEATURES, with_basic_features
 from tremor.learning.metrics import weighted_metrics, with_gap
-from tremor.learning.prepare import impute_medians
+from tremor.learning.prepare import impute_medians, imputer
 from tremor.learning.split import stratified_folds, stratified_split
 from tremor.operators.filters import labelled
 from tremor.workspace import constants, materialise
@@ -69,17 +69,18 @@ def logistic_regression(samples: int, c: float = 0.5) -> LogisticRegression:
 
 
 def vector_stages(features: tuple[str, ...]) -> list:
+    """Medians of the training rows for missing features, vector, scaling; all of it is saved with the model."""
     return [
+        imputer(list(features)),
         VectorAssembler(inputCols=list(features), outputCol="features_raw", handleInvalid="error"),
         StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
     ]
 
 
 def prepare_training(processed: DataFrame, clusters: DataFrame) -> DataFrame:
-    """Labelled, imputed, featured and split rows as a written table."""
+    """Labelled, featured and split rows as a written table. Missing features are filled by the model itself."""
     rows = with_basic_features(training_rows(processed, clusters))
-    filled = impute_medians(materialise(rows, "training-rows"), list(BASIC_FEATURES))
-    return materialise(stratified_split(filled, "risk_zone", 0.2, "id", SEED), "training")
+    return materialise(stratified_split(materialise(rows, "training-rows"), "risk_zone", 0.2, "id", SEED), "training")
 
 
 def compare_models(prepared: DataFrame, trees: int = 100) -> tuple[dict[str, PipelineModel], DataFrame]:
@@ -119,10 +120,13 @@ def search(
     rows: DataFrame, features: tuple[str, ...] = EXTENDED_FEATURES, grid: dict[str, list] | None = None,
     folds: int = 5, parallelism: int = 4,
 ) -> CrossValidatorModel:
-    """Grid search by weighted F1 over exact stratified folds. ``rows`` has ``risk_zone`` and ``id``."""
-    grid = grid or {"numTrees": [100, 200, 300], "maxDepth": [10, 20], "minInstancesPerNode": [1, 2, 4],
+    """Grid search by weighted F1 over exact stratified folds. ``rows`` has ``risk_zone`` and ``id``.
+
+    The default grid's depth of 30, the deepest MLlib grows, stands for trees of unlimited depth.
+    """
+    grid = grid or {"numTrees": [100, 200, 300], "maxDepth": [10, 20, 30], "minInstancesPerNode": [1, 2, 4],
                     "featureSubsetStrategy": ["sqrt", "log2", "all"]}
-    indexed = label_indexer().fit(rows).transform(rows)
+    indexed = label_indexer().fit(rows).transform(impute_medians(rows, list(features)))
     assembled = VectorAssembler(inputCols=list(features), outputCol="features").transform(indexed)
     folded = materialise(stratified_folds(assembled, "risk_zone", folds, "id", SEED), "folds")
     forest = random_forest(weighted=False)
@@ -157,16 +161,17 @@ def load(path: str) -> PipelineModel:
 def score(clusters: DataFrame, processed: DataFrame, model: PipelineModel | None) -> DataFrame:
     """Clusters with ``risk_zone`` predicted per event and its probability.
 
-    Without a model the seed rule on the cluster's strongest event gives the zone.
+    Without a model, and for events that are not in ``processed``, the seed rule on the cluster's strongest event
+    gives the zone. A prediction depends on the event and the model alone, not on the batch it is scored in.
     """
+    seed = cluster_risk(F.col("max_magnitude"))
     if model is None:
-        return clusters.withColumns({"risk_zone": cluster_risk(F.col("max_magnitude")), "probability": F.lit(None).cast("double")})
+        return clusters.withColumns({"risk_zone": seed, "probability": F.lit(None).cast("double")})
     rows = with_basic_features(processed.join(clusters.select("id"), "id"))
-    filled = impute_medians(materialise(rows, "to-score"), list(BASIC_FEATURES))
-    predicted = model.transform(filled).select(
-        "id", F.col("predicted_zone").alias("risk_zone"), F.array_max(vector_to_array("probability")).alias("probability")
+    predicted = model.transform(rows).select(
+        "id", F.col("predicted_zone").alias("_zone"), F.array_max(vector_to_array("probability")).alias("probability")
     )
-    return clusters.drop("risk_zone").join(predicted, "id")
+    return clusters.join(predicted, "id", "left").withColumn("risk_zone", F.coalesce("_zone", seed)).drop("_zone")
 
 
 def choose_k_means(vectors: DataFrame, ks=range(2, 11), features: str = "features_scaled") -> tuple[KMeansModel, DataFrame]:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tremor import constants as K
 from tremor.operators.ranking import column_quantiles
-from tremor.operators.stats import population_moments
+from tremor.operators.stats import approximate_medians, population_moments
 from tremor.workspace import constants, materialise
 
 NUMERIC = [
@@ -95,8 +95,11 @@ def feature_stages(numeric: list[str], categorical: list[str], components: int =
 def fit_features(df: DataFrame, components: int = 10) -> tuple[PipelineModel, DataFrame]:
     """(model, transformed rows) of the feature pipeline over the ETL features."""
     numeric = [c for c in NUMERIC if c in df.columns]
-    filled = impute_medians(df, numeric).fillna("unknown", [c for c in CATEGORICAL if c in df.columns])
-    filled = materialise(filled, "filled")
+    written = materialise(df, "to-fill")
+    medians = constants(approximate_medians(written, numeric))
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    filled = written.withColumns({c: F.coalesce(F.col(c), medians[c].cast(kinds[c])) for c in numeric})
+    filled = materialise(filled.fillna("unknown", [c for c in CATEGORICAL if c in df.columns]), "filled")
     categorical = varying(filled, [c for c in CATEGORICAL if c in filled.columns])
     model = Pipeline(stages=feature_stages(numeric, categorical, components)).fit(filled)
     return model, bucketize(model.transform(filled))

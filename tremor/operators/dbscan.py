@@ -39,6 +39,8 @@ CUTS = 4
 LAST_LEVEL = 10
 # Two blocks are compared point by point only below this many pairs.
 PAIR_BUDGET = 1024
+# A block with at most so many points is compared with a loose point one by one.
+CONTACT_POINTS = 64
 # Slack on box bounds, so that rounding can never drop a true pair.
 SLACK = 1e-9
 
@@ -193,35 +195,61 @@ def _finer(spots: DataFrame, large: DataFrame, level: int, p: Parameters) -> Dat
 
 
 def _dense_contacts(points: DataFrame, loose: DataFrame, blocks: DataFrame, pairs: DataFrame, p: Parameters) -> DataFrame:
-    """(id, b_cell, near): how many points of a dense cube are within reach of a loose point.
+    """(id, b_cell, near): how many points of a dense cube are within reach of a loose point, counted up to ``min_samples``.
 
-    A block wholly within reach counts with its size, a single location counts
-    if it is within reach, and only blocks cut by the boundary are looked into.
-    Such a block meets no more loose points than its neighbouring sparse cubes hold.
+    A block wholly within reach counts with its size, a single location counts if it is within reach. A block cut
+    by the boundary is compared point by point if it holds few points, else cut finer; a pair that has its
+    ``min_samples`` points, or a contact where the loose point has them elsewhere, is not looked into further.
     """
     spot = loose.select(
         F.col("cell").alias("a_cell"), "id", "phi", "lam",
         *[F.col(f"u{d}").alias(f"a_{e}_{d}") for d in "xyz" for e in ("lo", "hi")],
     )
-    met = (
+    edges = [f"a_{e}_{d}" for d in "xyz" for e in ("lo", "hi")]
+    reached = (
         pairs.join(spot, "a_cell").join(_marked(blocks, "b_", ["cell", *BLOCK_COLUMNS]), "b_cell")
-        .filter(box_gap_squared("a_", "b_") <= p.far)
-        .withColumn("whole", (box_reach_squared("a_", "b_") <= p.near))
-        .filter(F.col("whole") | ~F.col("b_single") | p.within("phi", "lam", "b_sample.phi", "b_sample.lam"))
     )
-    met = materialise(met.select("id", "phi", "lam", "b_cell", "b_block", "b_n", "b_single", "whole"), "contacts")
-    near = met.filter("whole or b_single").select("id", "b_cell", F.col("b_n").alias("near"))
-    cut = met.filter("not whole and not b_single").select("id", "phi", "lam", "b_cell", "b_block")
-    if not cut.isEmpty():
-        placed = points.withColumn("block", p.block(1)).select(
+    near = None
+    for level in range(1, LAST_LEVEL + 1):
+        met = (
+            reached.filter(box_gap_squared("a_", "b_") <= p.far)
+            .withColumn("whole", (box_reach_squared("a_", "b_") <= p.near))
+            .filter(F.col("whole") | ~F.col("b_single") | p.within("phi", "lam", "b_sample.phi", "b_sample.lam"))
+        )
+        met = materialise(met.select("id", "phi", "lam", *edges, "b_cell", "b_block", "b_n", "b_single", "whole"), "contacts")
+        sure = met.filter("whole or b_single").select("id", "b_cell", F.col("b_n").alias("near"))
+        near = sure if near is None else near.unionByName(sure)
+        cut = met.filter("not whole and not b_single")
+        if cut.isEmpty():
+            break
+        by_pair = near.groupBy("id", "b_cell").agg(F.sum("near").alias("_pair"))
+        by_id = by_pair.groupBy("id").agg(F.sum("_pair").alias("_all"))
+        enough = (F.col("_pair") >= p.min_samples) | ((F.col("_pair") > 0) & (F.col("_all") >= p.min_samples))
+        settled = by_pair.join(by_id, "id").filter(enough).select("id", "b_cell")
+        cut = materialise(cut.join(settled, ["id", "b_cell"], "left_anti"), "cut-contacts")
+        few = (F.col("b_n") <= CONTACT_POINTS) | F.lit(level == LAST_LEVEL)
+        placed = points.withColumn("block", p.block(level)).select(
             F.col("cell").alias("b_cell"), F.col("block").alias("b_block"), F.col("phi").alias("q_phi"), F.col("lam").alias("q_lam")
         )
         inside = (
-            p.join(placed, cut, ["b_cell", "b_block"], "inner", ["q_phi", "q_lam"])
+            p.join(placed, cut.filter(few).select("id", "phi", "lam", "b_cell", "b_block"), ["b_cell", "b_block"], "inner", ["q_phi", "q_lam"])
             .filter(p.within("phi", "lam", "q_phi", "q_lam"))
             .groupBy("id", "b_cell").agg(F.count(F.lit(1)).alias("near"))
         )
         near = near.unionByName(inside)
+        large = cut.filter(~few)
+        if large.isEmpty():
+            break
+        active = materialise(large.select(F.col("b_cell").alias("cell"), F.col("b_block").alias("parent")).distinct(), "active-blocks")
+        within = p.join(points.withColumn("parent", p.block(level)), active, ["cell", "parent"], "left_semi", ["phi", "lam"])
+        parts = materialise(
+            within.groupBy("cell", "parent", p.block(level + 1).alias("block")).agg(
+                F.count(F.lit(1)).alias("n"), *_sample(), *box_aggregates()
+            ),
+            "block-parts",
+        )
+        keyed = large.select("id", "phi", "lam", *edges, "b_cell", F.col("b_block").alias("b_parent"))
+        reached = keyed.join(_marked(parts, "b_"), ["b_cell", "b_parent"])
     return materialise(near.groupBy("id", "b_cell").agg(F.sum("near").cast("bigint").alias("near")), "dense-contacts")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tremor.operators.ranking import row_numbers
 from tremor.operators.skew import balanced_join
+from tremor.workspace import materialise
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -45,10 +46,10 @@ def except_distinct(df: DataFrame, other: DataFrame) -> DataFrame:
 
 def new_since(df: DataFrame, snapshot: DataFrame, key: str = "id") -> DataFrame:
     """Rows whose key is not in the snapshot."""
-    return balanced_join(df, snapshot.select(key).distinct(), [key], "left_anti")
+    return balanced_join(df, materialise(snapshot.select(key), "snapshot-keys"), [key], "left_anti")
 
 
 def missing_parents(children: DataFrame, parents: DataFrame, key: str, parent_key: str = "id") -> DataFrame:
     """Rows whose non-NULL reference has no parent."""
-    known = parents.select(F.col(parent_key).alias(key)).distinct()
+    known = materialise(parents.select(F.col(parent_key).alias(key)), "parent-keys")
     return balanced_join(children.filter(F.col(key).isNotNull()), known, [key], "left_anti")

@@ -56,8 +56,18 @@ def attach_monthly_stats(df: DataFrame) -> DataFrame:
 
 
 def with_relative_magnitudes(df: DataFrame) -> DataFrame:
-    """Magnitude against the average of the zone and of the month."""
-    joined = attach_monthly_stats(attach_zone_stats(df))
+    """Magnitude against the average of the zone and of the month, both from one grouping by zone and month."""
+    parts = materialise(
+        df.groupBy("geographic_zone", "year", "month").agg(_rows().alias("n"), F.sum("magnitude").alias("s"), F.count("magnitude").alias("m")),
+        "zone-months",
+    )
+    zones = parts.groupBy("geographic_zone").agg(
+        F.try_divide(F.sum("s"), F.sum("m")).alias("regional_avg_magnitude"), F.sum("n").alias("regional_earthquake_count")
+    )
+    months = parts.groupBy("year", "month").agg(F.try_divide(F.sum("s"), F.sum("m")).alias("monthly_regional_avg_magnitude"))
+    # Zones are a handful; the months are checked.
+    joined = df.join(F.broadcast(zones), "geographic_zone", "left")
+    joined = balanced_join(joined, materialise(months, "monthly"), ["year", "month"], "left", ["id"])
     return joined.withColumns({
         "magnitude_vs_regional_avg": F.col("magnitude") - F.col("regional_avg_magnitude"),
         "magnitude_vs_monthly_avg": F.col("magnitude") - F.col("monthly_regional_avg_magnitude"),
@@ -160,8 +170,14 @@ def average_daily_count(df: DataFrame) -> DataFrame:
 
 def value_shares(df: DataFrame, column: str) -> DataFrame:
     """Count and percentage of every value."""
-    total = df.agg(_rows().alias("n")).scalar()
-    return df.groupBy(column).agg(_rows().alias("count")).withColumn("percentage", F.col("count") * 100.0 / total)
+    return with_percentage(df.groupBy(column).agg(_rows().alias("count")), "count")
+
+
+def with_percentage(counted: DataFrame, count: str) -> DataFrame:
+    """Share of each count in their sum. The groups are written, so that the input is read once."""
+    groups = materialise(counted, "shares")
+    total = groups.agg(F.sum(count).alias("n")).scalar()
+    return groups.withColumn("percentage", F.col(count) * 100.0 / total)
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from tremor.operators.filters import valid_events
 from tremor.operators.stats import (
     approximate_medians, category_distribution, monthly_stats, with_relative_magnitudes, zone_stats,
 )
-from tremor.workspace import constants
+from tremor.workspace import constants, materialise
 
 NUMERIC = ["magnitude", "depth", "felt", "cdi", "mmi", "sig", "nst", "dmin", "rms", "gap"]
 CATEGORICAL = ["alert", "status", "magnitude_type", "type", "net"]
@@ -34,7 +34,9 @@ def fill_unknown(df: DataFrame, columns: list[str]) -> DataFrame:
 def clean(catalog: DataFrame) -> DataFrame:
     """One version per id, valid values, no missing fields, plain text, standard alerts."""
     unique = latest_per_key(catalog, ["id"], ["updated", "time", "place", "magnitude", "depth", "latitude", "longitude"])
-    filled = fill_unknown(fill_medians(valid_events(unique), NUMERIC), CATEGORICAL)
+    # Written once: the medians, and later the averages, read it again.
+    valid = materialise(valid_events(unique), "valid-events")
+    filled = fill_unknown(fill_medians(valid, NUMERIC), CATEGORICAL)
     stripped = filled.withColumns({c: text.strip_text(F.col(c)) for c in TEXT})
     return stripped.withColumn("alert_standardized", text.standard_alert(F.col("alert")))
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremor.functions import classify, scores
+from tremor.operators.stats import with_percentage
 from tremor.operators.validate import suite_summary, with_fallback
+from tremor.workspace import materialise
 
 
 def derive(catalog: DataFrame) -> DataFrame:
@@ -62,32 +66,40 @@ def high_risk(df: DataFrame, threshold: float = 0.7) -> DataFrame:
 
 
 def cell_analysis(df: DataFrame, digits: tuple[int, int, int] = (2, 1, 3)) -> DataFrame:
-    """Per coarse cell and zone, with the share of all events. ``digits`` rounds magnitude, depth and risk."""
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return df.groupBy(
+    """Per coarse cell and zone, with the share of all events. ``digits`` rounds magnitude, depth and risk.
+
+    The cells are at most as many as the globe has; their counts add up to the total.
+    """
+    cells = df.groupBy(
         F.coalesce("earthquake_cluster", F.lit(-1)).alias("earthquake_cluster"), "geographic_zone"
     ).agg(
         F.count(F.lit(1)).alias("cluster_size"), _mean("magnitude", digits[0], "avg_magnitude"),
         _mean("depth", digits[1], "avg_depth"), _mean("risk_score", digits[2], "avg_risk"),
-    ).withColumn("percentage", F.col("cluster_size") * 100.0 / total)
+    )
+    return with_percentage(cells, "cluster_size")
 
 
-def reports(df: DataFrame) -> dict[str, DataFrame]:
-    """All six; two of them give a placeholder row when they would be empty."""
+def report_makers(df: DataFrame) -> dict[str, Callable[[], DataFrame]]:
+    """All six, to be made one by one; two of them give a placeholder row when they would be empty."""
     now = F.current_date()
     return {
-        "top_magnitude_earthquakes": top_magnitude(df),
-        "earthquakes_by_zone": by_zone(df),
-        "monthly_trends": with_fallback(monthly_trends(df), {
+        "top_magnitude_earthquakes": lambda: top_magnitude(df),
+        "earthquakes_by_zone": lambda: by_zone(df),
+        "monthly_trends": lambda: with_fallback(materialise(monthly_trends(df), "monthly-trends"), {
             "year": F.year(now), "month": F.month(now), "monthly_count": F.lit(0), "major_earthquakes": F.lit(0),
         }),
-        "depth_analysis": depth_analysis(df),
-        "high_risk_analysis": high_risk(df),
-        "clustering_analysis": with_fallback(cell_analysis(df), {
+        "depth_analysis": lambda: depth_analysis(df),
+        "high_risk_analysis": lambda: high_risk(df),
+        "clustering_analysis": lambda: with_fallback(materialise(cell_analysis(df), "cells"), {
             "earthquake_cluster": F.lit(0), "cluster_size": F.lit(0), "percentage": F.lit(0.0),
         }),
     }
 
 
+def reports(df: DataFrame) -> dict[str, DataFrame]:
+    return {name: make() for name, make in report_makers(df).items()}
+
+
 def summary(df: DataFrame) -> DataFrame:
-    return suite_summary(reports(df))
+    """(query, status, row_count, error): a report that fails does not stop the others."""
+    return suite_summary(df.sparkSession, report_makers(df))

@@ -29,9 +29,7 @@ def labelled_events(summary: DataFrame, limit: int = 100) -> DataFrame:
 
 
 def classifications(rows: DataFrame, limit: int = 1000, min_confidence: float | None = None) -> DataFrame:
-    """Most confident first; at most 10,000."""
-    if limit > 10_000:
-        raise ValueError("limit must not exceed 10000")
+    """Most confident first."""
     confidence = F.col("classification_confidence")
     kept = optional_filters(rows, (min_confidence, confidence >= F.lit(min_confidence)))
     return kept.orderBy(F.desc(confidence), "earthquake_id", "model_version").limit(limit)

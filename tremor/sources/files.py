@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +22,7 @@ def read_catalog(spark: SparkSession, path: str, schema: T.StructType = CATALOG)
     if kind == "parquet":
         found = reader.parquet(path)
     elif kind == "csv":
-        found = reader.option("header", True).csv(path)
+        return coerce(read_csv_by_name(spark, path), schema)
     elif kind == "json":
         found = reader.json(path)
     else:
@@ -28,6 +30,32 @@ def read_catalog(spark: SparkSession, path: str, schema: T.StructType = CATALOG)
     return nan_to_null(found)
 
 
+def read_csv_by_name(spark: SparkSession, path: str) -> DataFrame:
+    """The columns of a CSV file or folder as text, each picked by its name in the header of its own file.
+
+    Files may order their columns differently, lack some, or have more: a column is the union over the files, NULL
+    where a file lacks it. Files of one layout are read together. A header that names a column twice raises. Fields
+    may hold commas and quotes, but no line breaks.
+    """
+    lines = spark.read.text(path, wholetext=False).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    # The first line of a file: the first in its first block. One row per file comes to the driver, as file listings do.
+    first = lines.filter("at = 0").groupBy("file").agg(F.first("value", ignorenulls=True).alias("header")).collect()
+    layouts: dict[str, list[str]] = {}
+    for row in first:
+        layouts.setdefault(row["header"], []).append(row["file"])
+    found = None
+    for header, names in sorted(layouts.items()):
+        columns = next(csv.reader([header.lstrip("\ufeff")]))
+        if len(set(columns)) < len(columns):
+            raise ValueError(f"a column is named twice in the header of {names[0]}: {header}")
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        part = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(sorted(names))
+        found = part if found is None else found.unionByName(part, allowMissingColumns=True)
+    if found is None:
+        raise ValueError(f"no header in {path}")
+    return found
+
+
 def coerce(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast every column of ``schema``; values that do not fit become NULL, absent columns too."""
     return nan_to_null(df.select(*[
@@ -63,8 +91,7 @@ def load_raw(records: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def read_evaluation_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV with header: seven columns picked by name, ``time`` parsed from text."""
-    header = spark.read.option("header", True).csv(path)
-    picked = coerce(header, EVALUATION_CATALOG)
+    picked = coerce(read_csv_by_name(spark, path), EVALUATION_CATALOG)
     return picked.withColumn("time", parse_time(F.col("time")))
 
 
@@ -72,7 +99,7 @@ def read_text_catalog(
     spark: SparkSession, path: str, numeric: list[str], times: list[str]
 ) -> DataFrame:
     """All-text CSV, then numbers and times; unreadable values become NULL."""
-    raw = spark.read.option("header", True).csv(path)
+    raw = read_csv_by_name(spark, path)
     return nan_to_null(raw.withColumns({
         **{c: F.col(c).try_cast("double") for c in numeric}, **{c: parse_time(F.col(c)) for c in times},
     }))

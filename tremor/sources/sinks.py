@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tremor.operators.dedup import missing_parents
 from tremor.operators.filters import normalise_schema, select_columns
 from tremor.workspace import new_path
 
@@ -57,41 +61,100 @@ def write_formats(df: DataFrame, path: str, sources: list[str], time: str = "tim
 
 def folder_bytes(df: DataFrame, path: str) -> int:
     """Size of a written folder on any Hadoop file system."""
-    jvm = df.sparkSession._jvm
-    location = jvm.org.apache.hadoop.fs.Path(path)
-    system = location.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf())
-    return int(system.getContentSummary(location).getLength())
+    jvm, system = _system(df.sparkSession, path)
+    return int(system.getContentSummary(jvm.org.apache.hadoop.fs.Path(path)).getLength())
 
 
 def write_jdbc(
     df: DataFrame, table: str, url: str, properties: dict[str, str], mode: str = "overwrite",
     target: T.StructType | None = None, batch_size: int = 1000, fallback: str | None = None,
 ) -> bool:
-    """Write the relational columns to a database; False if it fell back to Parquet.
+    """Write the relational columns to a database; False if there is no connection and it fell back to Parquet.
 
-    ``target`` aligns the columns to an existing table before an append.
+    ``target`` aligns the columns to an existing table before an append. The connection is tried before anything is
+    written or dropped; errors of the plan or of the write itself are raised.
     """
     aligned = normalise_schema(df, target) if target else select_columns(df, RELATIONAL_COLUMNS)
+    if fallback is not None and not _connects(df, url, properties):
+        write_parquet(df, fallback)
+        return False
+    aligned.write.mode(mode).option("batchsize", batch_size).jdbc(url, table, properties=properties)
+    return True
+
+
+def _connects(df: DataFrame, url: str, properties: dict[str, str]) -> bool:
     try:
-        aligned.write.mode(mode).option("batchsize", batch_size).jdbc(url, table, properties=properties)
+        df.sparkSession.read.jdbc(url, "(SELECT 1 AS one) AS probe", properties=properties).schema  # noqa: B018
         return True
-    except Exception:
-        if fallback is None:
-            raise
-        write_parquet(df, fallback)
+    except Exception:  # no driver, no server, no permission
         return False
 
 
-def refresh_tables(tables: dict[str, DataFrame], path: str) -> DataFrame:
-    """Write every table into a new version folder; returns (table, rows) as read back."""
+def refresh_tables(
+    tables: dict[str, DataFrame], path: str, references: tuple[tuple[str, str, str, str], ...] = ()
+) -> DataFrame:
+    """Replace a set of stored tables as one; returns (table_name, rows) as read back.
+
+    Every table is written into a new version folder ``path/v=<id>``. Only after all are there, have as many rows as
+    were written, and satisfy ``references`` (child, key, parent, parent key), the pointer file is switched. Readers
+    (:func:`current_version`) see the old version until then; a failure, or a table made from its own old version,
+    does it no harm.
+    """
     spark = next(iter(tables.values())).sparkSession
-    counts = None
+    version = f"{path}/v={uuid.uuid4().hex[:12]}"
     for name, df in tables.items():
-        write_parquet(df, f"{path}/{name}")
-        n = spark.read.schema(df.schema).parquet(f"{path}/{name}").agg(F.count(F.lit(1)).alias("rows"))
-        n = n.select(F.lit(name).alias("table_name"), "rows")
-        counts = n if counts is None else counts.unionByName(n)
-    return counts
+        df.write.parquet(f"{version}/{name}")
+    stored = {name: spark.read.schema(df.schema).parquet(f"{version}/{name}") for name, df in tables.items()}
+    for child, key, parent, parent_key in references:
+        lost = missing_parents(stored[child], stored[parent], key, parent_key).limit(1).count()
+        if lost:
+            raise ValueError(f"{child}.{key} has values that are not in {parent}.{parent_key}; the stored tables stay as they are")
+    _point_to(spark, path, version)
+    counts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows") for name, df in stored.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _system(spark, path: str):
+    jvm = spark._jvm
+    location = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def _point_to(spark, path: str, version: str) -> None:
+    """Name the version readers use: a new pointer with a higher number, written whole and then renamed into place."""
+    jvm, system = _system(spark, path)
+    number = max([n for n, _ in _pointers(spark, path)], default=0) + 1
+    draft = jvm.org.apache.hadoop.fs.Path(f"{path}/_draft-{uuid.uuid4().hex}")
+    out = system.create(draft, False)
+    out.write(bytearray(version.rsplit("/", 1)[1].encode()))
+    out.close()
+    if not system.rename(draft, jvm.org.apache.hadoop.fs.Path(f"{path}/_pointer-{number:010d}")):
+        raise RuntimeError(f"another refresh of {path} has finished meanwhile")
+
+
+def _pointers(spark, path: str) -> list[tuple[int, str]]:
+    jvm, system = _system(spark, path)
+    found = system.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/_pointer-*")) or []
+    return [(int(s.getPath().getName().rsplit("-", 1)[1]), s.getPath().toString()) for s in found]
+
+
+def current_version(spark, path: str) -> str:
+    """The folder of the version that :func:`refresh_tables` has made current."""
+    pointers = _pointers(spark, path)
+    if not pointers:
+        raise FileNotFoundError(f"no stored version in {path}")
+    jvm, system = _system(spark, path)
+    stream = system.open(jvm.org.apache.hadoop.fs.Path(max(pointers)[1]))
+    try:
+        name = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return f"{path}/{name}"
+
+
+def read_stored(spark, path: str, name: str) -> DataFrame:
+    """A table of the current version."""
+    return spark.read.parquet(f"{current_version(spark, path)}/{name}")
 
 
 def append_by_month(df: DataFrame, path: str, time: str = "datetime_local") -> None:
@@ -103,8 +166,9 @@ def append_by_month(df: DataFrame, path: str, time: str = "datetime_local") -> N
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Drop the old content and write the new."""
-    write_parquet(df, path)
+    """Make ``df``, which may be read from the table itself, the content of the stored table; read it with
+    ``read_stored(spark, path, "table")``."""
+    refresh_tables({"table": df}, path)
 
 
 def write_report(report: DataFrame, path: str) -> None:
