@@ -6,9 +6,12 @@ permutations are the keys of a join; candidates are confirmed on the whole shing
 joined to components.
 
 Groups are never paired out. Texts with equal sets become one class first. In each band bucket the classes are
-compared with one of them, the pivot; the components so found are compared by a second pivot; and only where a
-bucket still spans several components are the classes of different components compared with each other. The
-result is that of comparing all classes that share a bucket: pairs left out lie in one component already.
+compared with one of them, the pivot, and linked ones joined to components; further rounds take a pivot from the
+largest component of each bucket that still spans several, and compare it with the classes outside. What then is left
+outside, classes linked with no pivot, is compared with the classes of other components of its buckets, unless its
+shingles rule that out: those that no other class in question has bound the intersection from above. The
+result is that of comparing all classes that share a bucket: pairs left out lie in one component already, or cannot
+be similar enough.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ PERMUTATIONS = 64
 PAIRS_PER_SPLIT = 2_000
 ITEMS = "doc_id long, part int, n_shingles int, set_a long, set_b long, bands array<long>"
 MASK = (1 << 64) - 1
+# Rounds of pivots before the classes left outside are compared with each other.
+STAR_ROUNDS = 5
 
 
 def _numbers(seed: int, n: int) -> np.ndarray:
@@ -144,8 +149,22 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int, lines: bool) -> DataFr
         yield from in_chunks(made(), lambda rows: pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(zip(*rows), [pa.int64(), pa.binary()])], names=["node", "shingles"]), 500)
 
-    # A row that repeats in the table gives its set twice, which changes no link.
-    return materialise(found.mapInArrow(run, "node long, shingles binary"), "shingle-sets")
+    # A row that repeats in the table gives its set again.
+    return materialise(found.mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"]), "shingle-sets")
+
+
+def _own_shingles(sets: DataFrame) -> DataFrame:
+    """(node, own): how many of its shingles no other node of ``sets`` has; nodes without any are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, s in zip(batch.column("node").to_pylist(), batch.column("shingles")):
+                values = np.frombuffer(s.as_buffer(), dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), node)), pa.array(values)], names=["node", "shingle"])
+
+    each = sets.mapInArrow(run, "node long, shingle long")
+    single = each.groupBy("shingle").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("n")).filter("n = 1")
+    return single.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -194,60 +213,93 @@ def near_classes(
     of_first = classes.select("node", "n", "set_a", "set_b", F.col("first.doc_id").alias("doc_id"), F.col("first.part").alias("part"))
     keyed = filled.select("doc_id", "part", "set_a", "set_b", "bands").join(
         of_first, [filled[c].eqNullSafe(of_first[c]) for c in ("doc_id", "part", "set_a", "set_b")]
-    )
+    ).select("node", "n", "bands").dropDuplicates(["node"])
     banded = materialise(keyed.select("node", "n", F.explode("bands").alias("key")), "bands")
-    shared = banded.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")).filter("pivot < _last")
-    buckets = materialise(banded.join(shared.drop("_last"), "key"), "buckets")
-    sets_of = lambda pairs: _sets(
-        docs, of_first.join(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "node", "left_semi"), words, lines
-    )
-    # Sets whose sizes differ too much cannot be similar enough.
-    sizes = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * percent
-
-    def tested(pairs: DataFrame, before: list[DataFrame], label: str) -> DataFrame:
-        for done in before:
-            pairs = pairs.join(done, ["u", "v"], "left_anti")
-        return materialise(pairs.distinct(), label)
-
-    def stars(rows_: DataFrame, before: list[DataFrame]) -> DataFrame:
-        pivots = rows_.filter("node = pivot").select("key", F.col("n").alias("_n")).distinct()
-        pairs = rows_.filter("node <> pivot").join(pivots, "key").filter(sizes(F.col("n"), F.col("_n")))
-        return tested(pairs.select(F.least("pivot", "node").alias("u"), F.greatest("pivot", "node").alias("v")), before, "star-pairs")
-
-    def spanning(links: DataFrame) -> tuple[DataFrame, DataFrame]:
-        labels = connected_components(links, limit=SMALL_ROWS)
-        named = balanced_join(buckets.select("key", "node", "n"), labels, ["node"], "left", ["key"], limit=SMALL_ROWS)
-        named = named.withColumn("label", F.coalesce("label", "node"))
-        ends = named.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).filter("_low < _high")
-        return labels, materialise(named.join(ends, "key"), "open-buckets")
-
-    pairs = stars(buckets, [])
-    links = materialise(_confirmed(pairs, sets_of(pairs), percent), "links")
-    labels, open_ = spanning(links)
-    before = [pairs]
-    if not is_small(open_, 0):
-        # A second pivot, from the component of the highest label.
-        second = open_.filter("label = _high").groupBy("key").agg(F.min("node").alias("pivot"))
-        pairs = stars(open_.join(second, "key"), before)
-        before.append(pairs)
-        more = materialise(_confirmed(pairs, sets_of(pairs), percent), "links")
-        if not is_small(more, 0):
-            links = materialise(links.unionByName(more), "links")
-            labels, open_ = spanning(links)
-        a, b = open_.alias("a"), open_.alias("b")
-        across = a.join(b, F.col("a.key") == F.col("b.key")).filter(
-            (F.col("a.label") < F.col("b.label")) & sizes(F.col("a.n"), F.col("b.n"))
-        ).select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v"))
-        pairs = tested(across, before, "cross-pairs")
-        if not is_small(pairs, 0):
-            more = materialise(_confirmed(pairs, sets_of(pairs), percent), "links")
-            if not is_small(more, 0):
-                labels = connected_components(links.unionByName(more), limit=SMALL_ROWS)
-    named = materialise(classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "classes-named")
+    shared = banded.groupBy("key").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).filter("_low < _high").select("key")
+    members = materialise(banded.join(shared, "key").withColumn("label", F.col("node")), "buckets")
+    sets = _sets(docs, of_first.join(members.select("node").distinct(), "node", "left_semi"), words, lines)
+    labels = _linked(members, sets, percent)
+    named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    named = materialise(named, "classes-named")
     whole = named.groupBy("label").agg(F.min("first").alias("origin"), F.sum("copies").alias("members"))
     return items, materialise(named.join(whole, "label").select("set_a", "set_b", "first", "origin", "members"), "classes-joined")
 
 
+def _linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, label) of the components among the nodes that share buckets; ``members`` has key, node, n, label = node."""
+    labels = members.select("node", "label").distinct()
+
+    def fits(n: str, other: str):
+        """Sets whose sizes differ too much cannot be similar enough."""
+        return F.least(n, other) * 100 >= F.greatest(n, other) * percent
+
+    def merged(links: DataFrame) -> None:
+        """Join the components that ``links`` connect."""
+        nonlocal members, labels
+        ends = links
+        for end in ("u", "v"):
+            at = labels.select(F.col("node").alias(end), F.col("label").alias(f"_{end}"))
+            ends = balanced_join(ends, at, [end], "inner", ["u", "v"], limit=SMALL_ROWS)
+        moved = connected_components(ends.select(F.col("_u").alias("u"), F.col("_v").alias("v")).distinct(), limit=SMALL_ROWS)
+        to = moved.select(F.col("node").alias("label"), F.col("label").alias("_to"))
+        small = is_small(to, SMALL_ROWS)
+
+        def follow(df: DataFrame) -> DataFrame:
+            found = df.join(F.broadcast(to) if small else to, "label", "left")
+            return found.withColumn("label", F.coalesce("_to", "label")).drop("_to").select(df.columns)
+
+        labels = materialise(follow(labels), "labels")
+        # Buckets that lie in one component are done with.
+        renamed = materialise(follow(members), "buckets")
+        spread = renamed.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).filter("_low < _high")
+        members = materialise(renamed.join(spread.select("key"), "key"), "open-buckets")
+
+    labels = materialise(labels, "labels")
+    before = None
+    for turn in range(STAR_ROUNDS):
+        parts = members.groupBy("key", "label").agg(
+            F.count(F.lit(1)).alias("_size"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n")).alias("_at")
+        )
+        pivots = parts.groupBy("key").agg(F.max(F.struct("_size", F.col("_at.h").alias("h"), F.col("_at.node").alias("node"), F.col("_at.n").alias("n"), "label")).alias("p"))
+        pivots = pivots.select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("_n"), F.col("p.label").alias("_label"))
+        pairs = members.join(pivots, "key").filter((F.col("label") != F.col("_label")) & fits("n", "_n"))
+        pairs = pairs.select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct()
+        if before is not None:
+            pairs = pairs.join(before, ["u", "v"], "left_anti")
+        pairs = materialise(pairs, "star-pairs")
+        tested = pairs.count()
+        if not tested:
+            break
+        before = pairs if before is None else before.unionByName(pairs)
+        links = materialise(_confirmed(pairs, sets, percent), "links")
+        linked = links.count()
+        if linked:
+            merged(links)
+        if linked * 20 < tested or is_small(members, 0):
+            break
+    if is_small(members, 0):
+        return labels
+    # Classes outside the largest components: whom can they still be linked with?
+    rest = members.select("node").distinct()
+    own = _own_shingles(sets.join(rest, "node", "left_semi"))
+    bounded = members.join(own, "node", "left").select(
+        "key", "node", "n", "label", (F.col("n") - F.coalesce("own", F.lit(0))).alias("most")
+    ).filter(F.col("most") * 100 >= F.col("n") * percent)
+    bounded = materialise(bounded, "bounded-buckets")
+    a, b = bounded.alias("a"), bounded.alias("b")
+    both, union = F.least("a.most", "b.most"), F.col("a.n") + F.col("b.n")
+    across = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.label") < F.col("b.label")) & fits("a.n", "b.n")
+                    & (both * 100 >= (union - both) * percent))
+    pairs = across.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
+    for first, second in (("u", "v"), ("v", "u")):
+        if before is not None:
+            pairs = pairs.join(before.select(F.col("u").alias(first), F.col("v").alias(second)), ["u", "v"], "left_anti")
+    links = materialise(_confirmed(materialise(pairs, "cross-pairs"), sets, percent), "links")
+    if not is_small(links, 0):
+        merged(links)
+    return labels
+
+
 def with_class(items: DataFrame, classes: DataFrame) -> DataFrame:
     """``items`` beside their class; a set held by most items is spread."""
     return balanced_join(items, classes, ["set_a", "set_b"], "left", ["doc_id", "part"], limit=SMALL_ROWS)
