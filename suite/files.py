@@ -207,7 +207,7 @@ def _(t: Tables):
 @query("s18_collection_windows", f"""WITH {EV}, w AS (SELECT i AS k, DATE '2023-11-01' + (i*10)::INTEGER AS a FROM range(200) g(i)), x AS (SELECT a, least(a+9, DATE '2024-03-01') AS b FROM w WHERE a < DATE '2024-03-01')
  SELECT a::VARCHAR AS starttime, b::VARCHAR AS endtime, count(*) AS events FROM ev JOIN x ON CAST(time AS DATE) BETWEEN a AND b GROUP BY 1,2""")
 def _(t: Tables):
-    tagged = windows.with_window(t.catalog, "2023-11-01", "2024-03-01", days=9)
+    tagged = windows.with_window(t.catalog, "2023-11-01", "2024-03-01", days=9).filter("starttime is not null")
     return tagged.groupBy(c("starttime").cast("string").alias("starttime"), c("endtime").cast("string").alias("endtime")).agg(
         F.count(F.lit(1)).alias("events"))
 
@@ -216,6 +216,6 @@ def _(t: Tables):
  SELECT a::VARCHAR AS starttime, b::VARCHAR AS endtime, count(id) AS events FROM x LEFT JOIN ev ON CAST(time AS DATE) BETWEEN a AND b GROUP BY 1,2""")
 def _(t: Tables):
     spans = windows.collection_windows(t.spark, "2023-01-01", "2024-12-31")
-    counted = windows.with_window(t.catalog, "2023-01-01", "2024-12-31").groupBy("starttime").agg(F.count(F.lit(1)).alias("events"))
+    counted = windows.with_window(t.catalog, "2023-01-01", "2024-12-31").filter("starttime is not null").groupBy("starttime").agg(F.count(F.lit(1)).alias("events"))
     return spans.join(F.broadcast(counted), "starttime", "left").select(
         c("starttime").cast("string").alias("starttime"), c("endtime").cast("string").alias("endtime"), F.coalesce("events", F.lit(0)).alias("events"))

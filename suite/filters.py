@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from suite.base import Tables, query, stamp
-from suite.sql import ENH, EV, EVAL, LABELS, PROC, REGION, VALID, stamp as sql_stamp
+from suite.sql import COPIES, ENH, EV, EVAL, LABELS, PROC, REGION, VALID, stamp as sql_stamp
 from tremor.operators import dedup, filters
 from tremor.operators.charts import marker_sample, points
+from tremor.operators.maintain import CONTENT
 from tremor.operators.ranking import batches
 from tremor.plans import evaluation, served
 from tremor.schemas import CATALOG
@@ -31,9 +32,9 @@ def _(t: Tables):
     return filters.select_catalog(t.catalog, "2024-01-05", "2024-01-20", 3.5, (120, -60, -10, 50)).select("id", "longitude")
 
 
-@query("p3_select_newest", f"WITH {EV} SELECT id FROM ev WHERE magnitude >= 4 ORDER BY time DESC, id LIMIT 20000")
+@query("p3_select_newest", f"WITH {EV} SELECT id FROM ev WHERE magnitude >= 4 ORDER BY time DESC, id LIMIT 200")
 def _(t: Tables):
-    return filters.select_catalog(t.catalog, min_magnitude=4.0, limit=20_000).select("id")
+    return filters.select_catalog(t.catalog, min_magnitude=4.0, limit=200).select("id")
 
 
 @query("p9_select_existing", f"WITH {EV} SELECT id AS event, magnitude FROM ev")
@@ -74,9 +75,11 @@ INVALID = """(latitude < -90 OR latitude > 90) OR (longitude < -180 OR longitude
  OR hazard_score < 0 OR hazard_score > 50 OR intensity_score < 0 OR intensity_score > 30 OR region IS NULL OR region = '' OR place IS NULL OR place = ''"""
 
 
-@query("p14_invalid_records", f"WITH {ENH} SELECT id FROM enh WHERE {INVALID.replace('depth > 700', 'depth > 800')}")
+@query("p14_invalid_records", f"WITH {ENH} SELECT id FROM (SELECT * REPLACE (depth*1.3::DOUBLE AS depth, CASE WHEN tsunami=1 THEN '' ELSE place END AS place) FROM enh) WHERE {INVALID.replace('depth > 700', 'depth > 800')}")
 def _(t: Tables):
-    return t.enhanced.filter(filters.invalid_record()).select("id")
+    """A catalog with depths out of range and places left blank."""
+    spoilt = t.enhanced.withColumns({"depth": c("depth") * 1.3, "place": F.when(c("tsunami") == 1, "").otherwise(c("place"))})
+    return spoilt.filter(filters.invalid_record()).select("id")
 
 
 @query("p15_magnitude_range", f"WITH {ENH} SELECT id, magnitude, {sql_stamp('datetime_local')} AS datetime_local FROM enh WHERE magnitude BETWEEN 4.0 AND 5.0 ORDER BY enh.datetime_local DESC, id LIMIT 5")
@@ -122,14 +125,14 @@ def _(t: Tables):
     return evaluation.top_magnitude(t.evaluated)
 
 
-@query("k5_viewing_rows", f"WITH {EVAL} SELECT id, magnitude, earthquake_cluster FROM eva WHERE magnitude IS NOT NULL ORDER BY id LIMIT 10000")
+@query("k5_viewing_rows", f"WITH {EVAL} SELECT id, magnitude, earthquake_cluster FROM eva WHERE magnitude IS NOT NULL ORDER BY id LIMIT 700")
 def _(t: Tables):
-    return served.viewing_rows(t.evaluated).select("id", "magnitude", "earthquake_cluster")
+    return served.viewing_rows(t.evaluated, 700).select("id", "magnitude", "earthquake_cluster")
 
 
-@query("k6_marker_sample")
+@query("k6_marker_sample", f"WITH {PROC} SELECT id, magnitude FROM proc ORDER BY md5(id || '/42'), id LIMIT 500")
 def _(t: Tables):
-    return marker_sample(t.processed)
+    return marker_sample(t.processed).select("id", "magnitude")
 
 
 @query("k8_time_ordered", f"WITH {EV} SELECT {sql_stamp('time')} AS datetime_local, magnitude FROM ev WHERE time IS NOT NULL AND magnitude IS NOT NULL ORDER BY time")
@@ -167,10 +170,10 @@ def _(t: Tables):
         "id", "magnitude", "batch")
 
 
-@query("u2_except_distinct", f"WITH {EV} SELECT felt, cdi FROM ev EXCEPT SELECT felt, cdi FROM ev WHERE alert='red'")
+@query("u2_except_distinct", f"WITH {EV} SELECT felt, alert FROM ev EXCEPT SELECT felt, alert FROM ev WHERE magnitude >= 5")
 def _(t: Tables):
     rows = t.catalog
-    return dedup.except_distinct(rows.select("felt", "cdi"), rows.filter("alert = 'red'").select("felt", "cdi"))
+    return dedup.except_distinct(rows.select("felt", "alert"), rows.filter("magnitude >= 5").select("felt", "alert"))
 
 
 @query("u2_new_since", f"WITH {EV} SELECT id FROM ev WHERE time > (SELECT max(time) FROM ev) - INTERVAL 7 DAY")
@@ -193,9 +196,12 @@ def _(t: Tables):
     return t.catalog.select("id").distinct()
 
 
-W1 = ["region", "depth_category", "magnitude_hazard", "tsunami", "alert_level", "intensity_score"]
+def with_copies(t: Tables):
+    """The enhanced catalog, in which every seventh event has copies under two other ids."""
+    again = t.enhanced.filter("event_id % 7 = 0").withColumn("id", F.explode(F.array(F.concat(F.lit("a"), "id"), F.concat("id", F.lit("b")))))
+    return t.enhanced.unionByName(again)
 
 
-@query("w1_duplicate_rows", f"WITH {ENH} SELECT id, row_number() OVER (PARTITION BY {', '.join(W1)} ORDER BY id) AS rn FROM enh QUALIFY rn > 1")
+@query("w1_duplicate_rows", f"WITH {ENH}, {COPIES} SELECT id, row_number() OVER (PARTITION BY {', '.join(CONTENT)} ORDER BY id) AS rn FROM copies QUALIFY rn > 1")
 def _(t: Tables):
-    return dedup.duplicates(t.enhanced.select("id", *W1), W1).select("id", "rn")
+    return dedup.duplicates(with_copies(t).select("id", *CONTENT), CONTENT).select("id", "rn")

@@ -53,7 +53,7 @@ def _(t: Tables):
 
 
 # The categories that vary in the test tables, and the leading numeric features in vector order.
-VARYING = ["alert_standardized", "magnitude_category", "depth_category_detailed", "geographic_zone"]
+VARYING = ["alert_standardized", "magnitude_category", "depth_category_detailed", "geographic_zone", "season"]
 LEADING = ["magnitude", "depth", "latitude", "longitude"]
 
 
@@ -83,12 +83,24 @@ def _(t: Tables):
     return rounded(leading(t, "features_scaled"), *LEADING)
 
 
-@query("l5_principal_components")
+@query("l5_principal_components", "SELECT i::INTEGER AS component, true AS uncorrelated, true AS descending FROM range(10) g(i)")
 def _(t: Tables):
+    """What makes them principal: no two components correlate, and their variances fall."""
     from pyspark.ml.functions import vector_to_array
 
     _, rows = features(t)
-    return rows.select("id", vector_to_array("features_pca").alias("components"))
+    v = rows.select(vector_to_array("features_pca").alias("v"))
+    spread = v.agg(*[F.var_pop(c("v")[i]).alias(f"v{i}") for i in range(10)],
+                   *[F.covar_pop(c("v")[i], c("v")[j]).alias(f"c{i}_{j}") for i in range(10) for j in range(i)])
+    cells = []
+    for i in range(10):
+        small = F.lit(True)
+        for j in range(10):
+            if i != j:
+                small = small & (F.abs(c(f"c{max(i, j)}_{min(i, j)}")) < 1e-6)
+        cells.append(F.struct(F.lit(i).alias("component"), small.alias("uncorrelated"),
+                              (F.lit(True) if i == 0 else c(f"v{i}") <= c(f"v{i - 1}") + 1e-9).alias("descending")))
+    return spread.select(F.explode(F.array(*cells)).alias("x")).select("x.*")
 
 
 @query("l7_label_encoding", f"WITH RECURSIVE {CLUSTERS}, n AS (SELECT risk_zone, (row_number() OVER (ORDER BY risk_zone)-1)::DOUBLE AS label FROM (SELECT DISTINCT risk_zone FROM clus)) SELECT id, risk_zone, label FROM clus JOIN n USING (risk_zone)")
@@ -102,24 +114,37 @@ def _(t: Tables):
     return marked.groupBy("region").agg(F.count(F.lit(1)).alias("rows"), F.count_if("is_test").alias("test_rows"))
 
 
-@query("l9_random_forest")
+# Rows left for training by the exact split, and the share of the largest class.
+TRAINED = """tr AS (SELECT sum(n - round(n*0.2::DOUBLE)::BIGINT)::BIGINT AS training_samples FROM (SELECT count(*) AS n FROM clus GROUP BY risk_zone))"""
+
+
+def fitted(t: Tables, name: str):
+    """What holds for any sound fit: the samples it saw, metrics within bounds, better than a coin."""
+    row = comparison(t)[1].filter(c("model_name") == name)
+    within = F.lit(True)
+    for x in ("accuracy", "precision", "recall", "f1_score"):
+        within = within & c(x).between(0.0, 1.0)
+    return row.select("model_name", c("training_samples").cast("bigint").alias("training_samples"), within.alias("in_bounds"), (c("accuracy") > 0.5).alias("learned"))
+
+
+@query("l9_random_forest", f"WITH RECURSIVE {CLUSTERS}, {TRAINED} SELECT 'RandomForest' AS model_name, training_samples, true AS in_bounds, true AS learned FROM tr")
 def _(t: Tables):
-    return comparison(t)[1].filter("model_name = 'RandomForest'")
+    return fitted(t, "RandomForest")
 
 
-@query("l10_logistic_regression")
+@query("l10_logistic_regression", f"WITH RECURSIVE {CLUSTERS}, {TRAINED} SELECT 'LogisticRegression' AS model_name, training_samples, true AS in_bounds, true AS learned FROM tr")
 def _(t: Tables):
-    return comparison(t)[1].filter("model_name = 'LogisticRegression'")
+    return fitted(t, "LogisticRegression")
 
 
-@query("l11_grid_search")
+@query("l11_grid_search", "SELECT leaf AS min_leaf, true AS in_bounds FROM (VALUES ('1'),('2'),('4')) v(leaf)")
 def _(t: Tables):
     """Three of the default grid's settings over its five folds; all 81 run for hours on one machine."""
     rows = with_extended_features(t.training.drop("is_test"))
     found = models.search(rows, grid={"numTrees": [100], "maxDepth": [10], "minInstancesPerNode": [1, 2, 4]}, parallelism=2)
     table = [({p.name: str(v) for p, v in m.items()}, float(s)) for m, s in zip(found.getEstimatorParamMaps(), found.avgMetrics)]
     return t.spark.createDataFrame(table, "settings map<string,string>, f1_weighted double").select(
-        F.to_json("settings").alias("settings"), "f1_weighted")
+        c("settings")["minInstancesPerNode"].alias("min_leaf"), c("f1_weighted").between(0.0, 1.0).alias("in_bounds"))
 
 
 @query("l11_stratified_folds", f"WITH {PROC}, n AS (SELECT region, count(*) AS n FROM proc GROUP BY 1) SELECT region, f::INTEGER AS fold, (n//5 + CASE WHEN f < n%5 THEN 1 ELSE 0 END) AS \"rows\" FROM n, range(5) g(f)")
@@ -145,24 +170,47 @@ def _(t: Tables):
     return rounded(metrics.class_report(guesses(t)).drop("hit"), "precision", "recall", "f1_score")
 
 
-@query("l14_feature_importances")
-def _(t: Tables):
+def importances(t: Tables):
     return models.feature_importances(t.spark, comparison(t)[0]["RandomForest"])
 
 
-@query("k7_top_features")
+@query("l14_feature_importances", "SELECT 9::BIGINT AS features, 1.0::DOUBLE AS total, true AS positive")
+def _(t: Tables):
+    found = importances(t).agg(F.countDistinct("feature").alias("features"), F.sum("importance").alias("total"), (F.min("importance") >= 0).alias("positive"))
+    return rounded(found, "total")
+
+
+@query("k7_top_features", "SELECT i::INTEGER AS place, i::BIGINT AS larger FROM range(5) g(i)")
+def _(t: Tables):
+    """Place i has i features above it."""
+    every = importances(t)
+    top = models.top_features(every).collect()
+    rows = [(i, sum((r["importance"], x["feature"]) > (x["importance"], r["feature"]) for r in every.collect())) for i, x in enumerate(top)]
+    return t.spark.createDataFrame(rows, "place int, larger bigint")
+
+
+@query("l15_best_model", f"WITH RECURSIVE {CLUSTERS}, {TRAINED} SELECT training_samples, true AS best, true AS named FROM tr")
 def _(t: Tables):
-    return models.top_features(models.feature_importances(t.spark, comparison(t)[0]["RandomForest"]))
+    best, every = models.best_model(comparison(t)[1]), comparison(t)[1]
+    highest = every.agg(F.max("f1_score").alias("m")).scalar()
+    return best.select(c("training_samples").cast("bigint").alias("training_samples"), (c("f1_score") == highest).alias("best"),
+                       c("model_name").isin("RandomForest", "LogisticRegression").alias("named"))
 
 
-@query("l15_best_model")
+@query("l16_scored_clusters", f"WITH RECURSIVE {CLUSTERS} SELECT id, cluster_id, true AS known_zone, true AS sure FROM clus")
 def _(t: Tables):
-    return models.best_model(comparison(t)[1])
+    scored = models.score(t.clusters, t.processed, comparison(t)[0]["RandomForest"])
+    zones = [r[0] for r in t.clusters.select("risk_zone").distinct().collect()]
+    return scored.select("id", "cluster_id", c("risk_zone").isin(zones).alias("known_zone"), (c("probability") > 1 / len(zones) - 1e-9).alias("sure"))
 
 
-@query("l16_scored_clusters")
+@query("l16_batch_independent", f"WITH RECURSIVE {CLUSTERS} SELECT id, true AS same FROM clus WHERE risk_zone = 'Low'")
 def _(t: Tables):
-    return models.score(t.clusters, t.processed, comparison(t)[0]["RandomForest"]).select("id", "cluster_id", "risk_zone", "probability")
+    """An event scores the same in a small batch as among all events."""
+    model, few = comparison(t)[0]["RandomForest"], t.clusters.filter("risk_zone = 'Low'")
+    alone = models.score(few, t.processed, model).select("id", c("risk_zone").alias("zone"), c("probability").alias("p"))
+    among = models.score(t.clusters, t.processed, model).select("id", "risk_zone", "probability")
+    return alone.join(among, "id").select("id", (c("zone").eqNullSafe(c("risk_zone")) & (F.abs(c("p") - c("probability")) < 1e-9)).alias("same"))
 
 
 @query("l16_scored_without_model", f"WITH RECURSIVE {CLUSTERS} SELECT id, risk_zone FROM clus")
@@ -170,20 +218,30 @@ def _(t: Tables):
     return models.score(t.clusters.drop("risk_zone"), t.processed, None).select("id", "risk_zone")
 
 
-@query("l17_saved_model")
+@query("l17_saved_model", f"WITH RECURSIVE {CLUSTERS} SELECT id, true AS same FROM clus")
 def _(t: Tables):
+    """The model read back scores every event as the fitted one does."""
     path = sinks.scratch_path(t.catalog, "model")
-    models.save(comparison(t)[0]["LogisticRegression"], path)
-    return models.score(t.clusters, t.processed, models.load(path)).groupBy("risk_zone").count()
+    model = comparison(t)[0]["LogisticRegression"]
+    models.save(model, path)
+    first = models.score(t.clusters, t.processed, model).select("id", c("risk_zone").alias("zone"), c("probability").alias("p"))
+    again = models.score(t.clusters, t.processed, models.load(path)).select("id", "risk_zone", "probability")
+    same = c("zone").eqNullSafe(c("risk_zone")) & (F.abs(c("p") - c("probability")) < 1e-9)
+    return first.join(again, "id").select("id", same.alias("same"))
 
 
-@query("g3_k_means_silhouettes")
+@query("g3_k_means_silhouettes", "SELECT i::INTEGER AS k, true AS in_bounds FROM range(2, 11) g(i)")
 def _(t: Tables):
-    return kept(t, "k_means", lambda: models.choose_k_means(features(t)[1]))[1]
+    found = kept(t, "k_means", lambda: models.choose_k_means(features(t)[1]))[1]
+    return found.select("k", c("silhouette").between(-1.0, 1.0).alias("in_bounds"))
 
 
-@query("a4_k_means_profile")
+@query("a4_k_means_profile", f"WITH {FEAT} SELECT count(*) AS events, {r('avg(magnitude)')} AS avg_magnitude, {r('avg(depth)')} AS avg_depth FROM feat")
 def _(t: Tables):
+    """The profiles, weighted by their sizes, add up to the whole catalog."""
     rows = features(t)[1]
     model, _ = kept(t, "k_means", lambda: models.choose_k_means(rows))
-    return models.k_means_profile(model.transform(rows))
+    whole = models.k_means_profile(model.transform(rows)).agg(
+        F.sum("cluster_size").alias("events"),
+        *[(F.sum(c(x) * c("cluster_size")) / F.sum("cluster_size")).alias(x) for x in ("avg_magnitude", "avg_depth")])
+    return rounded(whole, "avg_magnitude", "avg_depth")

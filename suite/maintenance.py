@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from suite.base import Tables, query
-from suite.sql import CLUSTERS, CLUSTER_RISK, ENH, PROC, r
+from suite.filters import with_copies
+from suite.sql import CLUSTERS, CLUSTER_RISK, COPIES, ENH, PROC, r
 from tremor.operators import maintain
 from tremor.plans.etl import ENHANCED_COLUMNS
 from tremor.plans.master import PROCESSED_COLUMNS
@@ -61,17 +62,14 @@ def _(t: Tables):
     return maintain.round_depth(snapshot(t))[0].select("id", "depth")
 
 
-SHORT = ["region", "depth_category", "magnitude_hazard", "tsunami", "alert_level", "intensity_score"]
-
-
-@query("z6_delete_duplicates", f"WITH {ENH} SELECT id, region FROM enh QUALIFY row_number() OVER (PARTITION BY {', '.join(SHORT)} ORDER BY id)=1")
+@query("z6_delete_duplicates", f"WITH {ENH}, {COPIES} SELECT id, region FROM copies QUALIFY row_number() OVER (PARTITION BY {', '.join(maintain.CONTENT)} ORDER BY id)=1")
 def _(t: Tables):
-    return maintain.delete_duplicates(snapshot(t), SHORT)[0].select("id", "region")
+    return maintain.delete_duplicates(with_copies(t).select(*ENHANCED_COLUMNS))[0].select("id", "region")
 
 
-@query("z6_deleted_duplicates", f"WITH {ENH} SELECT id FROM enh QUALIFY row_number() OVER (PARTITION BY {', '.join(maintain.CONTENT[1:10])} ORDER BY id)>1")
+@query("z6_deleted_duplicates", f"WITH {ENH}, {COPIES} SELECT id FROM copies QUALIFY row_number() OVER (PARTITION BY {', '.join(maintain.CONTENT)} ORDER BY id)>1")
 def _(t: Tables):
-    return maintain.delete_duplicates(snapshot(t), maintain.CONTENT[1:10])[1].select("id")
+    return maintain.delete_duplicates(with_copies(t).select(*ENHANCED_COLUMNS))[1].select("id")
 
 
 OLD = "magnitude<4.2 AND hazard_score<9 AND datetime_local < (SELECT max(datetime_local) FROM enh) - INTERVAL 7 DAY"

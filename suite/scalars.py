@@ -54,9 +54,10 @@ scalar("d6_season_name", {"season": (
 )})
 
 
-@query("d7_processing_time")
+@query("d7_processing_time", f"WITH {EV} SELECT id, true AS stamped FROM ev")
 def _(t: Tables):
-    return t.catalog.select("id", F.current_timestamp().alias("processed_at"))
+    stamped = t.catalog.select("id", F.current_timestamp().alias("processed_at"))
+    return stamped.select("id", (c("processed_at") > F.timestamp_seconds(F.lit(1_600_000_000))).alias("stamped"))
 
 
 scalar("d8_parse_time", {

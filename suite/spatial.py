@@ -38,11 +38,15 @@ def _(t: Tables):
     return dbscan(t.processed)
 
 
-@query("g2_dbscan_regional")
+@query("g2_dbscan_regional", f"""WITH {PROC}, q AS (SELECT id, radians(latitude) AS p, radians(longitude) AS l, sin(radians(latitude)) AS z,
+ cos(radians(latitude))*cos(radians(longitude)) AS x, cos(radians(latitude))*sin(radians(longitude)) AS y FROM proc),
+ n AS (SELECT a.id, count(*) AS near FROM q a JOIN q b ON pow(a.x-b.x,2)+pow(a.y-b.y,2)+pow(a.z-b.z,2) <= pow(2*sin(0.05::DOUBLE),2) GROUP BY a.id)
+ SELECT id, near >= 5 AS is_core FROM n""")
 def _(t: Tables):
+    """The core events; the clusters themselves are compared with brute force in the tests."""
     from tremor.constants import DBSCAN_EPS_REGIONAL
 
-    return dbscan(t.processed, eps=DBSCAN_EPS_REGIONAL)
+    return dbscan(t.processed, eps=DBSCAN_EPS_REGIONAL).select("id", "is_core")
 
 
 @query("a6_cluster_summary", f"""WITH RECURSIVE {CLUSTERS} SELECT cluster_id, {r('avg_magnitude')} AS avg_magnitude, max_magnitude, cluster_size,
@@ -92,6 +96,12 @@ def _(t: Tables):
     return copies.select("id", "magnitude_type", c("data_source").alias("source"))
 
 
-@query("g4_augmented_catalog")
+def _noise(column: str) -> str:
+    u, v = (f"(CAST('0x' || substr(md5(id || '/' || i || '/{column}/{k}'), 1, 13) AS BIGINT)+1)/4503599627370496.0::DOUBLE" for k in (84, 85))
+    moved = f"{column} + sqrt(-2*ln({u}))*cos(2*pi()*({v}))*(SELECT stddev_samp({column}) FROM ev)*0.001::DOUBLE"
+    return f"{r(f'CASE WHEN i=0 THEN {column} ELSE {moved} END')} AS {column}"
+
+
+@query("g4_augmented_catalog", f"WITH {EV} SELECT CASE WHEN i=0 THEN id ELSE id || '_aug_' || i END AS id, {', '.join(map(_noise, ('latitude', 'longitude', 'depth', 'magnitude')))} FROM ev, range(3) g(i)")
 def _(t: Tables):
-    return augment(t.catalog, 3).select("id", "latitude", "longitude", "depth", "magnitude")
+    return rounded(augment(t.catalog, 3).select("id", "latitude", "longitude", "depth", "magnitude"), "latitude", "longitude", "depth", "magnitude")

@@ -13,7 +13,7 @@ def stamp(x: str) -> str:
 
 
 EV = """ev AS (
- SELECT event_id, 'ev' || event_id AS id, ts AS time, ts AS updated,
+ SELECT event_id, 'ev' || event_id AS id, ts - to_days(CAST((event_id*17) % 1400 AS INTEGER)) AS time, ts - to_days(CAST((event_id*17) % 1400 AS INTEGER)) AS updated,
   CASE WHEN event_id % 4 = 0
    THEN CAST(-12 AS DOUBLE) + CAST((event_id*7919) % 10007 AS DOUBLE)*20/10007
    ELSE CAST(-11 AS DOUBLE) + CAST((user_id*37) % 180 AS DOUBLE)/10 + (CAST((event_id*7919) % 1000 AS DOUBLE)-500)/1000 END AS latitude,
@@ -67,6 +67,8 @@ INTENSITY = """(CASE WHEN felt>=1000 THEN 3 WHEN felt>=100 THEN 2 WHEN felt>=10
  + CASE WHEN cdi>=8 THEN 4 WHEN cdi>=6 THEN 3 WHEN cdi>=4 THEN 2 WHEN cdi>=2 THEN 1 ELSE 0 END
  + CASE WHEN mmi>=8 THEN 4 WHEN mmi>=6 THEN 3 WHEN mmi>=4 THEN 2 WHEN mmi>=2 THEN 1 ELSE 0 END)"""
 
+SEASON = """CASE WHEN month(time) IN (12,1,2) THEN 'winter' WHEN month(time) IN (3,4,5) THEN 'spring' WHEN month(time) IN (6,7,8) THEN 'summer' ELSE 'autumn' END"""
+
 VALID = """latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180 AND magnitude>0 AND depth>=0
  AND NOT isnan(magnitude) AND NOT isnan(depth) AND id IS NOT NULL"""
 
@@ -77,6 +79,10 @@ ENH = f"""{EV}, enh0 AS (SELECT *, time + INTERVAL 7 HOUR AS datetime_local, {DE
  enh AS (SELECT *, coalesce(magnitude,0)*2 + intensity_score*1.5::DOUBLE + alert_level + tsunami*3
   + CASE WHEN depth<=30 THEN 2 ELSE 0 END AS hazard_score FROM enh0)"""
 
+# The enhanced catalog with every seventh event under two more ids.
+COPIES = """copies AS (SELECT * FROM enh UNION ALL SELECT * REPLACE ('a' || id AS id) FROM enh WHERE event_id % 7 = 0
+ UNION ALL SELECT * REPLACE (id || 'b' AS id) FROM enh WHERE event_id % 7 = 0)"""
+
 # Batch ETL profile.
 FEAT = f"""{EV}, clean0 AS (SELECT * EXCLUDE (alert, place),
   regexp_replace(coalesce(alert,'unknown'), '[^a-zA-Z0-9\\s,.-]', '', 'g') AS alert,
@@ -84,7 +90,7 @@ FEAT = f"""{EV}, clean0 AS (SELECT * EXCLUDE (alert, place),
  clean AS (SELECT *, CASE WHEN alert IN ('green','GREEN') THEN 'green' WHEN alert IN ('yellow','YELLOW') THEN 'yellow'
   WHEN alert IN ('orange','ORANGE') THEN 'orange' WHEN alert IN ('red','RED') THEN 'red' ELSE 'unknown' END AS alert_standardized FROM clean0),
  feat AS (SELECT *, year(time)::INTEGER AS year, month(time)::INTEGER AS month, day(time)::INTEGER AS day, hour(time)::INTEGER AS hour,
-  {MAGNITUDE_LEVEL} AS magnitude_category, {DEPTH_LEVEL} AS depth_category_detailed, {ZONE} AS geographic_zone,
+  {MAGNITUDE_LEVEL} AS magnitude_category, {DEPTH_LEVEL} AS depth_category_detailed, {ZONE} AS geographic_zone, {SEASON} AS season,
   magnitude*0.4::DOUBLE + CASE WHEN depth<=50 THEN 1.0::DOUBLE ELSE 0.5::DOUBLE END*0.3::DOUBLE
    + CASE alert_standardized WHEN 'red' THEN 1.0::DOUBLE WHEN 'orange' THEN 0.7::DOUBLE WHEN 'yellow' THEN 0.4::DOUBLE ELSE 0.1::DOUBLE END*0.3::DOUBLE AS risk_score
   FROM clean)"""

@@ -13,8 +13,9 @@ NOISY = ("longitude", "latitude", "depth", "magnitude")
 
 
 def _uniform(*parts) -> Column:
-    """A number in (0, 1] that depends only on its inputs."""
-    return (F.pmod(F.xxhash64(*parts), F.lit(1 << 52)) + 1) / float(1 << 52)
+    """A number in (0, 1] that depends only on its inputs: 52 bits of their MD5."""
+    digits = F.substring(F.md5(F.concat_ws("/", *[p.cast("string") for p in parts])), 1, 13)
+    return (F.conv(digits, 16, 10).cast("bigint") + 1) / float(1 << 52)
 
 
 def _normal(seed: int, *parts) -> Column:

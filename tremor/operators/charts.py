@@ -79,4 +79,4 @@ def points(df: DataFrame, columns: list[str], order: str) -> DataFrame:
 
 def marker_sample(df: DataFrame, n: int = 500, seed: int = 42) -> DataFrame:
     """A fixed-size sample that depends only on the ids and the seed."""
-    return df.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(n)
+    return df.orderBy(F.md5(F.concat(F.col("id").cast("string"), F.lit(f"/{seed}"))), "id").limit(n)

@@ -2,7 +2,8 @@
 
 Integer arithmetic on the keys places every event, so that the catalog is the
 same on any engine. A quarter of the events is spread over the whole map and
-the rest forms swarms around a place that belongs to the user id.
+the rest forms swarms around a place that belongs to the user id. The times are
+moved back by up to 1400 days, so that the catalog covers several years.
 """
 
 from __future__ import annotations
@@ -21,11 +22,12 @@ def catalog_from_events(events: DataFrame) -> DataFrame:
     near_lat = F.lit(-11.0) + ((u * 37) % 180).cast("double") / 10 + (((e * 7919) % 1000).cast("double") - 500) / 1000
     near_lon = F.lit(95.0) + ((u * 53) % 460).cast("double") / 10 + (((e * 104729) % 1000).cast("double") - 500) / 1000
     kind = F.col("event_type")
+    time = F.col("ts").cast("timestamp") - F.make_dt_interval(days=((e * 17) % 1400).cast("int"))
     return events.select(
         "event_id",
         F.concat(F.lit("ev"), e.cast("string")).alias("id"),
-        F.col("ts").cast("timestamp").alias("time"),
-        F.col("ts").cast("timestamp").alias("updated"),
+        time.alias("time"),
+        time.alias("updated"),
         F.when(spread, wide_lat).otherwise(near_lat).alias("latitude"),
         F.when(spread, wide_lon).otherwise(near_lon).alias("longitude"),
         (k * k / F.lit(14.0)).alias("depth"),
