@@ -27,8 +27,9 @@ class Tables:
 
     @cached_property
     def catalog(self) -> DataFrame:
-        """The whole events table as a catalog, written once as the operators' input."""
-        return materialise(catalog_from_events(self.spark.read.parquet(f"{self.folder}/events.parquet")), "catalog")
+        """The whole events table as a catalog, dealt by id and written once as the operators' input."""
+        events = self.spark.read.parquet(f"{self.folder}/events.parquet")
+        return materialise(catalog_from_events(events).repartition("id"), "catalog")
 
     @cached_property
     def enhanced(self) -> DataFrame:
