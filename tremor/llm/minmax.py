@@ -8,10 +8,10 @@ joined to components.
 Groups are never paired out. Texts with equal sets become one class first. In each band bucket the classes are
 compared with one of them, the pivot, and linked ones joined to components; further rounds take a pivot from the
 largest component of each bucket that still spans several, and compare it with the classes outside. What then is left
-outside, classes linked with no pivot, is compared with the classes of other components of its buckets, unless its
-shingles rule that out: those that no other class in question has bound the intersection from above. The
-result is that of comparing all classes that share a bucket: pairs left out lie in one component already, or cannot
-be similar enough.
+outside, classes linked with no pivot, is compared with the classes of other components of its buckets, unless that
+cannot give a link: Jaccard distance is a metric, so two classes whose distances from their bucket's first pivot differ
+by more than a link may span are apart, and shingles that no other class in question has bound the intersection. The
+result is that of comparing all classes that share a bucket.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ PAIRS_PER_SPLIT = 2_000
 ITEMS = "doc_id long, part int, n_shingles int, set_a long, set_b long, bands array<long>"
 MASK = (1 << 64) - 1
 # Rounds of pivots before the classes left outside are compared with each other.
-STAR_ROUNDS = 5
+STAR_ROUNDS = 4
 
 
 def _numbers(seed: int, n: int) -> np.ndarray:
@@ -167,8 +167,8 @@ def _own_shingles(sets: DataFrame) -> DataFrame:
     return single.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sets have 100 * intersection >= percent * union."""
+def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(u, v, both, whole): the sizes of the intersection and the union of each pair's sets, written."""
     right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("set_v"))
     left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("set_u"))
     # A pivot can be in most pairs; its set is repeated for every few thousand of them.
@@ -177,19 +177,17 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            us, vs = batch.column("u").to_pylist(), batch.column("v").to_pylist()
-            keep = []
-            for i, (x, y) in enumerate(zip(batch.column("set_u"), batch.column("set_v"))):
+            sizes = []
+            for x, y in zip(batch.column("set_u"), batch.column("set_v")):
                 a = np.frombuffer(x.as_buffer(), dtype=np.uint64)
                 b = np.frombuffer(y.as_buffer(), dtype=np.uint64)
                 both = len(np.intersect1d(a, b, assume_unique=True))
-                if 100 * both >= percent * (len(a) + len(b) - both):
-                    keep.append(i)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([us[i] for i in keep], pa.int64()), pa.array([vs[i] for i in keep], pa.int64())], names=["u", "v"]
-            )
+                sizes.append((both, len(a) + len(b) - both))
+            both, whole = zip(*sizes) if sizes else ((), ())
+            columns = [batch.column("u"), batch.column("v"), pa.array(both, pa.int64()), pa.array(whole, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["u", "v", "both", "whole"])
 
-    return joined.mapInArrow(run, "u long, v long")
+    return materialise(joined.mapInArrow(run, "u long, v long, both long, whole long"), "measured")
 
 
 def near_classes(
@@ -254,28 +252,44 @@ def _linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         spread = renamed.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).filter("_low < _high")
         members = materialise(renamed.join(spread.select("key"), "key"), "open-buckets")
 
+    def linked(measured: DataFrame) -> DataFrame:
+        return measured.filter(F.col("both") * 100 >= F.col("whole") * percent).select("u", "v")
+
     labels = materialise(labels, "labels")
-    before = None
-    for turn in range(STAR_ROUNDS):
+    # The first pivot of a bucket, the same one wherever its bucket-mates meet, is compared with all of them.
+    first = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("p")).select("key", F.col("p.node").alias("pivot"))
+    starred = materialise(members.join(first, "key"), "starred-buckets")
+    before = materialise(starred.filter("pivot <> node").select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct(), "star-pairs")
+    measured = _measured(before, sets)
+    distance = measured.select(F.col("u").alias("pivot"), F.col("v").alias("node"), (1 - F.col("both") / F.col("whole")).alias("_far"))
+    members = materialise(
+        starred.join(distance, ["pivot", "node"], "left").select("key", "node", "n", "label", F.coalesce("_far", F.lit(0.0)).alias("far")),
+        "measured-buckets",
+    )
+    if not is_small(linked(measured), 0):
+        merged(linked(measured))
+    span = 1 - percent / 100 + 1e-9
+    for turn in range(1, STAR_ROUNDS):
         parts = members.groupBy("key", "label").agg(
-            F.count(F.lit(1)).alias("_size"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n")).alias("_at")
+            F.count(F.lit(1)).alias("_size"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "far")).alias("_at")
+        )
+        pivots = parts.groupBy("key").agg(F.max(F.struct("_size", "_at", "label")).alias("p"))
+        pivots = pivots.select(
+            "key", F.col("p._at.node").alias("pivot"), F.col("p._at.n").alias("_n"), F.col("p._at.far").alias("_far"), F.col("p.label").alias("_label")
         )
-        pivots = parts.groupBy("key").agg(F.max(F.struct("_size", F.col("_at.h").alias("h"), F.col("_at.node").alias("node"), F.col("_at.n").alias("n"), "label")).alias("p"))
-        pivots = pivots.select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("_n"), F.col("p.label").alias("_label"))
-        pairs = members.join(pivots, "key").filter((F.col("label") != F.col("_label")) & fits("n", "_n"))
-        pairs = pairs.select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct()
-        if before is not None:
-            pairs = pairs.join(before, ["u", "v"], "left_anti")
-        pairs = materialise(pairs, "star-pairs")
+        pairs = members.join(pivots, "key").filter(
+            (F.col("label") != F.col("_label")) & fits("n", "_n") & (F.abs(F.col("far") - F.col("_far")) <= span)
+        ).select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct()
+        pairs = materialise(pairs.join(before, ["u", "v"], "left_anti"), "star-pairs")
         tested = pairs.count()
         if not tested:
             break
-        before = pairs if before is None else before.unionByName(pairs)
-        links = materialise(_confirmed(pairs, sets, percent), "links")
-        linked = links.count()
-        if linked:
+        before = before.unionByName(pairs)
+        links = linked(_measured(pairs, sets))
+        found = links.count()
+        if found:
             merged(links)
-        if linked * 20 < tested or is_small(members, 0):
+        if found * 20 < tested or is_small(members, 0):
             break
     if is_small(members, 0):
         return labels
@@ -283,18 +297,17 @@ def _linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rest = members.select("node").distinct()
     own = _own_shingles(sets.join(rest, "node", "left_semi"))
     bounded = members.join(own, "node", "left").select(
-        "key", "node", "n", "label", (F.col("n") - F.coalesce("own", F.lit(0))).alias("most")
+        "key", "node", "n", "label", "far", (F.col("n") - F.coalesce("own", F.lit(0))).alias("most")
     ).filter(F.col("most") * 100 >= F.col("n") * percent)
     bounded = materialise(bounded, "bounded-buckets")
     a, b = bounded.alias("a"), bounded.alias("b")
     both, union = F.least("a.most", "b.most"), F.col("a.n") + F.col("b.n")
     across = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.label") < F.col("b.label")) & fits("a.n", "b.n")
-                    & (both * 100 >= (union - both) * percent))
+                    & (F.abs(F.col("a.far") - F.col("b.far")) <= span) & (both * 100 >= (union - both) * percent))
     pairs = across.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
-    for first, second in (("u", "v"), ("v", "u")):
-        if before is not None:
-            pairs = pairs.join(before.select(F.col("u").alias(first), F.col("v").alias(second)), ["u", "v"], "left_anti")
-    links = materialise(_confirmed(materialise(pairs, "cross-pairs"), sets, percent), "links")
+    for u, v in (("u", "v"), ("v", "u")):
+        pairs = pairs.join(before.select(F.col("u").alias(u), F.col("v").alias(v)), ["u", "v"], "left_anti")
+    links = linked(_measured(materialise(pairs, "cross-pairs"), sets))
     if not is_small(links, 0):
         merged(links)
     return labels
