@@ -113,7 +113,14 @@ def scalar(name: str, columns: dict[str, tuple[Callable[[], Column], str]], sour
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    return df.withColumns({c: settled(F.col(c), digits) for c in columns})
+
+
+def settled(x: Column, digits: int = 6) -> Column:
+    """Rounded, with ties moved off the middle as in ``suite.sql.r``."""
+    from suite.sql import TIE
+
+    return F.round(x + F.lit(TIE * 10 ** -digits) if digits >= 6 else x, digits)
 
 
 def stamp(column: str) -> Column:

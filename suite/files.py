@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from suite.base import Tables, query, stamp
+from suite.base import Tables, query, settled, stamp
 from suite.sql import ENH, EV, FEAT, PROC, r, stamp as sql_stamp
 from tremor.operators import stats
 from tremor.operators.filters import require_columns
@@ -120,7 +120,7 @@ def _(t: Tables):
 @query("s8_write_csv", f"WITH {FEAT} SELECT geographic_zone, count(*) AS earthquake_count, {r('avg(magnitude)')} AS avg_magnitude FROM feat GROUP BY 1")
 def _(t: Tables):
     path = sinks.scratch_path(t.catalog, "zone-stats") + ".csv"
-    small = stats.zone_stats(t.features).select("geographic_zone", "earthquake_count", F.round("avg_magnitude", 6).alias("avg_magnitude"))
+    small = stats.zone_stats(t.features).select("geographic_zone", "earthquake_count", settled(c("avg_magnitude")).alias("avg_magnitude"))
     sinks.write_csv(small, path, single_file=True)
     return t.spark.read.schema(small.schema).option("header", True).csv(path)
 

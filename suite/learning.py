@@ -119,12 +119,12 @@ TRAINED = """tr AS (SELECT sum(n - round(n*0.2::DOUBLE)::BIGINT)::BIGINT AS trai
 
 
 def fitted(t: Tables, name: str):
-    """What holds for any sound fit: the samples it saw, metrics within bounds, better than a coin."""
+    """What holds for any sound fit: the samples it saw, metrics within bounds, better than chance among four zones."""
     row = comparison(t)[1].filter(c("model_name") == name)
     within = F.lit(True)
     for x in ("accuracy", "precision", "recall", "f1_score"):
         within = within & c(x).between(0.0, 1.0)
-    return row.select("model_name", c("training_samples").cast("bigint").alias("training_samples"), within.alias("in_bounds"), (c("accuracy") > 0.5).alias("learned"))
+    return row.select("model_name", c("training_samples").cast("bigint").alias("training_samples"), within.alias("in_bounds"), (c("accuracy") > 0.25).alias("learned"))
 
 
 @query("l9_random_forest", f"WITH RECURSIVE {CLUSTERS}, {TRAINED} SELECT 'RandomForest' AS model_name, training_samples, true AS in_bounds, true AS learned FROM tr")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from suite.base import Tables, query, scalar
+from suite.base import Tables, query, scalar, settled
 from suite.sql import (
     ALERT_LEVEL, DEPTH_BAND, DEPTH_CLASS, DEPTH_LEVEL, ENH, EV, FEAT, HEMISPHERE, INTENSITY, MAGNITUDE_BAND,
     MAGNITUDE_CLASS, MAGNITUDE_HAZARD, MAGNITUDE_LEVEL, PROC, QUALITY, REGION, ZONE, r, stamp as sql_stamp,
@@ -17,7 +17,7 @@ c = F.col
 
 
 def r6(x):
-    return F.round(x, 6)
+    return settled(x)
 
 
 def text_stamp(x):
@@ -185,7 +185,7 @@ scalar("m11_ring_of_fire_axis", {"distance_from_ring_of_fire": (
 scalar("m12_magnitude_squared", {"magnitude_squared": (lambda: scores.magnitude_squared(c("magnitude")), "magnitude*magnitude")})
 scalar("m13_log_energy", {"energy_release_log": (lambda: scores.log_energy(c("magnitude")), "1.5::DOUBLE*magnitude+4.8::DOUBLE")})
 scalar("m14_seismic_moment", {"moment_log10": (
-    lambda: F.round(F.log10(scores.seismic_moment(c("magnitude"))), 9), r("log10(pow(10, 1.5::DOUBLE*magnitude+9.1::DOUBLE))", 9))})
+    lambda: settled(F.log10(scores.seismic_moment(c("magnitude"))), 9), r("log10(pow(10, 1.5::DOUBLE*magnitude+9.1::DOUBLE))", 9))})
 scalar("m15_stress_drop", {"stress_drop": (
     lambda: r6(scores.stress_drop(c("magnitude"), c("depth"))), r("pow(10, magnitude-5)*(1+depth/100)"))})
 scalar("m16_intensity_composite", {"intensity_composite": (
