@@ -118,7 +118,8 @@ def _(t: Tables):
 @query("a19_cell_analysis", f"""WITH {EVAL} SELECT coalesce(earthquake_cluster,-1) AS earthquake_cluster, geographic_zone, count(*) AS cluster_size, {r('avg(magnitude)', 9)} AS avg_magnitude,
  {r('avg(depth)', 9)} AS avg_depth, {r('avg(risk_score)', 9)} AS avg_risk, {r('count(*)*100.0::DOUBLE/(SELECT count(*) FROM eva)')} AS percentage FROM eva GROUP BY 1,2""")
 def _(t: Tables):
-    return rounded(evaluation.cell_analysis(t.evaluated, (9, 9, 9)), "percentage")
+    cells = rounded(evaluation.cell_analysis(t.evaluated, (12, 12, 12)), "avg_magnitude", "avg_depth", "avg_risk", digits=9)
+    return rounded(cells, "percentage")
 
 
 @query("w2_percent_of_total", f"""WITH {EVAL} SELECT earthquake_cluster, geographic_zone, count(*) AS cluster_size, {r('count(*)*100.0::DOUBLE/sum(count(*)) OVER ()')} AS percentage FROM eva GROUP BY 1,2""")
