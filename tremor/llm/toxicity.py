@@ -13,6 +13,7 @@ Training counts every labelled training document in Spark. Only the model goes t
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremor.llm.base import in_chunks, plain, rows_of, ship_by_value
+from tremor.llm.base import SMALL_ROWS, in_chunks, per_process, plain, rows_of, ship_by_value
+from tremor.operators.skew import is_small
 from tremor.workspace import materialise
 
 ORDER = 5  # bytes of a gram; its context is all but the last
@@ -93,7 +95,7 @@ def count_grams(labelled: DataFrame) -> DataFrame:
                 codes = gram_codes(piece)[0]
                 held[toxic].append(codes)
                 size += len(codes)
-                if size > 4_000_000:
+                if size > 1_000_000:
                     yield from flush()
                     size = 0
         yield from flush()
@@ -165,22 +167,34 @@ def word_features(text: str, ratios: np.ndarray, seen: np.ndarray, weights: np.n
 
 
 class Model:
-    """Slot tables of the two Kneser-Ney models' differences, and the weights of the score."""
+    """Differences of the two Kneser-Ney models by slot, at most ``SLOTS`` of each kind, and the weights of the score."""
 
     def __init__(self, slots: DataFrame):
-        self.ratios = np.zeros(SLOTS, dtype=np.float32)
-        self.seen = np.zeros(SLOTS, dtype=bool)
-        self.weights = np.zeros(SLOTS, dtype=np.float32)
         table = slots.toArrow()  # at most 2 * SLOTS rows
         slot, kind, ratio = (table.column(c).to_numpy() for c in ("slot", "kind", "ratio"))
-        self.ratios[slot[kind == 0]] = ratio[kind == 0]
-        self.seen[slot[kind == 0]] = True
-        self.weights[slot[kind == 1]] = ratio[kind == 1]
+        order = np.lexsort((slot, kind))
+        slot, kind, ratio = slot[order].astype(np.int32), kind[order], ratio[order].astype(np.float32)
+        self.grams, self.ratios = slot[kind == 0], ratio[kind == 0]
+        self.contexts, self.weights = slot[kind == 1], ratio[kind == 1]
         self.logistic: np.ndarray | None = None  # for (mean, top, 1)
 
     def send(self, spark):
-        """The model's arrays on every executor."""
-        return spark.sparkContext.broadcast((self.ratios, self.seen, self.weights, self.logistic))
+        """The occupied slots on every executor."""
+        return spark.sparkContext.broadcast((uuid.uuid4().hex, self.grams, self.ratios, self.contexts, self.weights, self.logistic))
+
+
+def tables_of(sent: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Whole tables by slot from what :meth:`Model.send` sends: ratios, which are known, and backoff weights. A worker
+    keeps those of one model."""
+    held = per_process("toxicity tables", dict)
+    if held.get("model") != sent[0]:
+        _, grams, ratios, contexts, weights, _ = sent
+        if not held:
+            held |= {"ratios": np.zeros(SLOTS, np.float32), "seen": np.zeros(SLOTS, bool), "weights": np.zeros(SLOTS, np.float32)}
+        held["seen"][:], held["weights"][:] = False, 0
+        held["ratios"][grams], held["seen"][grams], held["weights"][contexts] = ratios, True, weights
+        held["model"] = sent[0]
+    return held["ratios"], held["seen"], held["weights"]
 
 
 def score_of(mean: float, top: float, logistic: np.ndarray | None) -> float:
@@ -196,7 +210,7 @@ def features(docs: DataFrame, model: Model, extra: tuple[str, ...] = ()) -> Data
     names = ["doc_id", "mean", "top", "score", *extra]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        *tables, logistic = held.value
+        tables, logistic = tables_of(held.value), held.value[-1]
 
         def made():
             for doc_id, text, *rest in rows_of(batches, "doc_id", "text", *extra):
@@ -244,9 +258,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     every score is 0.5.
     """
     known = labels.filter(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col)).cast("bigint").alias("toxic"))
-    known = known.withColumn("fold", fold_of(F.col("_id"))).filter("fold <> 0")
+    known = materialise(known.withColumn("fold", fold_of(F.col("_id"))).filter("fold <> 0"), "toxic-labels")
     texts = plain(docs, id_col, text_col)
-    labelled = texts.join(known, texts["doc_id"] == known["_id"]).drop("_id")
+    # Texts are not moved as long as the labels are few; beyond that both sides are dealt by id.
+    right = F.broadcast(known) if is_small(known, SMALL_ROWS) else known
+    labelled = texts.join(right, F.col("doc_id") == F.col("_id")).drop("_id")
     labelled = materialise(labelled, "toxic-training")
     model = Model(log_ratios(materialise(count_grams(labelled.filter("fold < 4").select("text", "toxic")), "toxic-grams")))
     checked = materialise(features(labelled.filter("fold = 4"), model, ("toxic",)), "toxic-features")
@@ -271,7 +287,7 @@ def drop_toxic(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     held = model.send(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        *tables, logistic = held.value
+        tables, logistic = tables_of(held.value), held.value[-1]
         for batch in batches:
             texts = (text.as_py() or "" for text in batch.column(text_col))
             keep = [score_of(*word_features(text, *tables), logistic) < 0.5 for text in texts]
