@@ -46,7 +46,17 @@ def op2(spark, folder):
     return exact_duplicates(spark, f"{folder}/documents.parquet").drop("row")
 
 
-@query("op3_near_dedup")
+@query("op3_near_dedup", r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) < 2 THEN ws ELSE list_distinct([ws[i] || ' ' || ws[i+1] for i in range(1, len(ws))]) END AS sh FROM w),
+e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, a.n AS an, b.n AS bn, count(*) AS i FROM e a JOIN e b USING (x)
+ WHERE a.doc_id < b.doc_id AND 100*least(a.n, b.n) >= 80*greatest(a.n, b.n) GROUP BY ALL),
+l AS (SELECT u, v FROM p WHERE 100*i >= 80*(an + bn - i)),
+both_ways AS MATERIALIZED (SELECT u, v FROM l UNION ALL SELECT v, u FROM l),
+reach(id, c) AS (SELECT doc_id, doc_id FROM s UNION SELECT b.v, reach.c FROM reach JOIN both_ways b ON b.u = reach.id WHERE reach.c < b.v),
+comp AS (SELECT id, min(c) AS component_id FROM reach GROUP BY id)
+SELECT doc_id, len(sh)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN comp ON id = doc_id""")
 def op3(spark, folder):
     return near_duplicates(documents(spark, folder), words=2)
 
