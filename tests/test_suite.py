@@ -9,7 +9,7 @@ from suite.check import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
 # Slow to set up, covered by tests/test_dbscan.py and by suite.check.
-SLOW = {"g2_dbscan", "zone_ranking", "l2_encoded_categories", "l3_feature_vectors", "l4_scaled_features"}
+SLOW = {"g2_dbscan", "g2_dbscan_regional", "zone_ranking", "l2_encoded_categories", "l3_feature_vectors", "l4_scaled_features", "l11_grid_search"}
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not here")
 QUERIES, ORACLES = load()
