@@ -157,6 +157,35 @@ def test_training_on_nothing(empty, labelled):
     assert set(toxicity.toxicity(labelled, model).toPandas().score) == {0.5}
 
 
+def test_lookup_is_exact():
+    rng = np.random.default_rng(4)
+    keys = np.unique(rng.integers(0, 1 << 40, 300_000))
+    values = rng.normal(size=len(keys)).astype(np.float32)
+    table = toxicity.Lookup(keys, values)
+    got, known = table(keys)
+    assert known.all() and (got == values).all()
+    others = np.setdiff1d(rng.integers(0, 1 << 40, 5_000_000), keys)
+    assert not table(others)[1].any()
+    assert not toxicity.Lookup(keys[:0], values[:0])(keys)[1].any()
+    # Exact codes: no two grams share a key, however many there are.
+    assert len(np.unique(toxicity.slot_of(others))) == len(others)
+
+
+def test_joined_model_scores_like_a_sent_one(spark, labelled, docs):
+    labels = labelled.select("doc_id", "toxic")
+    sent, joined = toxicity.train(labelled, labels), toxicity.train(labelled, labels, limit=0)
+    assert sent.small and not joined.small and np.allclose(sent.logistic, joined.logistic, atol=1e-4)
+    joined.logistic = sent.logistic
+    texts = labelled.select("doc_id", "text").unionByName(docs.select("doc_id", "text"))
+    a, b = (sorted(map(tuple, toxicity.toxicity(texts, m).na.fill(-1).collect())) for m in (sent, joined))
+    assert [x[:2] + x[3:] for x in a] == [x[:2] + x[3:] for x in b]
+    assert np.allclose([x[2] for x in a], [x[2] for x in b], atol=1e-6)
+    kept = [toxicity.drop_toxic(docs, m) for m in (sent, joined)]
+    assert kept[0].schema == kept[1].schema == docs.schema
+    x, y = (sorted(map(repr, k.collect())) for k in kept)
+    assert x == y
+
+
 # 7: mixing
 
 

@@ -7,13 +7,15 @@ classes is judged by the part of it that is not. A document is described by leng
 log-likelihoods: the mean over its bytes, and the mean per byte of its most toxic words. A logistic regression,
 fitted on labelled documents that the counts have not seen, turns these into a score.
 
-Training counts every labelled training document in Spark. Only the model goes through the driver: at most
-``SLOTS`` differences, however large the corpus; grams that share a slot share their counts' mean difference.
+Training counts every labelled training document in Spark. The model is a written table of every gram and context by
+its exact code, and grows with the corpus. A table that was counted and found below ``SMALL_GRAMS`` rows is sent to the
+executors; a larger one is joined with the distinct words of the texts, by gram, and never goes through the driver.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,14 +23,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremor.llm.base import SMALL_ROWS, in_chunks, per_process, plain, rows_of, ship_by_value
-from tremor.operators.skew import is_small
+from tremor.llm.base import SMALL_ROWS, SPACE, in_chunks, per_process, plain, rows_of, ship_by_value
+from tremor.operators.skew import balanced_join, is_small
 from tremor.workspace import materialise
 
 ORDER = 5  # bytes of a gram; its context is all but the last
 DISCOUNT = 0.75
-SLOT_BITS = 22
-SLOTS = 1 << SLOT_BITS
+# Rows of a model that is sent to the executors; a larger one is joined.
+SMALL_GRAMS = 2_000_000
+# Words of fewer bytes are their own names in joins.
+NAME_BYTES = 32
 GOLDEN = 0x9E3779B97F4A7C15
 # The most toxic words that the second feature averages.
 TOP_WORDS = 3
@@ -41,7 +45,8 @@ def fold_of(doc_id: Column) -> Column:
 
 
 def slot_of(codes: np.ndarray) -> np.ndarray:
-    return ((codes.astype(np.uint64) + np.uint64(1)) * np.uint64(GOLDEN)) >> np.uint64(64 - SLOT_BITS)
+    """The model's key of every gram: its code, so that no two grams share one."""
+    return codes.astype(np.int64)
 
 
 def pieces_of(text: str) -> Iterator[bytes]:
@@ -106,7 +111,7 @@ def count_grams(labelled: DataFrame) -> DataFrame:
 
 def log_ratios(grams: DataFrame) -> DataFrame:
     """(slot, ratio, kind): log P(toxic) - log P(ordinary) of every gram (kind 0), and of the backoff weight of every
-    context (kind 1), averaged by count over the grams of a slot."""
+    context (kind 1); see :func:`slot_of`."""
     d = DISCOUNT
     low = grams.select("code", "toxic_n", "ordinary_n", F.shiftright("code", 8).alias("context"), F.col("code").bitwiseAND((1 << (8 * (ORDER - 1))) - 1).alias("lower"))
     # Shared lower order: in how many contexts a shorter gram was seen, interpolated with that of single bytes.
@@ -131,31 +136,52 @@ def log_ratios(grams: DataFrame) -> DataFrame:
         return own + weight(name) * F.col("shared_p")
 
     seen = low.join(lower_p, "lower").join(contexts, "context").select(
-        F.col("code"), F.lit(0).alias("kind"), (F.col("toxic_n") + F.col("ordinary_n")).alias("n"), (F.log(chance("toxic")) - F.log(chance("ordinary"))).alias("ratio")
+        F.col("code").alias("slot"), F.lit(0).alias("kind"), (F.log(chance("toxic")) - F.log(chance("ordinary"))).alias("ratio")
     )
     backoff = contexts.select(
-        F.col("context").alias("code"), F.lit(1).alias("kind"), (F.col("toxic_all") + F.col("ordinary_all")).alias("n"), (F.log(weight("toxic")) - F.log(weight("ordinary"))).alias("ratio")
+        F.col("context").alias("slot"), F.lit(1).alias("kind"), (F.log(weight("toxic")) - F.log(weight("ordinary"))).alias("ratio")
     )
-
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slot = slot_of(batch.column("code").to_numpy()).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(slot), *batch.columns[1:]], names=["slot", "kind", "n", "ratio"])
-
-    slotted = seen.unionByName(backoff).mapInArrow(slots, "slot long, kind int, n long, ratio double")
-    return slotted.groupBy("slot", "kind").agg((F.sum(F.col("n") * F.col("ratio")) / F.sum("n")).alias("ratio"))
-
-
-def word_features(text: str, ratios: np.ndarray, seen: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
+    return seen.unionByName(backoff)
+
+
+class Lookup:
+    """Values by exact key, in a table with linear probing; keys are distinct and not negative."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(4, (2 * len(keys)).bit_length())
+        home = self.home(keys)
+        order = np.argsort(home, kind="stable")
+        step = np.arange(len(keys))
+        place = step + np.maximum.accumulate(home[order] - step)
+        size = max(1 << self.bits, int(place[-1]) + 1 if len(keys) else 0) + 1  # the last place stays empty
+        self.keys, self.values = np.full(size, -1, dtype=np.int64), np.zeros(size, dtype=np.float32)
+        self.keys[place], self.values[place] = keys[order], values[order]
+
+    def home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(GOLDEN)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(value, known) of every key; 0 for unknown ones."""
+        place = self.home(keys)
+        found = self.keys[place]
+        on = np.flatnonzero((found != keys) & (found >= 0))
+        while len(on):
+            place[on] += 1
+            found[on] = self.keys[place[on]]
+            on = on[(found[on] != keys[on]) & (found[on] >= 0)]
+        known = found == keys
+        return np.where(known, self.values[place].astype(np.float64), 0.0), known
+
+
+def word_features(text: str, ratios: Lookup, weights: Lookup) -> tuple[float, float]:
     """(mean difference per byte, mean of the highest per-byte differences of a word) of a text; 0 without words."""
     total, size, best = 0.0, 0, []
     for piece in pieces_of(text):
         codes, ends = gram_codes(piece)
-        slot = slot_of(codes)
-        value = np.where(seen[slot], ratios[slot], 0.0)
-        unseen = np.flatnonzero(~seen[slot])
+        value, known = ratios(slot_of(codes))
+        unseen = np.flatnonzero(~known)
         if len(unseen):
-            value[unseen] = weights[slot_of(codes[unseen] >> 8)]
+            value[unseen] = weights(slot_of(codes[unseen] >> 8))[0]
         stops = np.flatnonzero(ends)
         sums = np.diff(np.concatenate([[0.0], np.cumsum(value)[stops]]))
         per_byte = sums / np.diff(np.concatenate([[-1], stops]))
@@ -167,34 +193,82 @@ def word_features(text: str, ratios: np.ndarray, seen: np.ndarray, weights: np.n
 
 
 class Model:
-    """Differences of the two Kneser-Ney models by slot, at most ``SLOTS`` of each kind, and the weights of the score."""
-
-    def __init__(self, slots: DataFrame):
-        table = slots.toArrow()  # at most 2 * SLOTS rows
-        slot, kind, ratio = (table.column(c).to_numpy() for c in ("slot", "kind", "ratio"))
-        order = np.lexsort((slot, kind))
-        slot, kind, ratio = slot[order].astype(np.int32), kind[order], ratio[order].astype(np.float32)
-        self.grams, self.ratios = slot[kind == 0], ratio[kind == 0]
-        self.contexts, self.weights = slot[kind == 1], ratio[kind == 1]
+    """Differences of the two Kneser-Ney models, a written table of (slot, kind, ratio), and the weights of the score."""
+
+    def __init__(self, ratios: DataFrame, limit: int = SMALL_GRAMS):
+        self.table = materialise(ratios.withColumn("ratio", F.col("ratio").cast("float")), "toxic-model")
+        self.small = is_small(self.table, limit)
         self.logistic: np.ndarray | None = None  # for (mean, top, 1)
+        if self.small:
+            table = self.table.toArrow()  # at most ``limit`` rows
+            slot, kind, ratio = (table.column(c).to_numpy() for c in ("slot", "kind", "ratio"))
+            order = np.lexsort((slot, kind))
+            slot, kind, ratio = slot[order], kind[order], ratio[order]
+            self.grams, self.ratios = slot[kind == 0], ratio[kind == 0]
+            self.contexts, self.weights = slot[kind == 1], ratio[kind == 1]
 
     def send(self, spark):
-        """The occupied slots on every executor."""
+        """A small model on every executor."""
         return spark.sparkContext.broadcast((uuid.uuid4().hex, self.grams, self.ratios, self.contexts, self.weights, self.logistic))
 
 
-def tables_of(sent: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Whole tables by slot from what :meth:`Model.send` sends: ratios, which are known, and backoff weights. A worker
-    keeps those of one model."""
+def tables_of(sent: tuple) -> tuple[Lookup, Lookup]:
+    """Ratios and backoff weights from what :meth:`Model.send` sends. A worker keeps those of one model."""
     held = per_process("toxicity tables", dict)
     if held.get("model") != sent[0]:
+        held.clear()
         _, grams, ratios, contexts, weights, _ = sent
-        if not held:
-            held |= {"ratios": np.zeros(SLOTS, np.float32), "seen": np.zeros(SLOTS, bool), "weights": np.zeros(SLOTS, np.float32)}
-        held["seen"][:], held["weights"][:] = False, 0
-        held["ratios"][grams], held["seen"][grams], held["weights"][contexts] = ratios, True, weights
-        held["model"] = sent[0]
-    return held["ratios"], held["seen"], held["weights"]
+        held |= {"model": sent[0], "ratios": Lookup(grams, ratios), "weights": Lookup(contexts, weights)}
+    return held["ratios"], held["weights"]
+
+
+def text_key(text: Column) -> Column:
+    return F.unhex(F.sha2(text.cast("binary"), 256))
+
+
+def joined_features(texts: DataFrame, model: Model) -> DataFrame:
+    """(key, mean, top) of every distinct text that has words, see :func:`word_features`; ``texts`` has text.
+
+    Every distinct word is looked up once: its distinct grams are joined with the model, then the words with the texts.
+    """
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made():
+            for key, text in rows_of(batches, "key", "text"):
+                for word, n in Counter(text.encode().lower().split()).items():
+                    yield key, word, n
+
+        yield from in_chunks(made(), lambda rows: pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(zip(*rows), [pa.binary(), pa.binary(), pa.int64()])], names=["key", "word", "n"]), 10_000)
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, word in rows_of(batches, "name", "word"):
+            codes, n = np.unique(gram_codes(b" " + word + b" ")[0], return_counts=True)
+            columns = [pa.array([name] * len(n), pa.binary()), pa.array(slot_of(codes)), pa.array(slot_of(codes >> 8)), pa.array(n)]
+            yield pa.RecordBatch.from_arrays(columns, names=["name", "slot", "context", "n"])
+
+    each = texts.select(text_key(F.col("text")).alias("key"), "text").mapInArrow(words, "key binary, word binary, n long")
+    # A text that repeats gives its words again.
+    each = each.groupBy("key", "word").agg(F.max("n").alias("n"))
+    name = F.when(F.length("word") < NAME_BYTES, F.col("word")).otherwise(F.unhex(F.sha2("word", 256)))
+    each = materialise(each.withColumn("name", name), "toxic-words")
+    parts = each.select("name", "word").distinct().mapInArrow(grams, "name binary, slot long, context long, n long")
+    parts = materialise(parts, "toxic-word-grams")
+    known = model.table.filter("kind = 0").select("slot", "ratio")
+    backoff = model.table.filter("kind = 1").select(F.col("slot").alias("context"), F.col("ratio").alias("weight"))
+    valued = materialise(balanced_join(parts, known, ["slot"], "left", ["name"], limit=SMALL_ROWS), "toxic-known-grams")
+    valued = balanced_join(valued, backoff, ["context"], "left", ["name", "slot"], limit=SMALL_ROWS)
+    value = F.coalesce("ratio", "weight", F.lit(0.0)).cast("double")
+    by_word = valued.groupBy("name").agg(F.sum(F.col("n") * value).alias("total"), F.sum("n").alias("size"))
+    by_word = materialise(by_word, "toxic-word-values")
+    placed = balanced_join(each.select("key", "name", "n"), by_word, ["name"], "inner", ["key"], limit=SMALL_ROWS)
+    copies = F.array_repeat(F.col("total") / F.col("size"), F.least("n", F.lit(TOP_WORDS)).cast("int"))
+    summed = placed.groupBy("key").agg(
+        (F.sum(F.col("n") * F.col("total")) / F.sum(F.col("n") * F.col("size"))).alias("mean"),
+        F.slice(F.sort_array(F.flatten(F.collect_list(copies)), asc=False), 1, TOP_WORDS).alias("best"),
+    )
+    top = F.aggregate("best", F.lit(0.0), lambda a, x: a + x) / F.size("best")
+    return materialise(summed.select("key", "mean", top.alias("top")), "toxic-text-features")
 
 
 def score_of(mean: float, top: float, logistic: np.ndarray | None) -> float:
@@ -204,8 +278,21 @@ def score_of(mean: float, top: float, logistic: np.ndarray | None) -> float:
     return float(1 / (1 + np.exp(-min(max(z, -35.0), 35.0))))
 
 
+def score_column(mean: Column, top: Column, logistic: np.ndarray | None) -> Column:
+    """:func:`score_of` as an expression."""
+    if logistic is None:
+        return F.lit(0.5)
+    z = mean * F.lit(float(logistic[0])) + top * F.lit(float(logistic[1])) + F.lit(float(logistic[2]))
+    return 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(35.0)), F.lit(-35.0))))
+
+
 def features(docs: DataFrame, model: Model, extra: tuple[str, ...] = ()) -> DataFrame:
-    """``docs`` (doc_id, text) as (doc_id, mean, top, score, ...); the model is sent to each executor once."""
+    """``docs`` (doc_id, text) as (doc_id, mean, top, score, ...); a small model is sent to each executor once."""
+    if not model.small:
+        keyed = docs.select("doc_id", *extra, text_key(F.col("text")).alias("key"))
+        found = balanced_join(keyed, joined_features(docs, model), ["key"], "left", ["doc_id"], limit=SMALL_ROWS)
+        mean, top = (F.coalesce(c, F.lit(0.0)) for c in ("mean", "top"))
+        return found.select("doc_id", mean.alias("mean"), top.alias("top"), score_column(mean, top, model.logistic).alias("score"), *extra)
     held = model.send(docs.sparkSession)
     names = ["doc_id", "mean", "top", "score", *extra]
 
@@ -251,11 +338,14 @@ def fit_logistic(table: DataFrame, steps: int = 25, ridge: float = 1e-2) -> np.n
     return np.array([slope[0], slope[1], w[2] - slope[0] * center[0] - slope[1] * center[1]])
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
+def train(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+    limit: int = SMALL_GRAMS,
+) -> Model:
     """Fit on all labelled documents of folds 1 to 4 (:func:`fold_of`): the counts on 1 to 3, the score on 4.
 
     Labels without a value are left out; a doc_id labelled toxic by any row is toxic. Without labelled documents
-    every score is 0.5.
+    every score is 0.5. A model of more than ``limit`` rows is joined instead of sent.
     """
     known = labels.filter(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col)).cast("bigint").alias("toxic"))
     known = materialise(known.withColumn("fold", fold_of(F.col("_id"))).filter("fold <> 0"), "toxic-labels")
@@ -264,7 +354,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     right = F.broadcast(known) if is_small(known, SMALL_ROWS) else known
     labelled = texts.join(right, F.col("doc_id") == F.col("_id")).drop("_id")
     labelled = materialise(labelled, "toxic-training")
-    model = Model(log_ratios(materialise(count_grams(labelled.filter("fold < 4").select("text", "toxic")), "toxic-grams")))
+    model = Model(log_ratios(materialise(count_grams(labelled.filter("fold < 4").select("text", "toxic")), "toxic-grams")), limit)
     checked = materialise(features(labelled.filter("fold = 4"), model, ("toxic",)), "toxic-features")
     model.logistic = fit_logistic(checked)
     return model
@@ -284,6 +374,17 @@ def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 def drop_toxic(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text scores below 0.5, with all their columns."""
+    if not model.small:
+        text = F.coalesce(F.col(text_col), F.lit(""))
+        scored = joined_features(docs.select(text.alias("text")), model)
+        none = score_column(F.lit(0.0), F.lit(0.0), model.logistic)
+        toxic = scored.filter(score_column(F.col("mean"), F.col("top"), model.logistic) >= 0.5).select(F.col("key").alias("_key"))
+        without = docs.sparkSession.range(1).filter(none >= 0.5).select(F.lit(None).cast("binary").alias("_key"))
+        toxic = materialise(toxic.unionByName(without), "toxic-texts")
+        # Texts without words have the key null.
+        key = F.when(text.rlike(f"[^{SPACE}]"), text_key(text))
+        marked = docs.select(F.struct(*docs.columns).alias("_doc"), key.alias("_key"), F.monotonically_increasing_id().alias("_row"))
+        return balanced_join(marked, toxic, ["_key"], "left_anti", ["_row"], limit=SMALL_ROWS, nulls_match=True).select("_doc.*")
     held = model.send(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
