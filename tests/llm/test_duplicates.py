@@ -84,6 +84,38 @@ def test_signature_keeps_both_ends():
     assert minmax.shingles("A  b\nC", 2).tolist() == minmax.shingles("a b c", 2).tolist()
 
 
+@pytest.mark.parametrize("bands, rows", [
+    (near_dedup.BANDS, near_dedup.ROWS), (paragraph_dedup.BANDS, paragraph_dedup.ROWS), (10, 3), (25, 5), (42, 3), (128, 1),
+])
+def test_no_value_is_used_twice(monkeypatch, bands, rows):
+    end, at = minmax.value_places(bands, rows)
+    assert len({*zip(end.ravel().tolist(), at.ravel().tolist())}) == bands * rows
+    assert all(len(set(band)) == rows for band in at.tolist())
+    # A value that changes moves the key of its own band alone.
+    low, high = minmax.signature(minmax.shingles("a b c d e f g", 2))
+    before = minmax.band_keys(minmax.shingles("a b c d e f g", 2), bands, rows)
+    moved = []
+    for k in range(minmax.PERMUTATIONS):
+        for changed in (0, 1):
+            pair = [low.copy(), high.copy()]
+            pair[changed][k] += np.uint64(1)
+            monkeypatch.setattr(minmax, "signature", lambda s, pair=pair: tuple(pair))
+            moved += np.flatnonzero(minmax.band_keys(minmax.shingles("x", 2), bands, rows) != before).tolist()
+    assert Counter(moved) == dict.fromkeys(range(bands), rows)
+
+
+def test_too_many_bands_are_refused():
+    with pytest.raises(ValueError):
+        minmax.band_keys(minmax.shingles("a b c", 2), 43, 3)
+
+
+def test_paragraph_bands_miss_as_little_as_near_bands():
+    def missed(kind):
+        return (1 - 0.8**kind.ROWS) ** kind.BANDS
+
+    assert missed(paragraph_dedup) <= missed(near_dedup) < 1e-7
+
+
 @pytest.mark.parametrize("n", [2, 5])
 def test_near_duplicates(docs, texts, n):
     got = near_dedup.near_duplicates(docs, words=n).collect()

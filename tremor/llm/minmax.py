@@ -80,16 +80,26 @@ def signature(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low, high
 
 
+def value_places(bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which end (0 minimum, 1 maximum) of which permutation each (band, row) uses.
+
+    Values are numbered through all bands, so none is used twice; a band of up to 64 rows holds no permutation twice.
+    """
+    number = np.arange(bands * rows).reshape(bands, rows)
+    end = number % 2
+    return end, (number // 2 + end * (PERMUTATIONS // 2)) % PERMUTATIONS
+
+
 def band_keys(s: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """Keys of ``bands`` bands of ``rows`` values; half of a band's values are minima, half maxima."""
-    low, high = signature(s)
+    """Keys of ``bands`` bands of ``rows`` values, minima and maxima in turn; no value is used twice."""
+    if bands * rows > 2 * PERMUTATIONS:
+        raise ValueError(f"{bands} bands of {rows} need more than the {2 * PERMUTATIONS} values of a signature")
+    values = np.stack(signature(s))
     b = np.arange(bands)
+    end, at = value_places(bands, rows)
     key = scramble(b.astype(np.uint64) + np.uint64(1))
     for r in range(rows):
-        # With at most 64 * 2 / rows bands no value is used twice, and no band holds a permutation twice.
-        at = (b * rows // 2 + r // 2) % PERMUTATIONS
-        value = low[at] if r % 2 == 0 else high[(at + PERMUTATIONS // 2) % PERMUTATIONS]
-        key = scramble(key * MIX[r] + value)
+        key = scramble(key * MIX[r] + values[end[:, r], at[:, r]])
     return key.view(np.int64)
 
 

@@ -20,8 +20,8 @@ from tremor.operators.skew import balanced_join
 from tremor.workspace import materialise
 
 WORDS, PERCENT = 5, 80
-# 10 bands of 3 values: a pair of similarity 0.8 shares none with a chance of 8e-4, one of 0.9 with 2e-6.
-BANDS, ROWS = 10, 3
+# 24 bands of 3 values: a pair of similarity 0.8 shares none with a chance of 3e-8, one of 0.9 with 2e-14.
+BANDS, ROWS = 24, 3
 TEXTS = "doc_id long, n_paragraphs long, n_removed long, kept_text string"
 
 
