@@ -144,6 +144,42 @@ def test_chains_of_near_duplicates(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == want
 
 
+def changed(rng, text, n=1):
+    w = text.split()
+    for _ in range(n):
+        w[rng.randrange(len(w))] = words(rng, 1, "xyz")
+    return " ".join(w)
+
+
+def test_near_copies_of_texts_without_id(spark):
+    """Classes whose first row has a null id keep the links to their near copies."""
+    rng = random.Random(13)
+    a, b, c = (words(rng, 60) for _ in range(3))
+    rows = [(None, a), (1, a), (2, a), (3, changed(rng, a)), (None, b), (None, b), (4, changed(rng, b)), (5, changed(rng, b)),
+            (6, c), (7, changed(rng, c)), (None, words(rng, 60)), (8, words(rng, 60))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    keys = [(-1 if i is None else i, k) for k, (i, _) in enumerate(rows)]
+    sets = {key: shingle_set(t, 2) for key, (_, t) in zip(keys, rows)}
+    want = components(sets, sets, 80)
+    assert want[keys[3]][0] == want[keys[6]][0] == -1
+    got = near_dedup.near_duplicates(df, words=2).na.fill(-1, ["doc_id", "component_id"])
+    assert sorted((r["doc_id"], r["component_id"]) for r in got.collect()) == sorted((k[0], v[0]) for k, v in want.items())
+    kept = near_dedup.drop_near_duplicates(df, words=2)
+    assert Counter(r["doc_id"] for r in kept.collect()) == Counter(i for (i, _), key in zip(rows, keys) if (key[0] == want[key][0]))
+
+
+def test_paragraphs_near_those_without_id(spark):
+    rng = random.Random(14)
+    a, b = (words(rng, 60) for _ in range(2))
+    rows = [(None, f"{a}\n{words(rng, 30)}\n{b}"), (1, f"{changed(rng, a)}\n{words(rng, 30)}"), (2, f"{words(rng, 30)}\n{changed(rng, b)}"), (3, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    sets = {(-1 if i is None else i, k): shingle_set(line, 5) for i, t in rows for k, line in enumerate(t.split("\n"))}
+    want = {k: first for k, first in components(sets, sets, 80).items() if k != first}
+    assert want == {(1, 0): (-1, 0), (2, 1): (-1, 2), (3, 0): (-1, 0)}
+    got = paragraph_dedup.duplicate_paragraphs(df).na.fill(-1, ["doc_id", "first_id"]).collect()
+    assert {(r["doc_id"], r["paragraph"]): (r["first_id"], r["first_paragraph"]) for r in got} == want
+
+
 def test_near_duplicates_of_nothing(empty, docs_with_null):
     assert near_dedup.near_duplicates(empty).count() == 0
     out = near_dedup.near_duplicates(docs_with_null)

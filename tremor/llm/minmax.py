@@ -139,7 +139,7 @@ def _signed(x: int) -> int:
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int, lines: bool) -> DataFrame:
     """(node, shingles) of the wanted classes, from one text each; ``wanted`` has node, doc_id, part, set_a, set_b."""
-    listed = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("node", "part", "set_a", "set_b")).alias("wanted"))
+    listed = wanted.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.collect_list(F.struct("node", "part", "set_a", "set_b")).alias("wanted"))
     listed = materialise(listed, "wanted-texts")
     if is_small(listed, SMALL_ROWS):
         listed = F.broadcast(listed)
@@ -159,8 +159,27 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int, lines: bool) -> DataFr
         yield from in_chunks(made(), lambda rows: pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(zip(*rows), [pa.int64(), pa.binary()])], names=["node", "shingles"]), 500)
 
+    def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made():
+            for (text,) in rows_of(batches, "text"):
+                for one in parts_of(text, lines):
+                    s = shingles(one, words).tobytes()
+                    whole = xxhash.xxh3_128_intdigest(s)
+                    yield _signed(whole >> 64), _signed(whole & MASK), s
+
+        yield from in_chunks(made(), lambda rows: pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(zip(*rows), [pa.int64(), pa.int64(), pa.binary()])], names=["set_a", "set_b", "shingles"]), 500)
+
+    each = found.mapInArrow(run, "node long, shingles binary")
+    # A null id names no text; however many rows have it, their texts are read once and found by their sets.
+    unnamed = materialise(wanted.filter("doc_id IS NULL").select("node", "set_a", "set_b"), "wanted-unnamed")
+    if not is_small(unnamed, 0):
+        made = docs.filter("doc_id IS NULL").select("text").mapInArrow(run_all, "set_a long, set_b long, shingles binary")
+        right = F.broadcast(unnamed) if is_small(unnamed, SMALL_ROWS) else unnamed
+        made = made.dropDuplicates(["set_a", "set_b"]).join(right, ["set_a", "set_b"]).select("node", "shingles")
+        each = each.unionByName(made)
     # A row that repeats in the table gives its set again.
-    return materialise(found.mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"]), "shingle-sets")
+    return materialise(each.dropDuplicates(["node"]), "shingle-sets")
 
 
 def _own_shingles(sets: DataFrame) -> DataFrame:
