@@ -67,6 +67,31 @@ def test_closed_syncmers_one_by_one(spark):
     assert got == brute_anchors(text, spark)
 
 
+def test_long_texts_by_all_anchors(spark):
+    rng = random.Random(8)
+
+    def passage(n):
+        return ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 7))) for _ in range(n)]
+
+    base, shared = passage(20_000), passage(300)
+    rows = [(1, base)] + [(k, base[:k * 2000] + passage(50) + base[k * 2000 + 50:]) for k in range(2, 8)]
+    rows += [(8, passage(9_000) + shared + passage(9_000)), (9, shared + passage(18_000))]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    got = by_id(fingerprints.edited_fingerprints(df))
+    assert all(0.98 < x < 1 for x in got.near_next[:6]) and got.near_next[7] > 0.005
+    # The short name does not tell these apart.
+    assert len(set(got.fingerprint[:7])) < 7
+    found = {r["doc_id"]: r["anchors"] for r in fingerprints.located_anchors(df).collect()}
+    for row in found.values():
+        units = [a["unit"] for a in row]
+        assert units == sorted(set(units)) and len(units) > 10_000
+    # The shared passage is found at its place in both.
+    at = {a["hash"]: a["unit"] for a in found[8]}
+    moved = Counter(at[a["hash"]] - a["unit"] for a in found[9] if a["hash"] in at)
+    start = sum(-(-len(w) // 4) for w in rows[7][1][:9_000])
+    assert moved.most_common(1)[0][0] == start and moved[start] > 150
+
+
 def test_fingerprints_of_nothing(empty, docs_with_null):
     assert fingerprints.edited_fingerprints(empty).count() == 0
     assert fingerprints.edited_fingerprints(docs_with_null).count() == docs_with_null.count()

@@ -3,11 +3,13 @@
 A text is read as units: its words, cut into pieces of at most four characters. Four units are a k-mer with three
 inner s-mers of two units. A k-mer is chosen if the smallest of its s-mers, by hash, is its first or its last (a
 closed syncmer); that depends on the k-mer alone, so the same passage yields the same anchors wherever it stands,
-and an edit moves only the anchors it touches. The fingerprint is a bottom sketch of the anchors' hashes, the
-smallest ``SKETCH`` of them; its likeness to another is the share of the smallest of both that both have.
+and an edit moves only the anchors it touches. All anchors are kept with their places, see :func:`located_anchors`, and
+the likeness of two texts is that of their whole sets. The fingerprint is a short name of a text for display and
+lookup, a bottom sketch: the smallest ``SKETCH`` hashes.
 
 Scale: a fingerprint is made where the text is read. Placing each document beside its successor deals the texts
-out once, by ranges of doc_id; the first document of a range is sent to the range before as well.
+out once, by ranges of doc_id; the first document of a range is sent to the range before as well. Anchors, about
+as large as the text, are made after that and not moved.
 """
 
 from __future__ import annotations
@@ -24,10 +26,11 @@ DIGITS, BITS = 12, 48
 # Ranges of doc_id for each shuffle partition.
 RANGES_PER_PARTITION = 4
 FIRST = -(1 << 63)
+ANCHORS = "array<struct<hash: bigint, unit: int>>"
 
 
-def anchors(text: Column) -> Column:
-    """The sketch of a text: at most ``SKETCH`` ascending hashes of its closed syncmers.
+def places(text: Column) -> Column:
+    """All closed syncmers of a text, in order: array of (hash, unit), the number of the k-mer's first unit from 0.
 
     With fewer than four units, the text is a single anchor; if no k-mer is chosen, all are anchors. A text
     without units has none.
@@ -37,23 +40,31 @@ def anchors(text: Column) -> Column:
     def chosen(h: Column) -> Column:
         n = F.size(h)
         pairs = F.zip_with(F.slice(h, F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice(h, F.lit(2), F.greatest(n - 1, F.lit(0))), lambda a, b: F.xxhash64(a, b))
-        return F.when(n == 0, F.array().cast("array<bigint>")).when(n < 4, F.array(F.xxhash64(h))).otherwise(_syncmers(pairs))
+        return F.when(n == 0, F.array().cast(ANCHORS)).when(n < 4, F.array(F.struct(F.xxhash64(h).alias("hash"), F.lit(0).alias("unit")))).otherwise(_syncmers(pairs))
+
+    return F.element_at(F.transform(F.array(hashes), chosen), 1)
+
 
-    hashed = F.element_at(F.transform(F.array(hashes), chosen), 1)
-    short = F.transform(hashed, lambda x: F.shiftrightunsigned(x, 64 - BITS))
+def sketch_of(located: Column) -> Column:
+    short = F.transform(located, lambda x: F.shiftrightunsigned(x["hash"], 64 - BITS))
     return F.slice(F.array_distinct(F.sort_array(short)), 1, SKETCH)
 
 
+def anchors(text: Column) -> Column:
+    """The sketch of a text: at most ``SKETCH`` ascending hashes of its closed syncmers, see :func:`places`."""
+    return sketch_of(places(text))
+
+
 def _syncmers(pairs: Column) -> Column:
-    """Hashes of the chosen k-mers from the hashes of all pairs of units."""
+    """Hashes and places of the chosen k-mers from the hashes of all pairs of units."""
 
     def pick(m: Column) -> Column:
         n = F.size(m) - 2
-        triples = F.arrays_zip(F.slice(m, F.lit(1), n).alias("a"), F.slice(m, F.lit(2), n).alias("b"), F.slice(m, F.lit(3), n).alias("c"))
+        triples = F.arrays_zip(F.slice(m, F.lit(1), n).alias("a"), F.slice(m, F.lit(2), n).alias("b"), F.slice(m, F.lit(3), n).alias("c"), F.sequence(F.lit(0), n - 1).alias("unit"))
         # The smallest s-mer is at an edge unless the middle one is smaller than both.
         at_edge = F.filter(triples, lambda x: (x["a"] <= x["b"]) | (x["c"] <= x["b"]))
         used = F.when(F.size(at_edge) > 0, at_edge).otherwise(triples)
-        return F.transform(used, lambda x: F.xxhash64(x["a"], x["c"]))
+        return F.transform(used, lambda x: F.struct(F.xxhash64(x["a"], x["c"]).alias("hash"), x["unit"].alias("unit")))
 
     return F.element_at(F.transform(F.array(pairs), pick), 1)
 
@@ -63,10 +74,15 @@ def as_text(sketch: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Estimated Jaccard similarity of the anchors behind two sketches; 1 for two empty ones."""
-    both = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
-    shared = F.array_intersect(F.array_intersect(a, b), both)
-    return F.when(F.size(both) == 0, F.lit(1.0)).otherwise(F.size(shared) / F.size(both))
+    """Jaccard similarity of the hashes of two texts' :func:`places`, all of them; 1 for two empty ones."""
+    a, b = a["hash"], b["hash"]
+    both = F.size(F.array_union(a, b))
+    return F.when(both == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / both)
+
+
+def located_anchors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, anchors): every anchor of every document with its place, see :func:`places`."""
+    return plain(docs, id_col, text_col).select("doc_id", places(F.col("text")).alias("anchors"))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -107,17 +123,20 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     empty; a null doc_id comes first; an empty table gives no row; other columns are not read.
     """
     texts = plain(docs, id_col, text_col).select(
-        "doc_id", F.xxhash64("text").alias("hash"), "text", anchors(F.col("text")).alias("sketch")
+        "doc_id", F.xxhash64("text").alias("hash"), "text"
     )
-    placed = beside_next(texts, ["hash", "text", "sketch"])
+    placed = beside_next(texts, ["hash", "text"])
     n = F.char_length("text")
     cut = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next_text"), F.lit(1), cut))
-    made = placed.select("doc_id", n.cast("bigint").alias("n_chars"), edited.alias("edited"), "sketch", "next_sketch")
-    both = made.select("*", anchors(F.col("edited")).alias("edited_sketch"))
+    made = placed.select("doc_id", n.cast("bigint").alias("n_chars"), edited.alias("edited"), "text", "next_text")
+    both = made.select(
+        "doc_id", "n_chars", "edited", places(F.col("text")).alias("own"), places(F.col("edited")).alias("changed"),
+        places(F.col("next_text")).alias("next"),
+    )
     return both.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        as_text(F.col("sketch")).alias("fingerprint"), as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        as_text(sketch_of(F.col("own"))).alias("fingerprint"), as_text(sketch_of(F.col("changed"))).alias("edited_fingerprint"),
+        likeness(F.col("own"), F.col("changed")).alias("near_edited"),
+        likeness(F.col("own"), F.col("next")).alias("near_next"),
     )
