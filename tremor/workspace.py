@@ -8,12 +8,15 @@ the loss of executors, and gives the optimizer true sizes for later joins.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local_folders: dict[str, str] = {}
+_scopes = threading.local()
 
 
 def folder(spark: SparkSession) -> str:
@@ -35,7 +38,46 @@ def folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    for written in getattr(_scopes, "open", [])[-1:]:
+        written.append(path)
+    return path
+
+
+def file_system(spark: SparkSession, path: str):
+    """(path, its Hadoop file system)."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location, location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    if not path.startswith(f"{folder(spark)}/"):
+        raise ValueError(f"{path} is not in the scratch folder")
+    location, system = file_system(spark, path)
+    system.delete(location, True)
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame], label: str = "result") -> DataFrame:
+    """Write the result of ``make``, delete the scratch tables written on the way, and return a scan of the result.
+
+    The result has no lineage into the deleted tables, so lost executors only read it again. Scopes may be nested.
+    """
+    if not hasattr(_scopes, "open"):
+        _scopes.open = []
+    _scopes.open.append([])
+    try:
+        df = make()
+        target = new_path(spark, label)
+        df.write.parquet(target)
+    finally:
+        written = _scopes.open.pop()
+    for path in written:
+        if path != target:
+            discard(spark, path)
+    for outer in _scopes.open[-1:]:
+        outer.append(target)
+    return spark.read.schema(df.schema).parquet(target)
 
 
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
