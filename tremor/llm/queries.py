@@ -12,6 +12,8 @@ from tremor.llm.base import documents
 from tremor.llm.chat import format_conversations, read_back
 from tremor.llm.exact_dedup import exact_duplicates
 from tremor.llm.fingerprints import edited_fingerprints
+from tremor.llm.lexical_search import ranked_search
+from tremor.llm.license_scan import license_labels, scan_licenses
 from tremor.llm.mixing import mix
 from tremor.llm.near_dedup import near_duplicates
 from tremor.llm.packing import pack_documents
@@ -19,6 +21,7 @@ from tremor.llm.paragraph_dedup import duplicate_paragraphs, remove_paragraphs
 from tremor.llm.suffix_dedup import remove_repeats
 from tremor.llm.token_counts import count_tokens
 from tremor.llm.toxicity import toxicity, train
+from tremor.llm.vector_codes import digest, encode_vectors, with_label_errors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -110,3 +113,51 @@ def op9(spark, folder):
 @query("op10_token_counts")
 def op10(spark, folder):
     return count_tokens(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def _vector_codes_sql(rounds: int = 4) -> str:
+    """Every part against every entry, round by round."""
+    steps = [r"""WITH kept AS (SELECT vec_id, label, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v FROM embeddings
+ WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+p AS MATERIALIZED (SELECT vec_id, label, part, v[part * len(v) // 4 + 1:(part + 1) * len(v) // 4] AS x FROM kept, range(4) t(part)),
+b0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x AS c FROM p QUALIFY entry < 256)"""]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, label, part, x,
+ min(list_sum([(x[i] - c[i]) * (x[i] - c[i]) for i in range(1, len(x) + 1)]) * 256 + entry) AS best
+ FROM p JOIN b{r} USING (part) GROUP BY ALL)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (SELECT part, entry, list(mean ORDER BY i) AS c FROM (
+ SELECT part, best % 256 AS entry, i, CAST(floor(CAST(sum(x[i]) AS DOUBLE) / count(*)) AS BIGINT) AS mean
+ FROM a{r}, range(1, 10000) t(i) WHERE i <= len(x) GROUP BY ALL) GROUP BY ALL),
+b{r + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m{r}.c, b{r}.c) AS c FROM b{r} LEFT JOIN m{r} USING (part, entry))""")
+    steps.append(f"""e AS (SELECT vec_id, label, string_agg(format('{{:02x}}', CAST(best % 256 AS BIGINT)), '' ORDER BY part) AS code, CAST(sum(best // 256) AS BIGINT) AS error
+ FROM a{rounds} GROUP BY ALL)""")
+    return ",\n".join(steps) + f"""
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+ (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM b{rounds}) AS codebooks_sha256 FROM e"""
+
+
+@query("op11_vector_codes", _vector_codes_sql())
+def op11(spark, folder):
+    codes, books = encode_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
+    return with_label_errors(codes).withColumn("codebooks_sha256", F.lit(digest(books))).drop("label")
+
+
+@query("op12_license_scan")
+def op12(spark, folder):
+    return license_labels(scan_licenses(documents(spark, folder)))
+
+
+@query("op13_lexical_search", r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+d AS MATERIALIZED (SELECT r, doc_id, ws, len(ws) AS n FROM t WHERE len(ws) > 0),
+size AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM d),
+tf AS MATERIALIZED (SELECT r, w, count(*) AS tf FROM (SELECT r, unnest(ws) AS w FROM d) GROUP BY ALL),
+weight AS (SELECT w, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS weight FROM (SELECT w, count(*) AS df FROM tf GROUP BY w), size),
+q AS (SELECT item_id, w, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM benchmark) GROUP BY ALL),
+s AS (SELECT item_id, r, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)))) AS BIGINT) AS score
+ FROM q JOIN weight USING (w) JOIN tf USING (w) JOIN d USING (r), size GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM s JOIN d USING (r) WHERE score > 0 QUALIFY rank <= 20""")
+def op13(spark, folder):
+    return ranked_search(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
