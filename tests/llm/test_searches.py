@@ -112,6 +112,7 @@ def test_fewer_entries_are_kept(spark):
     """Well separated clusters settle among few entries, so the kept lists shrink."""
     assert vector_codes._fewer([(-1, 1, -1, 990), (-1, 2, -1, 9), (-1, 7, -1, 1), (0, 3, 0, 5)], 8) == 2
     assert vector_codes._fewer([(-1, 255, -1, 10)], 8) == 8
+    assert vector_codes._fewer([(-1, 1, -1, 90), (-1, 255, -1, 10)], 8) == 8
 
 
 def test_too_large_components():

@@ -28,7 +28,7 @@ from tremor.workspace import discard, materialise, new_path, settled
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 # Closest entries kept per part at first, and at least.
 MOST_KEPT, LEAST_KEPT = 32, 2
-# Of the parts settled among the kept entries, this share must be settled by fewer when fewer are kept.
+# Fewer entries are kept once this share of all parts is settled by fewer.
 SETTLED = 0.98
 BLOCK = 4096
 STATE = "vec_id long, label {label}, ints array<long>, near binary, low binary, outer binary, used binary, error long"
@@ -214,15 +214,13 @@ def _refined(books: list[np.ndarray], totals) -> list[np.ndarray]:
 
 
 def _fewer(totals, kept: int) -> int:
-    """How many entries to keep, from how many the parts needed: enough for nearly all that were settled among the kept."""
-    needed = np.zeros(kept + 1, dtype=np.int64)
+    """How many entries to keep, from how many the parts needed: all, unless nearly all parts were settled by fewer."""
+    needed = np.zeros(256, dtype=np.int64)
     for part, entry, _, total in totals:
-        if part < 0 and entry <= kept:
+        if part < 0:
             needed[entry] = total
-    if not needed.sum():
-        return kept
     enough = int(np.searchsorted(np.cumsum(needed), SETTLED * needed.sum()))
-    return max(min(kept, LEAST_KEPT), min(kept, enough + 1))
+    return kept if enough >= kept else max(min(kept, LEAST_KEPT), enough + 1)
 
 
 def encode_vectors(
