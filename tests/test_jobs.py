@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tremor.learning import metrics, split
+from tremor.learning import metrics, models, split
 from tremor.sources import files, sinks
 from tremor.schemas import FEATURE
 from tremor.streaming.ingest import read_feature_stream, start_ingest, transform_features
@@ -95,3 +95,54 @@ def test_header_with_a_repeated_name_raises(spark, tmp_path):
     (tmp_path / "t.csv").write_text("id,magnitude,id\n1,2,3\n")
     with pytest.raises(ValueError, match="twice"):
         files.read_csv_by_name(spark, str(tmp_path / "t.csv"))
+
+
+def zones(spark, n=240):
+    rows = [(f"e{i:03d}", ("Low", "High", "Extreme")[(i % 7 > 3) + (i % 11 > 8)], float(i % 7) if i % 5 else None, float(i % 11)) for i in range(n)]
+    return spark.createDataFrame(rows, "id string, risk_zone string, a double, b double")
+
+
+def test_forest_prefixes(spark):
+    """The first prefix is the forest of its size; prefixes count every row once; votes of blocks add up to the forest's."""
+    (train, valid), *others = models.fold_tables(zones(spark), ("a", "b"), 3)
+    assert len(others) == 2 and valid.count() + train.count() == 240
+    setting = {"maxDepth": 3, "minInstancesPerNode": 1, "featureSubsetStrategy": "sqrt"}
+    counts = models.forest_prefixes(train, valid, [7, 3], setting).collect()
+    assert {n: sum(r["n"] for r in counts if r["numTrees"] == n) for n in (3, 7)} == {3: valid.count(), 7: valid.count()}
+
+    def forest(n, seed):
+        return models.RandomForestClassifier(numTrees=n, seed=seed, **setting).fit(train).transform(valid)
+
+    def as_counts(df):
+        return Counter((r["label"], r["prediction"]) for r in df.collect())
+
+    assert as_counts(forest(3, models.SEED)) == {(r["label"], r["prediction"]): r["n"] for r in counts if r["numTrees"] == 3}
+    one, two = (forest(n, models.SEED + k).select("features", "label", "rawPrediction").collect() for k, n in enumerate((3, 4)))
+    votes = {}
+    for r in [*one, *two]:
+        key = (tuple(r["features"]), r["label"])
+        votes[key] = votes.get(key, 0) + r["rawPrediction"].toArray()
+    times = Counter((tuple(r["features"]), r["label"]) for r in one)
+    want = Counter()
+    for (x, label), v in votes.items():
+        want[(label, float(v.argmax()))] += times[(x, label)]
+    assert want == {(r["label"], r["prediction"]): r["n"] for r in counts if r["numTrees"] == 7}
+
+
+def test_medians_of_a_fold_come_from_its_training_rows(spark):
+    """One outlying value moves the medians of the folds that train on it, not of the one that validates on it."""
+    rows = zones(spark, 30).withColumn("a", F.when(F.col("id") < "e004", F.col("a")))
+    for train, valid in models.fold_tables(rows, ("a", "b"), 3):
+        seen = train.unionAll(valid).select("features").collect()
+        assert len(seen) == 30 and all(x == x for r in seen for x in r["features"])
+
+
+def test_search_names_one_best_setting(spark):
+    rows = zones(spark)
+    found = models.search(rows, ("a", "b"), {"numTrees": [2, 5], "maxDepth": [1, 4], "minInstancesPerNode": [1], "featureSubsetStrategy": ["all"]}, 3)
+    got = found.collect()
+    assert len(got) == 4 and sum(r["best"] for r in got) == 1
+    assert max(r["f1_weighted"] for r in got) == next(r["f1_weighted"] for r in got if r["best"])
+    assert all(0 <= r["f1_lowest"] <= r["f1_weighted"] + 1e-12 <= r["f1_highest"] + 2e-12 <= 1 + 3e-12 for r in got)
+    model = models.best_forest(rows, found, ("a", "b"))
+    assert {r[0] for r in model.transform(rows).select("predicted_zone").distinct().collect()} <= {"Low", "High", "Extreme"}

@@ -22,36 +22,44 @@ def confusion_matrix(
     ])
 
 
-def class_report(predictions: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """(class, precision, recall, f1_score, support); an undefined ratio counts as 0."""
-    counted = confusion_counts(predictions, label, prediction)
-    sides = counted.select(F.explode(F.array(
+def class_counts(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, class, precision, recall, f1_score, support, hit) from counted (keys, label, prediction, n); an undefined ratio counts as 0."""
+    sides = counted.select(*keys, F.explode(F.array(
         F.struct(F.col("label").alias("class"), F.col("n").alias("true"), F.lit(0).cast("bigint").alias("guessed"),
                  F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0).cast("bigint").alias("hit")),
         F.struct(F.col("prediction").alias("class"), F.lit(0).cast("bigint").alias("true"), F.col("n").alias("guessed"),
                  F.lit(0).cast("bigint").alias("hit")),
-    )).alias("s")).select("s.*")
-    per_class = sides.groupBy("class").agg(F.sum("true").alias("support"), F.sum("guessed").alias("guessed"), F.sum("hit").alias("hit"))
+    )).alias("s")).select(*keys, "s.*")
+    per_class = sides.groupBy(*keys, "class").agg(F.sum("true").alias("support"), F.sum("guessed").alias("guessed"), F.sum("hit").alias("hit"))
     return per_class.withColumns({
         "precision": F.coalesce(F.try_divide("hit", "guessed"), F.lit(0.0)),
         "recall": F.coalesce(F.try_divide("hit", "support"), F.lit(0.0)),
     }).select(
-        "class", "precision", "recall",
+        *keys, "class", "precision", "recall",
         F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), F.lit(0.0)).alias("f1_score"),
         "support", "hit",
     )
 
 
-def weighted_metrics(predictions: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """One row: accuracy and the support-weighted precision, recall and F1."""
-    report = class_report(predictions, label, prediction)
+def class_report(predictions: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """(class, precision, recall, f1_score, support); an undefined ratio counts as 0."""
+    return class_counts(confusion_counts(predictions, label, prediction), [])
+
+
+def grouped_metrics(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """Per group of ``keys``: accuracy and the support-weighted precision, recall and F1 of counted predictions."""
     total = F.sum("support")
-    return report.agg(
+    return class_counts(counted, keys).groupBy(*keys).agg(
         (F.sum("hit") / total).alias("accuracy"),
         *[(F.sum(F.col(c) * F.col("support")) / total).alias(c) for c in ("precision", "recall", "f1_score")],
     )
 
 
+def weighted_metrics(predictions: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """One row: accuracy and the support-weighted precision, recall and F1."""
+    return grouped_metrics(confusion_counts(predictions, label, prediction), [])
+
+
 def with_gap(test: DataFrame, train: DataFrame) -> DataFrame:
     """Add the training accuracy and how far it exceeds the test accuracy."""
     return test.withColumn("train_accuracy", train.select("accuracy").scalar()).withColumn(
