@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from suite.base import Tables, query, settled, stamp
-from suite.sql import ENH, EV, FEAT, PROC, r, stamp as sql_stamp
-from tremor.operators import stats
+from suite.sql import CLUSTERS, ENH, EV, FEAT, PROC, r, stamp as sql_stamp
+from tremor.operators import maintain, stats
 from tremor.operators.filters import require_columns
 from tremor.plans.etl import ENHANCED_COLUMNS
+from tremor.plans.master import store
 from tremor.schemas import CATALOG
 from tremor.sources import files, geojson, sinks, windows
 
@@ -219,3 +220,48 @@ def _(t: Tables):
     counted = windows.with_window(t.catalog, "2023-01-01", "2024-12-31").filter("starttime is not null").groupBy("starttime").agg(F.count(F.lit(1)).alias("events"))
     return spans.join(F.broadcast(counted), "starttime", "left").select(
         c("starttime").cast("string").alias("starttime"), c("endtime").cast("string").alias("endtime"), F.coalesce("events", F.lit(0)).alias("events"))
+
+
+@query("s4_read_line_breaks", f"WITH {EV} SELECT id, magnitude, place || chr(10) || 'second, \"line\"' AS place FROM ev")
+def _(t: Tables):
+    """Quoted commas, quotes and line breaks inside a field."""
+    path = sinks.scratch_path(t.catalog, "breaks") + ".csv"
+    text = F.concat("place", F.lit('\nsecond, "line"'))
+    t.catalog.select("magnitude", text.alias("place"), "id").write.option("header", True).option("escape", '"').csv(path)
+    return files.read_csv_by_name(t.spark, path, line_breaks=True).select("id", c("magnitude").cast("double").alias("magnitude"), "place")
+
+
+@query("s13_store_run", f"""WITH RECURSIVE {CLUSTERS} SELECT 'earthquakes_processed' AS table_name, count(*) AS "rows" FROM proc UNION ALL SELECT 'earthquake_clusters', count(*) FROM clus
+ UNION ALL SELECT 'earthquake_risk_classifications', count(*) FROM cls UNION ALL SELECT 'hazard_zones', count(*) FROM zones""")
+def _(t: Tables):
+    """The four tables of a run, stored as one version; counted while written and in the files."""
+    return store(t.stored, sinks.scratch_path(t.catalog, "run"))
+
+
+@query("s14_append_twice", f"WITH {ENH} SELECT strftime(datetime_local, '%Y-%m') AS month_batch, CASE WHEN magnitude >= 5 THEN 'strong' ELSE 'rest' END AS batch, count(*) AS events FROM enh GROUP BY 1,2")
+def _(t: Tables):
+    """Two batches, both appended twice."""
+    path = sinks.scratch_path(t.catalog, "batches")
+    strong = F.coalesce(c("magnitude") >= 5, F.lit(False))
+    rows = t.enhanced.select(*ENHANCED_COLUMNS)
+    for name, part in (("strong", strong), ("rest", ~strong), ("strong", strong), ("rest", ~strong)):
+        sinks.append_by_month(rows.filter(part), path, batch=name)
+    return sinks.read_months(t.spark, path).groupBy("month_batch", "batch").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query("s14_change_months", f"""WITH {ENH}, m AS (SELECT *, strftime(datetime_local, '%Y-%m') AS month_batch FROM enh)
+ SELECT id, round(depth, 1) AS depth, magnitude, true AS kept_files FROM m WHERE NOT (month_batch = '2022-03' AND magnitude < 5) AND month_batch <> '2022-05'""")
+def _(t: Tables):
+    """Rows deleted and changed in two months; the files of all other months stay."""
+    path = sinks.scratch_path(t.catalog, "changed")
+    sinks.append_by_month(t.enhanced.select(*ENHANCED_COLUMNS), path, batch="all")
+
+    def files_outside() -> set[str]:
+        names = sinks.read_months(t.spark, path).select(F.input_file_name().alias("f")).distinct().collect()
+        return {r["f"] for r in names if "2022-03" not in r["f"] and "2022-05" not in r["f"]}
+
+    before = files_outside()
+    gone = ((c("month_batch") == "2022-03") & (c("magnitude") < 5)) | (c("month_batch") == "2022-05")
+    sinks.change_months(t.spark, path, gone, lambda rows: maintain.delete(rows, gone)[0])
+    same = before == files_outside()
+    return sinks.read_months(t.spark, path).select("id", F.round("depth", 1).alias("depth"), "magnitude", F.lit(same).alias("kept_files"))

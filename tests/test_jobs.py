@@ -1,5 +1,6 @@
 """Jobs: streaming, splits, metrics, writers."""
 
+import gzip
 import json
 from collections import Counter
 
@@ -9,7 +10,9 @@ from pyspark.sql import functions as F
 from tremor.learning import metrics, models, split
 from tremor.sources import files, sinks
 from tremor.schemas import FEATURE
+from tremor.operators import validate
 from tremor.streaming.ingest import read_feature_stream, start_ingest, transform_features
+from tremor.streaming.stateful import append_available, daily_windows, without_repeats
 
 
 def feature(name, mag, coordinates):
@@ -146,3 +149,98 @@ def test_search_names_one_best_setting(spark):
     assert all(0 <= r["f1_lowest"] <= r["f1_weighted"] + 1e-12 <= r["f1_highest"] + 2e-12 <= 1 + 3e-12 for r in got)
     model = models.best_forest(rows, found, ("a", "b"))
     assert {r[0] for r in model.transform(rows).select("predicted_zone").distinct().collect()} <= {"Low", "High", "Extreme"}
+
+
+def at(name, day, mag=5.0):
+    return {"id": name, "properties": {"mag": mag, "place": "p", "time": 1_700_000_000_000 + int(day * 86_400_000)}, "geometry": {"coordinates": [1.0, 2.0, 3.0]}}
+
+
+def test_stream_drops_repeats_and_late_records(spark, tmp_path):
+    """Three runs over one checkpoint; the last finds nothing new, and what is committed is not written again."""
+    landing = tmp_path / "landing"
+    landing.mkdir()
+
+    def run(name, *records):
+        (landing / name).write_text("\n".join(map(json.dumps, records)))
+        stream = without_repeats(transform_features(read_feature_stream(spark, str(landing))))
+        return append_available(stream, str(tmp_path / "out"), str(tmp_path / "progress")), stream
+
+    one, _ = run("1.json", at("a", 0), at("b", 9), at("b", 9), at("c", 10), {**at("no time", 1), "properties": {"mag": 5.0, "place": "p", "time": None}})
+    two, _ = run("2.json", at("c", 10), at("old", 3), at("edge", 8.5), at("d", 11))
+    three, stream = run("1.json")
+    got = spark.read.schema(stream.schema).parquet(str(tmp_path / "out"))
+    assert sorted(r["id"] for r in got.collect()) == ["a", "b", "c", "d", "edge"]
+    assert (one.records, one.late, two.records, two.late, three.records) == (5, 0, 4, 1, 0)
+
+
+def test_stream_days_close_once(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    days = []
+    for name, records in (("1", [at("a", 0, 4.0), at("b", 0.01, 6.0), at("c", 5)]), ("2", [at("late", 0), at("d", 5.01), at("e", 20)])):
+        (landing / f"{name}.json").write_text("\n".join(map(json.dumps, records)))
+        stream = daily_windows(transform_features(read_feature_stream(spark, str(landing))))
+        append_available(stream, str(tmp_path / "out"), str(tmp_path / "progress"))
+        rows = spark.read.schema(stream.schema).parquet(str(tmp_path / "out")).orderBy("date").collect()
+        days.append([(str(r["date"]), r["earthquake_count"], r["avg_magnitude"], r["max_magnitude"]) for r in rows])
+    assert days == [[("2023-11-14", 2, 5.0, 6.0)], [("2023-11-14", 2, 5.0, 6.0), ("2023-11-19", 2, 5.0, 5.0)]]
+
+
+def test_a_writer_that_loses_rows_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "stored")
+    assert [tuple(r) for r in sinks.refresh_tables({"a": spark.range(5), "none": spark.range(0)}, path).collect()] == [("a", 5), ("none", 0)]
+    with pytest.raises(ValueError, match="9 rows were handed to the writer, 8 are in the files"):
+        sinks.refresh_tables({"a": spark.range(9)}, path, write=lambda df, p: df.filter("id <> 4").write.parquet(p))
+    assert sinks.read_stored(spark, path, "a").count() == 5
+
+
+def test_reports_run_whole(spark, tmp_path):
+    """A value that only the whole result needs fails its report; an empty report gets its fallback row."""
+    broken = F.when(F.col("id") == 3, F.raise_error(F.lit("bad value"))).otherwise(F.lit("x"))
+    suite = {"sound": lambda: spark.range(4), "broken": lambda: spark.range(9).withColumn("v", broken), "empty": lambda: spark.range(4).filter("id > 9")}
+    got = validate.suite_summary(spark, suite, str(tmp_path), {"empty": {"id": F.lit(-1)}})
+    assert {r["query"]: (r["status"], r["row_count"]) for r in got.collect()} == {"sound": ("SUCCESS", 4), "broken": ("FAILED", 0), "empty": ("SUCCESS", 1)}
+    assert [r[0] for r in spark.read.parquet(str(tmp_path / "empty")).collect()] == [-1]
+
+
+def test_months_change_alone(spark, tmp_path):
+    path = str(tmp_path / "months")
+    rows = spark.range(90).select("id", F.timestamp_add("DAY", F.col("id").cast("int"), F.lit("2024-01-01").cast("timestamp")).alias("datetime_local"), F.lit(1.0).alias("depth"))
+    for batch in ("one", "one", "two"):
+        sinks.append_by_month(rows, path, batch=batch)
+    assert sinks.read_months(spark, path).count() == 180
+
+    def modified():
+        return {str(p): p.stat().st_mtime_ns for p in (tmp_path / "months").rglob("*.parquet")}
+
+    before = modified()
+    may = F.col("id") >= 31 + 29
+    for _ in range(2):
+        counts = sinks.change_months(spark, path, may & (F.col("depth") == 1), lambda df: df.withColumn("depth", F.when(may, 2.0).otherwise(F.col("depth"))))
+    assert counts.count() == 0 and {p for p, t in before.items() if modified().get(p) == t} == {p for p in before if "2024-03" not in p}
+    counts = sinks.change_months(spark, path, F.col("month_batch") == "2024-02", lambda df: df.filter("batch = 'two'"))
+    assert sorted(map(tuple, counts.collect())) == [("2024-02", "one", 29, 0), ("2024-02", "two", 29, 29)]
+    got = sinks.read_months(spark, path).groupBy("month_batch", "batch", "depth").count().collect()
+    assert sorted(map(tuple, got)) == [("2024-01", "one", 1.0, 31), ("2024-01", "two", 1.0, 31), ("2024-02", "two", 1.0, 29), ("2024-03", "one", 2.0, 30), ("2024-03", "two", 2.0, 30)]
+
+
+def test_csv_headers(spark, tmp_path):
+    """Headers with quoted line breaks and beyond the first bytes, packed, empty and hidden files, folders in folders."""
+    (tmp_path / "in" / "deep").mkdir(parents=True)
+    (tmp_path / "in" / "a.csv").write_text('id,"na\nme"\n1,"x ""y""\nz"\n')
+    (tmp_path / "in" / "deep" / "b.csv").write_text("\ufeffid,other\n2,é\n")
+    (tmp_path / "in" / "c.csv.gz").write_bytes(gzip.compress(b"other,id\nq,3\n"))
+    (tmp_path / "in" / "empty.csv").write_text("")
+    (tmp_path / "in" / "_SUCCESS").write_text("no,header")
+    got = files.read_csv_by_name(spark, str(tmp_path / "in"), line_breaks=True)
+    assert sorted((r["id"], r["na\nme"], r["other"]) for r in got.collect()) == [("1", 'x "y"\nz', None), ("2", None, "é"), ("3", None, "q")]
+    wide = ["id", *(f"column_{i}" for i in range(1000))]
+    (tmp_path / "wide.csv").write_text(",".join(wide) + "\n" + ",".join(map(str, range(1001))) + "\n")
+    row = files.read_csv_by_name(spark, str(tmp_path / "wide.csv")).first()
+    assert row["id"] == "0" and row["column_999"] == "1000"
+    (tmp_path / "only.csv").write_text("id")
+    assert files.read_csv_by_name(spark, str(tmp_path / "only.csv")).columns == ["id"]
+    with pytest.raises(FileNotFoundError):
+        files.read_csv_by_name(spark, str(tmp_path / "missing.csv"))
+    with pytest.raises(ValueError, match="no header"):
+        files.read_csv_by_name(spark, str(tmp_path / "in" / "empty.csv"))

@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tremor.operators.dedup import missing_parents
+from tremor.sources.sinks import write_counted, write_parquet
+from tremor.workspace import new_path
+
+# Queries of a suite that run at the same time.
+PARALLEL_QUERIES = 4
 
 
 class ValidationError(ValueError):
@@ -228,18 +236,36 @@ def landed_file_check(df: DataFrame, size_mb: float) -> DataFrame:
 
 def with_fallback(df: DataFrame, fallback: dict[str, Column]) -> DataFrame:
     """The rows of ``df``, or one fallback row if there are none. ``df`` is read twice: pass a written report."""
-    row = df.agg(F.count(F.lit(1)).alias("_n")).filter("_n = 0").select(
-        *[fallback.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema.fields]
-    )
-    return df.unionByName(row)
+    return df.unionByName(fallback_row(df.agg(F.count(F.lit(1)).alias("_n")).filter("_n = 0"), fallback, df.schema))
+
+
+def fallback_row(rows: DataFrame, fallback: dict[str, Column], schema: T.StructType) -> DataFrame:
+    """For every row of ``rows`` one row of ``schema`` with the ``fallback`` values, and nulls elsewhere."""
+    return rows.select(*[fallback.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def suite_summary(
+    spark, named: dict[str, Callable[[], DataFrame]], path: str | None = None, fallbacks: dict[str, dict[str, Column]] | None = None
+) -> DataFrame:
+    """(query, status, row_count, error) of a set of queries; their results are written to ``path/<query>``.
 
+    Each is run by itself, whole, and written once; its rows are counted by the writer and in the files' footers. One
+    that fails gives a FAILED row. Where a query has a fallback, an empty result is replaced by that one row.
+    """
+    path = path or new_path(spark, "reports")
 
-def suite_summary(spark, named: dict[str, Callable[[], DataFrame]]) -> DataFrame:
-    """(query, status, row_count, error) of a set of queries. Each is run by itself; one that fails gives a FAILED row."""
-    rows = []
-    for name, make in named.items():
+    def run(name: str) -> tuple:
         try:
-            rows.append((name, "SUCCESS", make().count(), None))
-        except PySparkException as failure:
-            rows.append((name, "FAILED", 0, str(failure).splitlines()[0][:500]))
+            made = named[name]()
+            rows = write_counted(made, f"{path}/{name}")
+            if rows == 0 and name in (fallbacks or {}):
+                rows = 1
+                write_parquet(fallback_row(spark.range(1), fallbacks[name], made.schema), f"{path}/{name}")
+            return name, "SUCCESS", rows, None
+        except (PySparkException, ValueError) as failure:
+            return name, "FAILED", 0, str(failure).splitlines()[0][:500]
+
+    # The queries do not depend on each other, so small ones fill the cores together.
+    with ThreadPoolExecutor(PARALLEL_QUERIES) as pool:
+        rows = list(pool.map(inheritable_thread_target(spark)(run), named))
     return spark.createDataFrame(rows, "query string, status string, row_count bigint, error string")

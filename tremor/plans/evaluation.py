@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tremor.functions import classify, scores
@@ -80,26 +80,32 @@ def cell_analysis(df: DataFrame, digits: tuple[int, int, int] = (2, 1, 3)) -> Da
 
 
 def report_makers(df: DataFrame) -> dict[str, Callable[[], DataFrame]]:
-    """All six, to be made one by one; two of them give a placeholder row when they would be empty."""
-    now = F.current_date()
+    """All six, to be made one by one."""
     return {
         "top_magnitude_earthquakes": lambda: top_magnitude(df),
         "earthquakes_by_zone": lambda: by_zone(df),
-        "monthly_trends": lambda: with_fallback(materialise(monthly_trends(df), "monthly-trends"), {
-            "year": F.year(now), "month": F.month(now), "monthly_count": F.lit(0), "major_earthquakes": F.lit(0),
-        }),
+        "monthly_trends": lambda: monthly_trends(df),
         "depth_analysis": lambda: depth_analysis(df),
         "high_risk_analysis": lambda: high_risk(df),
-        "clustering_analysis": lambda: with_fallback(materialise(cell_analysis(df), "cells"), {
-            "earthquake_cluster": F.lit(0), "cluster_size": F.lit(0), "percentage": F.lit(0.0),
-        }),
+        "clustering_analysis": lambda: cell_analysis(df),
+    }
+
+
+def fallbacks() -> dict[str, dict[str, Column]]:
+    """The row two of the reports show when they would be empty."""
+    now = F.current_date()
+    return {
+        "monthly_trends": {"year": F.year(now), "month": F.month(now), "monthly_count": F.lit(0), "major_earthquakes": F.lit(0)},
+        "clustering_analysis": {"earthquake_cluster": F.lit(0), "cluster_size": F.lit(0), "percentage": F.lit(0.0)},
     }
 
 
 def reports(df: DataFrame) -> dict[str, DataFrame]:
-    return {name: make() for name, make in report_makers(df).items()}
+    empty = fallbacks()
+    made = {name: make() for name, make in report_makers(df).items()}
+    return {name: with_fallback(materialise(r, "report"), empty[name]) if name in empty else r for name, r in made.items()}
 
 
-def summary(df: DataFrame) -> DataFrame:
-    """(query, status, row_count, error): a report that fails does not stop the others."""
-    return suite_summary(df.sparkSession, report_makers(df))
+def summary(df: DataFrame, path: str | None = None) -> DataFrame:
+    """(query, status, row_count, error) of the reports, each written once to ``path/<report>``; one that fails does not stop the others."""
+    return suite_summary(df.sparkSession, report_makers(df), path, fallbacks())

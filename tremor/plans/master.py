@@ -12,6 +12,7 @@ from tremor.operators.dbscan import dbscan
 from tremor.operators.density import with_density
 from tremor.operators.filters import require_columns, valid_events, without_noise
 from tremor.schemas import CATALOG
+from tremor.sources.sinks import refresh_tables
 from tremor.workspace import materialise
 
 PROCESSED_COLUMNS = [
@@ -80,6 +81,23 @@ def stored_tables(processed: DataFrame, clusters: DataFrame) -> dict[str, DataFr
     }
 
 
+# Every key of a child table is in its parent: (child, key, parent, parent key).
+REFERENCES = (
+    ("earthquake_clusters", "id", "earthquakes_processed", "id"),
+    ("earthquake_risk_classifications", "earthquake_id", "earthquakes_processed", "id"),
+)
+
+
+def store(stored: dict[str, DataFrame], path: str) -> DataFrame:
+    """Make the four tables of a run the current version at ``path``, or leave the old one; (table_name, rows)."""
+    return refresh_tables(stored, path, REFERENCES)
+
+
+def run(catalog: DataFrame, path: str, eps: float = DBSCAN_EPS, min_samples: int = DBSCAN_MIN_SAMPLES) -> DataFrame:
+    """The whole job: cluster the catalog and store its tables; read them with ``read_stored(spark, path, name)``."""
+    return store(tables(catalog, eps, min_samples), path)
+
+
 def zone_ranking(catalog: DataFrame, eps: float = DBSCAN_EPS, min_samples: int = DBSCAN_MIN_SAMPLES) -> DataFrame:
     """Every cluster of the catalog with its profile, the most hazardous first."""
     processed = materialise(process(catalog).select(*PROCESSED_COLUMNS), "processed")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import csv
+import io
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,10 @@ from pyspark.sql import types as T
 from tremor.functions.temporal import from_millis, parse_time
 from tremor.functions.text import nan_to_null
 from tremor.schemas import CATALOG, EVALUATION_CATALOG, RAW_CATALOG
+from tremor.workspace import file_system
 
+# What is read of a file to know its columns, and how many files are opened at the same time.
+HEADER_BYTES, HEADER_READERS = 4096, 16
 REQUIRED = ("id", "latitude", "longitude", "magnitude")
 
 
@@ -30,32 +35,68 @@ def read_catalog(spark: SparkSession, path: str, schema: T.StructType = CATALOG)
     return nan_to_null(found)
 
 
-def read_csv_by_name(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_by_name(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
     """The columns of a CSV file or folder as text, each picked by its name in the header of its own file.
 
     Files may order their columns differently, lack some, or have more: a column is the union over the files, NULL
-    where a file lacks it. Files of one layout are read together. A header that names a column twice raises. Fields
-    may hold commas and quotes, but no line breaks.
+    where a file lacks it. Files of one layout are read together; of each file only the first kilobytes are read to
+    know its layout. A header that names a column twice raises. Fields may hold commas and quotes, and line breaks if
+    ``line_breaks`` says so: a file is then read by one task, since a break no longer ends a record.
     """
-    lines = spark.read.text(path, wholetext=False).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
-    # The first line of a file: the first in its first block. One row per file comes to the driver, as file listings do.
-    first = lines.filter("at = 0").groupBy("file").agg(F.first("value", ignorenulls=True).alias("header")).collect()
-    layouts: dict[str, list[str]] = {}
-    for row in first:
-        layouts.setdefault(row["header"], []).append(row["file"])
+    names = csv_files(spark, path)
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        headers = list(pool.map(lambda name: read_header(spark, name), names))
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for name, columns in zip(names, headers):
+        if columns is not None:
+            layouts.setdefault(columns, []).append(name)
     found = None
-    for header, names in sorted(layouts.items()):
-        columns = next(csv.reader([header.lstrip("\ufeff")]))
+    for columns, members in sorted(layouts.items()):
         if len(set(columns)) < len(columns):
-            raise ValueError(f"a column is named twice in the header of {names[0]}: {header}")
+            raise ValueError(f"a column is named twice in the header of {members[0]}: {columns}")
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        part = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(sorted(names))
+        reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+        part = reader.option("multiLine", line_breaks).option("escape", '"').csv(members)
         found = part if found is None else found.unionByName(part, allowMissingColumns=True)
     if found is None:
         raise ValueError(f"no header in {path}")
     return found
 
 
+def csv_files(spark: SparkSession, path: str) -> list[str]:
+    """The files a reader would take in a file, folder or pattern, in order of their names."""
+    location, system = file_system(spark, path)
+    found, folders = [], [s for s in system.globStatus(location) or []]
+    if not folders:
+        raise FileNotFoundError(path)
+    while folders:
+        status = folders.pop()
+        if status.isDirectory():
+            inside = system.listStatus(status.getPath())
+            folders.extend(s for s in inside if s.getPath().getName()[0] not in "_.")
+        elif status.getLen():
+            found.append(status.getPath().toString())
+    return sorted(found)
+
+
+def read_header(spark: SparkSession, name: str, size: int = HEADER_BYTES) -> tuple[str, ...] | None:
+    """The column names in the first record of a file; None if there is none. Reads ``size`` bytes, more only if the record is longer."""
+    location, system = file_system(spark, name)
+    codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(system.getConf()).getCodec(location)
+    stream = system.open(location)
+    try:
+        data = bytes((codec.createInputStream(stream) if codec else stream).readNBytes(size))
+    finally:
+        stream.close()
+    # A record that fills all that was read may go on; the decoder leaves out a character that was cut.
+    text = data.decode("utf-8-sig", errors="ignore")
+    records = csv.reader(io.StringIO(text, newline=""))
+    first = next((r for r in records if r), None)
+    if len(data) == size and next(records, None) is None:
+        return read_header(spark, name, size * 16)
+    return tuple(first) if first else None
+
+
 def coerce(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast every column of ``schema``; values that do not fit become NULL, absent columns too."""
     return nan_to_null(df.select(*[

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from functools import reduce
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tremor.operators.dedup import missing_parents
 from tremor.operators.filters import normalise_schema, select_columns
-from tremor.workspace import new_path
+from tremor.workspace import file_system, materialise, new_path
 
 # Columns a relational target takes; vectors and structs stay behind.
 RELATIONAL_COLUMNS = (
@@ -24,8 +24,8 @@ RELATIONAL_COLUMNS = (
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with header. ``single_file`` is for small aggregates: it writes from one task."""
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).csv(path)
+    """CSV with header, quotes inside a field doubled. ``single_file`` is for small aggregates: it writes from one task."""
+    (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -90,34 +90,49 @@ def _connects(df: DataFrame, url: str, properties: dict[str, str]) -> bool:
         return False
 
 
+def parquet(df: DataFrame, path: str) -> None:
+    df.write.parquet(path)
+
+
+def write_counted(df: DataFrame, path: str, write: Callable[[DataFrame, str], None] = parquet) -> int:
+    """Write ``df`` as Parquet and return its rows: those that reached the writer, which must be those in the files.
+
+    The first number is observed while the table is written, the second comes from the footers of the files, so the
+    check reads no data.
+    """
+    handed = Observation()
+    write(df.observe(handed, F.count(F.lit(1)).alias("rows")), path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path).count()
+    if handed.get["rows"] != stored:
+        raise ValueError(f"{path}: {handed.get['rows']} rows were handed to the writer, {stored} are in the files")
+    return stored
+
+
 def refresh_tables(
-    tables: dict[str, DataFrame], path: str, references: tuple[tuple[str, str, str, str], ...] = ()
+    tables: dict[str, DataFrame], path: str, references: tuple[tuple[str, str, str, str], ...] = (),
+    write: Callable[[DataFrame, str], None] = parquet,
 ) -> DataFrame:
-    """Replace a set of stored tables as one; returns (table_name, rows) as read back.
+    """Replace a set of stored tables as one; returns (table_name, rows).
 
     Every table is written into a new version folder ``path/v=<id>``. Only after all are there, have as many rows as
-    were written, and satisfy ``references`` (child, key, parent, parent key), the pointer file is switched. Readers
-    (:func:`current_version`) see the old version until then; a failure, or a table made from its own old version,
-    does it no harm.
+    were handed to the writer (:func:`write_counted`), and satisfy ``references`` (child, key, parent, parent key), the
+    pointer file is switched. Readers (:func:`current_version`) see the old version until then; a failure, or a table
+    made from its own old version, does it no harm.
     """
     spark = next(iter(tables.values())).sparkSession
     version = f"{path}/v={uuid.uuid4().hex[:12]}"
-    for name, df in tables.items():
-        df.write.parquet(f"{version}/{name}")
+    counts = [(name, write_counted(df, f"{version}/{name}", write)) for name, df in tables.items()]
     stored = {name: spark.read.schema(df.schema).parquet(f"{version}/{name}") for name, df in tables.items()}
     for child, key, parent, parent_key in references:
         lost = missing_parents(stored[child], stored[parent], key, parent_key).limit(1).count()
         if lost:
             raise ValueError(f"{child}.{key} has values that are not in {parent}.{parent_key}; the stored tables stay as they are")
     _point_to(spark, path, version)
-    counts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows") for name, df in stored.items()]
-    return reduce(DataFrame.unionByName, counts)
+    return spark.createDataFrame(counts, "table_name string, rows bigint")
 
 
 def _system(spark, path: str):
-    jvm = spark._jvm
-    location = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return spark._jvm, file_system(spark, path)[1]
 
 
 def _point_to(spark, path: str, version: str) -> None:
@@ -157,12 +172,56 @@ def read_stored(spark, path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{current_version(spark, path)}/{name}")
 
 
-def append_by_month(df: DataFrame, path: str, time: str = "datetime_local") -> None:
-    """Append into one folder per local month. Rebalancing gathers small months and splits busy
-    ones over several tasks by measured size."""
+def append_by_month(df: DataFrame, path: str, time: str = "datetime_local", batch: str | None = None) -> None:
+    """Append into one folder per local month and ``batch``. Rebalancing gathers small months and splits busy
+    ones over several tasks by measured size.
+
+    A batch that is appended again, after a failure or by mistake, replaces its own rows, so the table is the same
+    as after the first time. Without a name every call is a batch of its own.
+    """
     month = F.date_format(F.date_trunc("month", time), "yyyy-MM")
-    tagged = df.withColumn("month_batch", month).hint("rebalance", F.col("month_batch"))
-    tagged.write.mode("append").partitionBy("month_batch").parquet(path)
+    tagged = df.withColumns({"month_batch": month, "batch": F.lit(batch or uuid.uuid4().hex)})
+    _overwrite_parts(tagged.hint("rebalance", F.col("month_batch")), path)
+
+
+def _overwrite_parts(tagged: DataFrame, path: str) -> None:
+    """Replace the folders ``tagged`` has rows for, and leave all others alone."""
+    writer = tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("month_batch", "batch").parquet(path)
+
+
+def read_months(spark, path: str) -> DataFrame:
+    """The table that :func:`append_by_month` keeps, with month_batch and batch as text."""
+    found = spark.read.parquet(path)
+    return found.withColumns({c: F.col(c).cast("string") for c in ("month_batch", "batch")})
+
+
+def change_months(spark, path: str, touched: Column, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Apply ``change`` to the months with a row that ``touched`` holds for; (month_batch, batch, rows_before, rows_after).
+
+    Only those months are read as a whole and written again; files of all others stay as they are. ``change`` keeps
+    month_batch and batch, and must give the same result when applied again: a change that was interrupted is
+    completed by repeating it. Folders left without rows are removed.
+    """
+    stored = read_months(spark, path)
+    parts = ["month_batch", "batch"]
+    hit = materialise(stored.filter(touched).select("month_batch").distinct(), "touched-months")
+    # Months of a catalog are few; their names become a partition filter.
+    months = [row[0] for row in hit.collect()]
+    before = stored.filter(F.col("month_batch").isin(months))
+    after = materialise(change(before), "changed-months")
+    counts = materialise(
+        before.groupBy(*parts).agg(F.count(F.lit(1)).alias("rows_before"))
+        .join(after.groupBy(*parts).agg(F.count(F.lit(1)).alias("rows_after")), parts, "left")
+        .withColumn("rows_after", F.coalesce("rows_after", F.lit(0))),
+        "change-counts",
+    )
+    if months:
+        _overwrite_parts(after.hint("rebalance", F.col("month_batch")), path)
+    for row in counts.filter("rows_after = 0").collect():
+        location, system = file_system(spark, f"{path}/month_batch={row['month_batch']}/batch={row['batch']}")
+        system.delete(location, True)
+    return counts
 
 
 def replace_table(df: DataFrame, path: str) -> None:
