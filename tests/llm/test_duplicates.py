@@ -180,6 +180,66 @@ def test_paragraphs_near_those_without_id(spark):
     assert {(r["doc_id"], r["paragraph"]): (r["first_id"], r["first_paragraph"]) for r in got} == want
 
 
+def hashed(spark, rows):
+    """Rows as (id or None, Spark's hash of the text, text)."""
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return [tuple(r) for r in df.select("doc_id", F.xxhash64("text"), "text").collect()]
+
+
+def test_texts_that_share_an_id(spark):
+    """Different texts under one id, null or not: one text of every component stays, and nothing else goes."""
+    rng = random.Random(15)
+    a, b, c, d = (words(rng, 60) for _ in range(4))
+    rows = [(1, a), (2, changed(rng, a)), (2, b), (2, b), (3, changed(rng, b)), (None, c), (None, changed(rng, c)), (None, d), (None, None), (None, None), (2, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    known = hashed(spark, [(i, t or "") for i, t in rows])
+    keys = sorted({(i is not None, i or 0, h): t for i, h, t in known}.items())
+    sets = {k: shingle_set(t, 2) for k, t in keys}
+    first = components(sets, sets, 80)
+    want = Counter((i, t) for i, h, t in known if not t or first[(i is not None, i or 0, h)] == (i is not None, i or 0, h))
+    got = Counter((r["doc_id"], r["text"] or "") for r in near_dedup.drop_near_duplicates(df, words=2).collect())
+    assert got == want and (2, rows[1][1]) not in got and got[(2, b)] == 2 and sum(n for (i, t), n in got.items() if i is None) == 4
+
+
+def test_paragraphs_of_texts_that_share_an_id(spark):
+    """No line goes from a text because another text of the same id, null or not, has lost one there."""
+    rng = random.Random(16)
+    x, y, z, only, kept, w = (words(rng, 30) for _ in range(6))
+    rows = [(7, f"{x}\n{only}"), (7, f"{y}\n{z}"), (3, z), (None, f"{kept}\n{w}"), (None, f"{w}\n{kept} more"), (None, changed(rng, w)), (8, f"{w}\n{x}"), (8, f"{w}\n{x}")]
+    known = hashed(spark, rows)
+    sets = {(i is not None, i or 0, h, k): shingle_set(line, 5) for i, h, t in known for k, line in enumerate(t.split("\n"))}
+    first = components(sorted(sets), sets, 80)
+
+    def left(i, h, t):
+        return "\n".join(line for k, line in enumerate(t.split("\n")) if first[(i is not None, i or 0, h, k)] == (i is not None, i or 0, h, k))
+
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = paragraph_dedup.remove_paragraphs(df, paragraph_dedup.duplicate_paragraphs(df)).collect()
+    assert Counter((r["doc_id"], r["kept_text"]) for r in got) == Counter((i, left(i, h, t)) for i, h, t in known)
+    assert any(only in r["kept_text"] for r in got)
+
+
+def test_signatures_of_many_sets():
+    rng = random.Random(17)
+    sets = [minmax.shingles(words(rng, n), 2) for n in (1, 2, 3, 900, 3000, 5, 700, 1, 2500, 40)]
+    low, high = minmax.signatures(sets)
+    for k, s in enumerate(sets):
+        one = minmax.signature(s)
+        assert (low[:, k] == one[0]).all() and (high[:, k] == one[1]).all()
+        assert (minmax.keys_of(np.stack([low, high]), 32, 4)[k] == minmax.band_keys(s, 32, 4)).all()
+
+
+def test_rare_shingles_find_every_link(spark, monkeypatch):
+    """With a single round of pivots, most links come from rare shingles: a group of texts around the threshold, and a shared passage."""
+    monkeypatch.setattr(minmax, "STAR_ROUNDS", 1)
+    rng = random.Random(18)
+    base, passage = words(rng, 60), words(rng, 30)
+    rows = [(i, changed(rng, base, rng.randint(1, 9))) for i in range(150)] + [(1000 + i, f"{passage} {words(rng, rng.randint(5, 20))}") for i in range(80)]
+    sets = {i: shingle_set(t, 2) for i, t in rows}
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), words=2).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == components(sets, sets, 80)
+
+
 def test_near_duplicates_of_nothing(empty, docs_with_null):
     assert near_dedup.near_duplicates(empty).count() == 0
     out = near_dedup.near_duplicates(docs_with_null)

@@ -137,8 +137,9 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     spark, path = docs.sparkSession, new_path(docs.sparkSession, "dedup-input")
     docs.write.parquet(path)
     found = exact_duplicates(spark, path, id_col, text_col)
-    kept = found.filter("kept").select(F.col("row.file").alias("_file"), F.col("row.line").alias("_line"))
+    gone = materialise(found.filter(~F.col("kept")).select(F.col("row.file").alias("_file"), F.col("row.line").alias("_line")), "dedup-dropped")
     rows = spark.read.schema(docs.schema).parquet(path).select(
         F.struct(*docs.columns).alias("_doc"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_line")
     )
-    return rows.join(kept, ["_file", "_line"], "left_semi").select("_doc.*")
+    right = F.broadcast(gone) if is_small(gone, SMALL_ROWS) else gone
+    return rows.join(right, ["_file", "_line"], "left_anti").select("_doc.*")

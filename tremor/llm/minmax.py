@@ -8,10 +8,9 @@ joined to components.
 Groups are never paired out. Texts with equal sets become one class first. In each band bucket the classes are
 compared with one of them, the pivot, and linked ones joined to components; further rounds take a pivot from the
 largest component of each bucket that still spans several, and compare it with the classes outside. What then is left
-outside, classes linked with no pivot, is compared with the classes of other components of its buckets, unless that
-cannot give a link: Jaccard distance is a metric, so two classes whose distances from their bucket's first pivot differ
-by more than a link may span are apart, and shingles that no other class in question has bound the intersection. The
-result is that of comparing all classes that share a bucket.
+outside, classes linked with no pivot, is compared only where two classes of different components share one of their
+rarest shingles, as sets this similar must, and where enough shingles follow it in both. That finds every link among
+them, also those of pairs that share no band.
 """
 
 from __future__ import annotations
@@ -27,12 +26,12 @@ from pyspark.sql import functions as F
 from tremor.llm.base import SMALL_ROWS, in_chunks, rows_of, ship_by_value
 from tremor.operators.components import connected_components
 from tremor.operators.skew import balanced_join, is_small
-from tremor.workspace import materialise
+from tremor.workspace import materialise, settled
 
 PERMUTATIONS = 64
 # Rows of a pivot that share one copy of its set.
 PAIRS_PER_SPLIT = 2_000
-ITEMS = "doc_id long, part int, n_shingles int, set_a long, set_b long, bands array<long>"
+ITEMS = "doc_id long, hash long, part int, n_shingles int, set_a long, set_b long, bands array<long>"
 MASK = (1 << 64) - 1
 # Rounds of pivots before the classes left outside are compared with each other.
 STAR_ROUNDS = 4
@@ -80,6 +79,27 @@ def signature(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low, high
 
 
+def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The signatures of many sets (permutations x sets); small sets are evaluated together."""
+    low = np.empty((PERMUTATIONS, len(sets)), dtype=np.uint64)
+    high = np.empty((PERMUTATIONS, len(sets)), dtype=np.uint64)
+    at = 0
+    while at < len(sets):
+        end, size = at, 0
+        while end < len(sets) and (end == at or size + len(sets[end]) <= 2048):
+            size += len(sets[end])
+            end += 1
+        if end == at + 1:
+            low[:, at], high[:, at] = signature(sets[at])
+        else:
+            x = FACTORS[:, None] * np.concatenate(sets[at:end])[None] + SHIFTS[:, None]
+            starts = np.cumsum([0, *(len(s) for s in sets[at:end - 1])])
+            np.minimum.reduceat(x, starts, axis=1, out=low[:, at:end])
+            np.maximum.reduceat(x, starts, axis=1, out=high[:, at:end])
+        at = end
+    return low, high
+
+
 def value_places(bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Which end (0 minimum, 1 maximum) of which permutation each (band, row) uses.
 
@@ -92,15 +112,18 @@ def value_places(bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
 
 def band_keys(s: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """Keys of ``bands`` bands of ``rows`` values, minima and maxima in turn; no value is used twice."""
+    return keys_of(np.stack(signature(s))[:, :, None], bands, rows)[0]
+
+
+def keys_of(values: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """Band keys (sets x bands) of the signatures ``values`` (ends x permutations x sets)."""
     if bands * rows > 2 * PERMUTATIONS:
         raise ValueError(f"{bands} bands of {rows} need more than the {2 * PERMUTATIONS} values of a signature")
-    values = np.stack(signature(s))
-    b = np.arange(bands)
     end, at = value_places(bands, rows)
-    key = scramble(b.astype(np.uint64) + np.uint64(1))
+    key = np.repeat(scramble(np.arange(bands).astype(np.uint64) + np.uint64(1))[:, None], values.shape[2], axis=1)
     for r in range(rows):
         key = scramble(key * MIX[r] + values[end[:, r], at[:, r]])
-    return key.view(np.int64)
+    return np.ascontiguousarray(key.T).view(np.int64)
 
 
 def parts_of(text: str, lines: bool) -> list[str]:
@@ -111,24 +134,31 @@ def _items(docs: DataFrame, words: int, bands: int, rows: int, lines: bool, leas
     """One row per text, or per line of a text: its number in the text, the size and a 128-bit hash of its set, its band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, dtype=np.uint64)
+
         def made():
-            for doc_id, text in rows_of(batches, "doc_id", "text"):
+            for doc_id, named, text in rows_of(batches, "doc_id", "hash", "text"):
                 for part, one in enumerate(parts_of(text, lines)):
                     s = shingles(one, words)
-                    if len(s) == 0 or (least > 1 and len(one.split()) < least):
-                        if not lines:
-                            yield doc_id, part, 0, 0, 0, None
-                        continue
-                    whole = xxhash.xxh3_128_intdigest(s.tobytes())
-                    yield doc_id, part, len(s), _signed(whole >> 64), _signed(whole & MASK), band_keys(s, bands, rows)
+                    if least > 1 and len(s) and len(one.split()) < least:
+                        s = none
+                    if len(s) or not lines:
+                        yield doc_id, named, part, s
 
         def batch(held: list) -> pa.RecordBatch:
-            *plain, keys = zip(*held)
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
-            columns = [pa.array(c, k) for c, k in zip(plain, kinds)] + [pa.array(keys, pa.list_(pa.int64()))]
-            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "part", "n_shingles", "set_a", "set_b", "bands"])
-
-        yield from in_chunks(made(), batch)
+            ids, named, parts, sets = zip(*held)
+            filled = [s for s in sets if len(s)]
+            keys = iter(keys_of(np.stack(signatures(filled)), bands, rows).tolist() if filled else ())
+            whole = [xxhash.xxh3_128_intdigest(s.tobytes()) if len(s) else 0 for s in sets]
+            columns = [
+                pa.array(ids, pa.int64()), pa.array(named, pa.int64()), pa.array(parts, pa.int32()),
+                pa.array([len(s) for s in sets], pa.int32()), pa.array([_signed(w >> 64) for w in whole], pa.int64()),
+                pa.array([_signed(w & MASK) for w in whole], pa.int64()),
+                pa.array([next(keys) if len(s) else None for s in sets], pa.list_(pa.int64())),
+            ]
+            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "hash", "part", "n_shingles", "set_a", "set_b", "bands"])
+
+        yield from in_chunks(made(), batch, 500)
 
     return docs.mapInArrow(run, ITEMS)
 
@@ -137,13 +167,22 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def named_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with ``hash``: a row is known by its id and its text, so rows that share an id stay apart."""
+    return docs.select("doc_id", F.xxhash64("text").alias("hash"), "text")
+
+
+def same_row(left: DataFrame, right: DataFrame):
+    """Rows with the same id, null or not, and the same text."""
+    return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["hash"] == right["hash"])
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, words: int, lines: bool) -> DataFrame:
-    """(node, shingles) of the wanted classes, from one text each; ``wanted`` has node, doc_id, part, set_a, set_b."""
-    listed = wanted.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.collect_list(F.struct("node", "part", "set_a", "set_b")).alias("wanted"))
+    """(node, shingles) of the wanted classes, from one text each; ``wanted`` has node, doc_id, hash, part, set_a, set_b."""
+    listed = wanted.groupBy("doc_id", "hash").agg(F.collect_list(F.struct("node", "part", "set_a", "set_b")).alias("wanted"))
     listed = materialise(listed, "wanted-texts")
-    if is_small(listed, SMALL_ROWS):
-        listed = F.broadcast(listed)
-    found = docs.join(listed, "doc_id").select("text", "wanted")
+    right = F.broadcast(listed) if is_small(listed, SMALL_ROWS) else listed
+    found = docs.join(right, same_row(docs, listed)).select("text", "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made():
@@ -159,41 +198,35 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int, lines: bool) -> DataFr
         yield from in_chunks(made(), lambda rows: pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(zip(*rows), [pa.int64(), pa.binary()])], names=["node", "shingles"]), 500)
 
-    def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def made():
-            for (text,) in rows_of(batches, "text"):
-                for one in parts_of(text, lines):
-                    s = shingles(one, words).tobytes()
-                    whole = xxhash.xxh3_128_intdigest(s)
-                    yield _signed(whole >> 64), _signed(whole & MASK), s
-
-        yield from in_chunks(made(), lambda rows: pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(zip(*rows), [pa.int64(), pa.int64(), pa.binary()])], names=["set_a", "set_b", "shingles"]), 500)
-
-    each = found.mapInArrow(run, "node long, shingles binary")
-    # A null id names no text; however many rows have it, their texts are read once and found by their sets.
-    unnamed = materialise(wanted.filter("doc_id IS NULL").select("node", "set_a", "set_b"), "wanted-unnamed")
-    if not is_small(unnamed, 0):
-        made = docs.filter("doc_id IS NULL").select("text").mapInArrow(run_all, "set_a long, set_b long, shingles binary")
-        right = F.broadcast(unnamed) if is_small(unnamed, SMALL_ROWS) else unnamed
-        made = made.dropDuplicates(["set_a", "set_b"]).join(right, ["set_a", "set_b"]).select("node", "shingles")
-        each = each.unionByName(made)
     # A row that repeats in the table gives its set again.
-    return materialise(each.dropDuplicates(["node"]), "shingle-sets")
+    return materialise(found.mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"]), "shingle-sets")
 
 
-def _own_shingles(sets: DataFrame) -> DataFrame:
-    """(node, own): how many of its shingles no other node of ``sets`` has; nodes without any are left out."""
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(token, node, n, place): the rarest shingles of every set, up to where a near set must have shared one.
+
+    Shingles are ranked by how many of the ``sets`` have them. Sets whose intersection is ``percent`` of their union
+    share one of the first n - ceil(n * percent) + 1 of each; shingles of one set alone take up places, but no rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for node, s in zip(batch.column("node").to_pylist(), batch.column("shingles")):
                 values = np.frombuffer(s.as_buffer(), dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), node)), pa.array(values)], names=["node", "shingle"])
-
-    each = sets.mapInArrow(run, "node long, shingle long")
-    single = each.groupBy("shingle").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("n")).filter("n = 1")
-    return single.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), node)), pa.array(values)], names=["node", "token"])
+
+    each = materialise(sets.mapInArrow(run, "node long, token long"), "set-tokens")
+    held = materialise(each.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "shared-tokens")
+    shared = balanced_join(each, held, ["token"], "inner", ["node"], limit=5 * SMALL_ROWS)
+    listed = shared.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("tokens"))
+    sizes = sets.select("node", (F.octet_length("shingles") / 8).cast("int").alias("n"))
+    # A set is as long as its text, and so is its list of tokens. Those of no other set come first of all.
+    own = F.col("n") - F.size("tokens")
+    room = (F.col("n") * (100 - percent) / 100).cast("int") + 1 - own
+    cut = listed.join(sizes, "node").filter(room > 0).select(
+        "node", "n", own.alias("own"), F.posexplode(F.slice("tokens", F.lit(1), room)).alias("i", "t")
+    )
+    return materialise(cut.select("t.token", "node", "n", (F.col("own") + F.col("i")).alias("place")), "prefixes")
 
 
 def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -225,31 +258,35 @@ def near_classes(
     """(items, classes) of the near-duplicate graph over ``docs`` (doc_id, text).
 
     ``items`` has a row per text (per line with at least ``least`` words, if ``lines``). ``classes`` has a row per
-    distinct set: set_a, set_b, first (the smallest doc_id and part that has the set), origin (the smallest in the
-    set's component), members (texts in the component).
+    distinct set: set_a, set_b, first (the smallest doc_id, hash and part that has the set), origin (the smallest in
+    the set's component), members (texts in the component). A row is known by its doc_id and the hash of its text.
     """
+    spark = docs.sparkSession
+    docs = named_texts(docs)
     items = materialise(_items(docs, words, bands, rows, lines, least), "shingle-items")
-    filled = items.filter("n_shingles > 0")
-    classes = materialise(
-        filled.groupBy("set_a", "set_b").agg(
-            F.min(F.struct("doc_id", "part")).alias("first"), F.max("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies")
-        ).withColumn("node", F.monotonically_increasing_id()),
-        "shingle-classes",
-    )
-    # The band keys of a class are those of its first text; a repeated row gives them twice.
-    of_first = classes.select("node", "n", "set_a", "set_b", F.col("first.doc_id").alias("doc_id"), F.col("first.part").alias("part"))
-    keyed = filled.select("doc_id", "part", "set_a", "set_b", "bands").join(
-        of_first, [filled[c].eqNullSafe(of_first[c]) for c in ("doc_id", "part", "set_a", "set_b")]
-    ).select("node", "n", "bands").dropDuplicates(["node"])
-    banded = materialise(keyed.select("node", "n", F.explode("bands").alias("key")), "bands")
-    shared = banded.groupBy("key").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).filter("_low < _high").select("key")
-    members = materialise(banded.join(shared, "key").withColumn("label", F.col("node")), "buckets")
-    sets = _sets(docs, of_first.join(members.select("node").distinct(), "node", "left_semi"), words, lines)
-    labels = _linked(members, sets, percent)
-    named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    named = materialise(named, "classes-named")
-    whole = named.groupBy("label").agg(F.min("first").alias("origin"), F.sum("copies").alias("members"))
-    return items, materialise(named.join(whole, "label").select("set_a", "set_b", "first", "origin", "members"), "classes-joined")
+
+    def joined() -> DataFrame:
+        # The band keys are made from the set, so those of any of its texts will do.
+        classes = materialise(
+            items.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(
+                F.min(F.struct("doc_id", "hash", "part")).alias("first"), F.max("n_shingles").alias("n"),
+                F.count(F.lit(1)).alias("copies"), F.any_value("bands").alias("bands"),
+            ).withColumn("node", F.monotonically_increasing_id()),
+            "shingle-classes",
+        )
+        banded = classes.select("node", "n", F.explode("bands").alias("key"))
+        # Most keys occur once. They are counted by themselves, and only rows of the others are dealt.
+        shared = materialise(banded.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("key"), "shared-keys")
+        right = F.broadcast(shared) if is_small(shared) else shared
+        members = materialise(banded.join(right, "key").withColumn("label", F.col("node")), "buckets")
+        wanted = classes.select("node", "set_a", "set_b", "first.*").join(members.select("node").distinct(), "node", "left_semi")
+        labels = _linked(members, _sets(docs, wanted, words, lines), percent)
+        named = classes.drop("bands").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        named = materialise(named, "classes-named")
+        whole = named.groupBy("label").agg(F.min("first").alias("origin"), F.sum("copies").alias("members"))
+        return named.join(whole, "label").select("set_a", "set_b", "first", "origin", "members")
+
+    return items, settled(spark, joined, "classes-joined")
 
 
 def _linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -322,17 +359,18 @@ def _linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             break
     if is_small(members, 0):
         return labels
-    # Classes outside the largest components: whom can they still be linked with?
-    rest = members.select("node").distinct()
-    own = _own_shingles(sets.join(rest, "node", "left_semi"))
-    bounded = members.join(own, "node", "left").select(
-        "key", "node", "n", "label", "far", (F.col("n") - F.coalesce("own", F.lit(0))).alias("most")
-    ).filter(F.col("most") * 100 >= F.col("n") * percent)
-    bounded = materialise(bounded, "bounded-buckets")
-    a, b = bounded.alias("a"), bounded.alias("b")
-    both, union = F.least("a.most", "b.most"), F.col("a.n") + F.col("b.n")
-    across = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.label") < F.col("b.label")) & fits("a.n", "b.n")
-                    & (F.abs(F.col("a.far") - F.col("b.far")) <= span) & (both * 100 >= (union - both) * percent))
+    # Classes outside the largest components: whom can they still be linked with? Only with one that shares a rare shingle.
+    rest = members.groupBy("node").agg(F.first("label").alias("label"))
+    rest = materialise(rest, "rest")
+    right = F.broadcast(rest) if is_small(rest, SMALL_ROWS) else rest
+    prefixes = _prefixes(sets.join(F.broadcast(rest) if right is not rest else rest, "node", "left_semi"), percent)
+    placed = materialise(prefixes.join(right, "node"), "placed-prefixes")
+    a, b = placed.alias("a"), placed.alias("b")
+    n = F.col("a.n") + F.col("b.n")
+    # What can still be shared from the first common shingle on must reach the intersection that a link needs.
+    reach = F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place"))
+    across = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.label") < F.col("b.label")) & fits("a.n", "b.n")
+                    & (reach * (100 + percent) >= n * percent))
     pairs = across.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
     for u, v in (("u", "v"), ("v", "u")):
         pairs = pairs.join(before.select(F.col("u").alias(u), F.col("v").alias(v)), ["u", "v"], "left_anti")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremor.llm.base import SMALL_ROWS, in_chunks, plain, rows_of, ship_by_value
-from tremor.llm.minmax import near_classes, parts_of
+from tremor.llm.minmax import named_texts, near_classes, parts_of, same_row
 from tremor.operators.skew import balanced_join
 from tremor.workspace import materialise
 
@@ -29,18 +29,19 @@ def duplicate_paragraphs(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
     bands: int = BANDS, rows: int = ROWS,
 ) -> DataFrame:
-    """One row per paragraph that is removed: doc_id, paragraph (its line from 0), first_id, first_paragraph, members.
+    """One row per paragraph that is removed: doc_id, hash (of its text), paragraph (its line from 0), first_id, first_paragraph, members.
 
     A paragraph needs ``words`` words to be compared. first_id and first_paragraph name the paragraph of its component
-    that stays, members is the size of the component. Null and empty texts have no paragraph; a null doc_id comes
-    before all others; rows that repeat a doc_id and its text are treated alike; an empty table gives no row.
+    that stays, members is the size of the component. Null and empty texts have no paragraph. A text is known by its
+    doc_id and its hash: texts that share an id, null or not, are told apart, and rows that repeat both are treated
+    alike. A null doc_id comes before all others, texts of one id in the order of their hashes. An empty table gives no row.
     """
     items, classes = near_classes(plain(docs, id_col, text_col), words, percent, bands, rows, lines=True, least=words)
     repeated = materialise(classes.filter("members > 1"), "paragraph-classes")
-    named = balanced_join(items.drop("bands"), repeated, ["set_a", "set_b"], "inner", ["doc_id", "part"], limit=SMALL_ROWS)
-    here = F.struct("doc_id", "part")
+    named = balanced_join(items.drop("bands"), repeated, ["set_a", "set_b"], "inner", ["doc_id", "hash", "part"], limit=SMALL_ROWS)
+    here = F.struct("doc_id", "hash", "part")
     return named.filter(~here.eqNullSafe(F.col("origin"))).select(
-        "doc_id", F.col("part").alias("paragraph"), F.col("origin.doc_id").alias("first_id"),
+        "doc_id", "hash", F.col("part").alias("paragraph"), F.col("origin.doc_id").alias("first_id"),
         F.col("origin.part").alias("first_paragraph"), "members",
     ).distinct()
 
@@ -48,13 +49,13 @@ def duplicate_paragraphs(
 def remove_paragraphs(docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_paragraphs, n_removed, kept_text (the other lines), first_ids (sorted documents whose paragraphs it repeats)."""
     listed = materialise(
-        removed.groupBy("doc_id").agg(
+        removed.groupBy("doc_id", "hash").agg(
             F.collect_list("paragraph").alias("paragraphs"), F.array_sort(F.collect_set("first_id")).alias("first_ids")
         ),
         "paragraphs-removed",
     )
-    texts = plain(docs, id_col, text_col)
-    joined = texts.join(listed.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    texts = named_texts(plain(docs, id_col, text_col))
+    joined = texts.join(listed, same_row(texts, listed), "left").select(texts["doc_id"], "text", "paragraphs", "first_ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made():
