@@ -11,27 +11,27 @@ from tremor.llm.mixing import mix, repeat_documents
 from tremor.llm.near_dedup import drop_near_duplicates
 from tremor.llm.packing import pack_documents
 from tremor.llm.toxicity import drop_toxic, train
-from tremor.workspace import materialise
+from tremor.workspace import settled
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents whose toxicity score is below 0.5; the model learns from the labels of folds 1 to 4."""
-    return drop_toxic(docs, train(docs, spark.read.parquet(f"{folder}/labels.parquet")))
+    return settled(spark, lambda: drop_toxic(docs, train(docs, spark.read.parquet(f"{folder}/labels.parquet"))), "without-toxic")
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Of texts equal but for the case of A-Z, the row with the largest doc_id."""
-    return drop_exact_duplicates(docs)
+    return settled(spark, lambda: drop_exact_duplicates(docs), "without-copies")
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Of each component of texts that share 0.8 of their five-word shingles, the smallest doc_id."""
-    return drop_near_duplicates(docs)
+    return settled(spark, lambda: drop_near_duplicates(docs), "without-near-copies")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Every document as often as the mix of sources takes it: not at all, once or twice."""
-    return repeat_documents(docs, mix(docs))
+    return settled(spark, lambda: repeat_documents(docs, mix(docs)), "mixed")
 
 
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -52,8 +52,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage; every stage's result is written and read again."""
+    """The rows of the last stage; every stage's result is written and read again, and its scratch tables are deleted."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = settled(spark, lambda: stage(spark, docs, sf_dir), name.replace(" ", "-"))  # noqa: B023
     return docs

@@ -7,6 +7,7 @@ the loss of executors, and gives the optimizer true sizes for later joins.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import threading
 import uuid
@@ -61,7 +62,8 @@ def discard(spark: SparkSession, path: str) -> None:
 def settled(spark: SparkSession, make: Callable[[], DataFrame], label: str = "result") -> DataFrame:
     """Write the result of ``make``, delete the scratch tables written on the way, and return a scan of the result.
 
-    The result has no lineage into the deleted tables, so lost executors only read it again. Scopes may be nested.
+    The result has no lineage into the deleted tables, so lost executors only read it again. Scopes may be nested. The
+    shuffle files of the finished jobs go too: Spark removes them once the driver has let go of their plans.
     """
     if not hasattr(_scopes, "open"):
         _scopes.open = []
@@ -77,7 +79,11 @@ def settled(spark: SparkSession, make: Callable[[], DataFrame], label: str = "re
             discard(spark, path)
     for outer in _scopes.open[-1:]:
         outer.append(target)
-    return spark.read.schema(df.schema).parquet(target)
+    schema = df.schema
+    del make, df
+    gc.collect()
+    spark._jvm.java.lang.System.gc()
+    return spark.read.schema(schema).parquet(target)
 
 
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
