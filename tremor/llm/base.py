@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -46,6 +47,12 @@ def per_process(key, build: Callable):
     return held[key]
 
 
+def forget_held() -> None:
+    """Let go of what this Python worker holds for other operators; a worker is reused by the stages that follow."""
+    sys.modules.setdefault("_tremor_held", types.ModuleType("_tremor_held")).__dict__.clear()
+    gc.collect()
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
     """The values of the named columns, row by row."""
     for batch in batches:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.base import SMALL_ROWS, in_chunks, rows_of, ship_by_value
+from tremor.llm.base import SMALL_ROWS, forget_held, in_chunks, rows_of, ship_by_value
 from tremor.operators.components import connected_components
 from tremor.operators.skew import balanced_join, is_small
 from tremor.workspace import materialise, settled
@@ -134,6 +134,7 @@ def _items(docs: DataFrame, words: int, bands: int, rows: int, lines: bool, leas
     """One row per text, or per line of a text: its number in the text, the size and a 128-bit hash of its set, its band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_held()
         none = np.zeros(0, dtype=np.uint64)
 
         def made():
