@@ -283,6 +283,17 @@ def test_word_ids_are_the_tokenizers(word_ids, text):
     assert word_ids.encode([text])[0].tolist() == word_ids.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_remembered_words_are_bounded(word_ids, monkeypatch):
+    """Long runs are forgotten by their length, not by their number, and give the same ids again."""
+    runs = [f"{chr(97 + i)}{'Q7+/' * 5_000} word{i} again" for i in range(12)]
+    want = [word_ids.tokenizer.encode(t, add_special_tokens=False).ids for t in runs]
+    monkeypatch.setattr(packing, "HELD_CHARACTERS", 50_000)
+    for _ in range(2):
+        for text, ids in zip(runs, want):
+            assert word_ids.encode([text])[0].tolist() == ids
+            assert word_ids.number.characters < 50_000 + 2 * len(text)
+
+
 def check_packing(rows, texts, tokenizer, capacity):
     """Every id once, sequences gapless, full or a power of two."""
     pieces, sequences = defaultdict(list), defaultdict(list)
@@ -356,6 +367,10 @@ def test_chat_round_trip(spark):
         reply = [t for role, t in want[conv] if role == "assistant"][k]
         assert chat.unescape(r["text"][r["loss_begin"]:r["loss_end"]]) == reply
         assert r["text"].count(chat.START) == [i for i, (role, _) in enumerate(want[conv]) if role == "assistant"][k] + 1
+        assert r["text"][:r["loss_begin"]].endswith(f"{chat.START}assistant\n")
+    assert {c: r["n_examples"] for c, r in got.items()} == {c: sum(role == "assistant" for role, _ in said) for c, said in want.items()}
+    chosen = spark.createDataFrame([(None, 0), (1, 1), (2, 0)], "conv_id long, example long")
+    assert {(r["conv_id"], r["example"]) for r in chat.render(segments, chosen).collect()} == {(None, 0), (1, 1)}
     assert chat.read_back(chat.format_conversations(turns.limit(0))).count() == 0
 
 

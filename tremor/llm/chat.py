@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,9 +30,8 @@ ANSWERING = "assistant"
 SEGMENTS = (
     "conv_id long, turn_index long, example long, formatted string, begin long, loss_begin long, loss_end long"
 )
-DIGESTS = (
-    "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_examples long"
-)
+TURNS_READ = "conv_id long, n_turns long, turns_sha256 string, formatted_chars long"
+EXAMPLES_READ = "conv_id long, n_examples long, loss_chars long, loss_sha256 string"
 
 
 def escape(text: str) -> str:
@@ -107,7 +106,8 @@ def render(segments: DataFrame, chosen: DataFrame | None = None) -> DataFrame:
     """
     wanted = examples(segments)
     if chosen is not None:
-        wanted = wanted.join(chosen.select("conv_id", "example"), ["conv_id", "example"], "left_semi")
+        asked = chosen.select(F.col("conv_id").alias("_c"), F.col("example").alias("_e"))
+        wanted = wanted.join(asked, wanted["conv_id"].eqNullSafe(asked["_c"]) & (wanted["example"] == asked["_e"]), "left_semi")
     parts = segments.select(F.col("conv_id").alias("_c"), "turn_index", "formatted")
     joined = wanted.join(parts, wanted["conv_id"].eqNullSafe(parts["_c"]) & (parts["turn_index"] <= wanted["context_turns"]))
     return joined.groupBy("conv_id", "example").agg(
@@ -116,39 +116,71 @@ def render(segments: DataFrame, chosen: DataFrame | None = None) -> DataFrame:
     )
 
 
-def read_back(segments: DataFrame) -> DataFrame:
-    """What the formatted turns hold, one row per conversation, parsed from ``formatted`` and the loss spans alone.
-
-    ``segments`` must come straight from :func:`format_conversations`, in order within partitions.
-    """
+def _digests(df: DataFrame, columns: list[str], read: Callable, schema: str) -> DataFrame:
+    """One row per conversation from rows that lie in order within partitions: conv_id, the number of its rows, a
+    digest and a length. ``read`` gives a row's text for the digest and its length."""
+    names = [field.split()[0] for field in schema.split(", ")]
+    hashed, counted = (next(n for n in names if n.endswith(end)) for end in ("_sha256", "_chars"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made():
-            conv_id, turns = None, 0
-            for conv, number, example, formatted, low, high in rows_of(
-                batches, "conv_id", "turn_index", "example", "formatted", "loss_begin", "loss_end"
-            ):
-                if number == 0:
-                    if turns:
-                        yield conv_id, turns, all_turns.hexdigest(), chars, loss.hexdigest(), size, count
-                    conv_id, turns, chars, size, count = conv, 0, 0, 0, 0
-                    all_turns, loss = hashlib.sha256(), hashlib.sha256()
-                role, text = read_turn(formatted)
-                all_turns.update(f"{role}\n{text}\n".encode())
-                turns, size = turns + 1, size + len(formatted)
-                if example is not None:
-                    reply = unescape(formatted[low:high])
-                    loss.update(reply.encode())
-                    chars, count = chars + len(reply), count + 1
-            if turns:
-                yield conv_id, turns, all_turns.hexdigest(), chars, loss.hexdigest(), size, count
-
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
-        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_examples"]
-        yield from in_chunks(made(), lambda rows: pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names))
+            conv_id, n, size, digest = None, 0, 0, None
+            for conv, *row in rows_of(batches, "conv_id", *columns):
+                if n and conv != conv_id:
+                    yield conv_id, n, digest.hexdigest(), size
+                    n = 0
+                if not n:
+                    conv_id, size, digest = conv, 0, hashlib.sha256()
+                text, length = read(*row)
+                digest.update(text.encode())
+                n, size = n + 1, size + length
+            if n:
+                yield conv_id, n, digest.hexdigest(), size
+
+        def batch(rows: list) -> pa.RecordBatch:
+            ids, counts, digests, sizes = zip(*rows)
+            by_name = {"conv_id": ids, names[1]: counts, hashed: digests, counted: sizes}
+            return pa.RecordBatch.from_arrays(
+                [pa.array(by_name[x], pa.string() if x == hashed else pa.int64()) for x in names], names=names)
+
+        yield from in_chunks(made(), batch)
+
+    return df.mapInArrow(run, schema)
+
+
+def read_turns(segments: DataFrame) -> DataFrame:
+    """(conv_id, n_turns, turns_sha256, formatted_chars) of all turns, parsed from ``formatted`` alone."""
+
+    def read(formatted: str) -> tuple[str, int]:
+        role, text = read_turn(formatted)
+        return f"{role}\n{text}\n", len(formatted)
 
-    return segments.mapInArrow(run, DIGESTS)
+    return _digests(segments, ["formatted"], read, TURNS_READ)
+
+
+def read_examples(expanded: DataFrame) -> DataFrame:
+    """(conv_id, n_examples, loss_chars, loss_sha256): what lies under the loss masks of :func:`examples`."""
+
+    def read(target: str, low: int, high: int) -> tuple[str, int]:
+        reply = unescape(target[low:high])
+        return reply, len(reply)
+
+    return _digests(expanded, ["target", "loss_begin", "loss_end"], read, EXAMPLES_READ)
+
+
+def read_back(segments: DataFrame) -> DataFrame:
+    """One row per conversation: what its turns hold, and what its examples train on.
+
+    ``segments`` must come straight from :func:`format_conversations`, in order within partitions. A conversation
+    without a reply has no example, nothing under the mask, and the digest of an empty text.
+    """
+    turns, trained = read_turns(segments), read_examples(examples(segments)).withColumnRenamed("conv_id", "_c")
+    joined = turns.join(trained, turns["conv_id"].eqNullSafe(trained["_c"]), "left")
+    return joined.select(
+        "conv_id", "n_turns", "turns_sha256", F.coalesce("loss_chars", F.lit(0)).alias("loss_chars"),
+        F.coalesce("loss_sha256", F.sha2(F.lit(""), 256)).alias("loss_sha256"), "formatted_chars",
+        F.coalesce("n_examples", F.lit(0)).alias("n_examples"),
+    )
 
 
 ship_by_value(__name__)

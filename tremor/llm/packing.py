@@ -27,6 +27,8 @@ LINEAR, QUADRATIC = 1.0, 1.0 / 4096
 BLOCK_SEQUENCES = 256
 # Words whose ids a worker remembers.
 HELD_WORDS = 600_000
+# Characters of the words it remembers: runs of encoded data can be as long as their texts.
+HELD_CHARACTERS = 32_000_000
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
@@ -43,9 +45,11 @@ class _Numbers(dict):
 
     def __init__(self):
         self.new: list[str] = []
+        self.characters = 0
 
     def __missing__(self, word: str) -> int:
         number = self[word] = len(self)
+        self.characters += len(word)
         self.new.append(word)
         return number
 
@@ -116,7 +120,7 @@ class WordIds:
         return lower.split()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.number) > HELD_WORDS:
+        if len(self.number) > HELD_WORDS or self.number.characters > HELD_CHARACTERS:
             self.forget()
         look = self.number.__getitem__
         numbers: list[np.ndarray | None] = []

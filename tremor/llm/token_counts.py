@@ -21,6 +21,8 @@ from tremor.llm.base import in_chunks, per_process, plain, rows_of, ship_by_valu
 
 # Words whose counts a worker remembers.
 HELD_WORDS = 500_000
+# Longer words (bytes) are counted each time, so that what is remembered is bounded in bytes too.
+HELD_LENGTH = 64
 # Marks the start of a word in the vocabulary file (U+2581).
 WORD_START = "▁"
 COUNTS = "doc_id long, n_words long, n_pieces long, n_unknown long, n_bytes long"
@@ -151,7 +153,9 @@ def count_tokens(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
                 for word, times in words.items():
                     n = held.get(word)
                     if n is None:
-                        n = held[word] = automaton.pieces(word)
+                        n = automaton.pieces(word)
+                        if len(word) <= HELD_LENGTH:
+                            held[word] = n
                     total += times
                     if n < 0:
                         unknown += times
