@@ -6,6 +6,7 @@ import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -17,6 +18,8 @@ SPACE = r"\x20\x09-\x0D"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Joins broadcast their written right side up to this many rows.
 SMALL_ROWS = 100_000
+# Rows of an Arrow batch where each holds whole sets or texts.
+BATCH_ROWS = 1_000
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -51,6 +54,19 @@ def forget_held() -> None:
     """Let go of what this Python worker holds for other operators; a worker is reused by the stages that follow."""
     sys.modules.setdefault("_tremor_held", types.ModuleType("_tremor_held")).__dict__.clear()
     gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside hand Python ``BATCH_ROWS`` rows at a time; rows of two shingle sets each are wide."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
 
 
 def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:

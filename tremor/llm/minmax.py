@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremor.llm.base import SMALL_ROWS, forget_held, in_chunks, rows_of, ship_by_value
+from tremor.llm.base import SMALL_ROWS, forget_held, in_chunks, rows_of, ship_by_value, small_batches
 from tremor.operators.components import connected_components
 from tremor.operators.skew import balanced_join, is_small
 from tremor.workspace import materialise, settled
@@ -264,7 +264,8 @@ def near_classes(
     """
     spark = docs.sparkSession
     docs = named_texts(docs)
-    items = materialise(_items(docs, words, bands, rows, lines, least), "shingle-items")
+    with small_batches(spark):
+        items = materialise(_items(docs, words, bands, rows, lines, least), "shingle-items")
 
     def joined() -> DataFrame:
         # The band keys are made from the set, so those of any of its texts will do.
@@ -287,7 +288,8 @@ def near_classes(
         whole = named.groupBy("label").agg(F.min("first").alias("origin"), F.sum("copies").alias("members"))
         return named.join(whole, "label").select("set_a", "set_b", "first", "origin", "members")
 
-    return items, settled(spark, joined, "classes-joined")
+    with small_batches(spark):
+        return items, settled(spark, joined, "classes-joined")
 
 
 def _linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
