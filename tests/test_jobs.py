@@ -5,6 +5,9 @@ import json
 from collections import Counter
 
 import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tremor.learning import metrics, models, split
@@ -244,3 +247,21 @@ def test_csv_headers(spark, tmp_path):
         files.read_csv_by_name(spark, str(tmp_path / "missing.csv"))
     with pytest.raises(ValueError, match="no header"):
         files.read_csv_by_name(spark, str(tmp_path / "in" / "empty.csv"))
+
+
+def test_silhouettes_are_the_evaluators(spark):
+    """All clusterings at once score as one evaluator job each does, also with a point alone in its cluster."""
+    rows = spark.range(400).select(F.array(*[F.randn(seed) + F.col("id") % 3 * 4 for seed in (1, 2, 3)]).alias("v"))
+    rows = rows.unionByName(spark.range(1).select(F.array(*[F.lit(90.0)] * 3).alias("v")))
+    data = rows.select(array_to_vector("v").alias("f")).cache()
+    best, scores = models.choose_k_means(data, range(2, 6), "f")
+    got = {r["k"]: r["silhouette"] for r in scores.collect()}
+    assert sorted(got) == [2, 3, 4, 5]
+    evaluator = ClusteringEvaluator(featuresCol="f", predictionCol="p")
+    for k, value in got.items():
+        fitted = KMeans(k=k, featuresCol="f", predictionCol="p", seed=models.SEED).fit(data)
+        assert evaluator.evaluate(fitted.transform(data)) == pytest.approx(value, abs=1e-9)
+    assert best.summary.k == max(got, key=lambda k: (got[k], -k)) and best.getPredictionCol() == "earthquake_cluster"
+    alone = data.withColumn("one", F.lit(0))
+    assert [tuple(r) for r in models.silhouettes(alone, {1: "one"}, "f").collect()] == [(1, 0.0)]
+    assert models.silhouettes(alone.limit(0), {1: "one"}, "f").count() == 0

@@ -9,10 +9,10 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import IndexToString, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tremor.functions.classify import cluster_risk
@@ -238,20 +238,57 @@ def score(clusters: DataFrame, processed: DataFrame, model: PipelineModel | None
     return clusters.join(predicted, "id", "left").withColumn("risk_zone", F.coalesce("_zone", seed)).drop("_zone")
 
 
+def silhouettes(assigned: DataFrame, clusterings: dict[int, str], features: str) -> DataFrame:
+    """(k, silhouette) of several clusterings of the same rows, by squared distance; ``clusterings`` maps k to its column.
+
+    The mean squared distance of a point to a cluster follows from the cluster's size, its sum, and the sum of its
+    squared norms. One aggregation makes these for all clusterings, a second pass scores every row against them; the
+    table between them has a row per clustering. A point alone in its cluster scores 0, as does every point of a
+    clustering with a single cluster. Without rows there is no result row.
+    """
+    x = vector_to_array(features)
+    marks = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(c).alias("cluster")) for k, c in clusterings.items()]))
+    each = assigned.select(F.col(features).alias("_vector"), x.alias("_x"), marks.alias("_m")).select("_vector", "_x", "_m.*")
+    each = each.withColumn("_norm", _dot(F.col("_x"), F.col("_x")))
+    sums = each.groupBy("k", "cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_norm").alias("norms"), vector_to_array(Summarizer.sum(F.col("_vector"))).alias("total")
+    )
+    listed = materialise(sums.groupBy("k").agg(F.collect_list(F.struct("cluster", "n", "norms", "total")).alias("clusters")), "cluster-sums")
+
+    def mean(s: Column) -> Column:
+        return F.col("_norm") + (s["norms"] - 2 * _dot(F.col("_x"), s["total"])) / s["n"]
+
+    far = F.transform("clusters", lambda s: F.struct(s["cluster"].alias("cluster"), s["n"].alias("n"), mean(s).alias("mean")))
+    scored = each.join(F.broadcast(listed), "k").select("k", "cluster", far.alias("far")).select(
+        "k", F.filter("far", lambda s: s["cluster"] == F.col("cluster"))[0].alias("own"),
+        F.array_min(F.transform(F.filter("far", lambda s: s["cluster"] != F.col("cluster")), lambda s: s["mean"])).alias("other"),
+    )
+    n, other = F.col("own.n"), F.col("other")
+    inner = F.when(n > 1, F.col("own.mean") * n / (n - 1))
+    value = F.when(inner < other, 1 - inner / other).when(inner > other, other / inner - 1).otherwise(0.0)
+    return scored.groupBy("k").agg(F.avg(value).alias("silhouette"))
+
+
+def _dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda u, v: u * v), F.lit(0.0), lambda total, v: total + v)
+
+
 def choose_k_means(vectors: DataFrame, ks=range(2, 11), features: str = "features_scaled") -> tuple[KMeansModel, DataFrame]:
-    """(model, (k, silhouette) rows): the number of clusters with the best silhouette."""
+    """(model, (k, silhouette) rows): the number of clusters with the best silhouette; of equal ones the smaller.
+
+    All clusterings are scored together (:func:`silhouettes`).
+    """
     data = vectors.select(features).persist()
-    tried = []
     try:
-        for k in ks:
-            model = KMeans(k=k, featuresCol=features, predictionCol="earthquake_cluster", seed=SEED).fit(data)
-            evaluator = ClusteringEvaluator(featuresCol=features, predictionCol="earthquake_cluster")
-            tried.append((k, float(evaluator.evaluate(model.transform(data))), model))
+        tried = {k: KMeans(k=k, featuresCol=features, predictionCol="earthquake_cluster", seed=SEED).fit(data) for k in ks}
+        assigned = data
+        for k, model in tried.items():
+            assigned = model.copy({model.predictionCol: f"cluster_{k}"}).transform(assigned)
+        scores = materialise(silhouettes(assigned, {k: f"cluster_{k}" for k in tried}, features), "silhouettes")
     finally:
         data.unpersist()
-    best = max(tried, key=lambda t: t[1])
-    scores = vectors.sparkSession.createDataFrame([(k, s) for k, s, _ in tried], "k int, silhouette double")
-    return best[2], scores
+    best = scores.orderBy(F.desc("silhouette"), "k").first()
+    return tried[best["k"]], scores
 
 
 def k_means_profile(clustered: DataFrame) -> DataFrame:
