@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 
 from tremor.operators.dbscan import dbscan
 from tremor.plans import etl, evaluation, master
-from tremor.schemas import MODEL_TABLE
 from tremor.session import apply_semantics
 from tremor.sources.adapter import catalog_from_events
-from tremor.workspace import materialise
+from tremor.workspace import materialise, new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,10 +66,16 @@ class Tables:
     def zones(self) -> DataFrame:
         return self.stored["hazard_zones"]
 
-    @property
+    @cached_property
     def models(self) -> DataFrame:
-        """No model is stored yet."""
-        return self.spark.createDataFrame([], MODEL_TABLE)
+        """The models of one training run, as the registry has stored them; none if there are too few classes."""
+        from suite.learning import comparison
+        from tremor.learning import models, registry
+
+        path = new_path(self.spark, "registry")
+        if models.trainable(self.training).first()["trainable"]:
+            registry.register(*comparison(self), path)
+        return registry.latest(registry.registered(self.spark, path))
 
     @cached_property
     def training(self) -> DataFrame:

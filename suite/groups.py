@@ -52,11 +52,11 @@ def _(t: Tables):
     return row.select("total_earthquakes", "total_clusters", "high_risk_zones", F.inline("risk_distribution"))
 
 
-@query("a10_pipeline_status", f"""WITH RECURSIVE {CLUSTERS}, k AS (SELECT (SELECT count(*) FROM proc) AS n, (SELECT count(DISTINCT cluster_id) FROM clus) AS cl, (SELECT count(*) FROM cls) AS cn)
- SELECT n AS earthquake_records, cl AS clusters_identified, 0::BIGINT AS models_trained, cn AS classifications_generated,
+@query("a10_pipeline_status", f"""WITH RECURSIVE {CLUSTERS}, k AS (SELECT (SELECT count(*) FROM proc) AS n, (SELECT count(DISTINCT cluster_id) FROM clus) AS cl, (SELECT count(*) FROM cls) AS cn, (SELECT CASE WHEN count(DISTINCT risk_zone) >= 2 THEN 2 ELSE 0 END FROM clus) AS mt)
+ SELECT n AS earthquake_records, cl AS clusters_identified, mt::BIGINT AS models_trained, cn AS classifications_generated,
  CASE WHEN n=0 THEN 'error' WHEN n<1000 THEN 'warning' ELSE 'healthy' END AS pipeline_status, round(n*2/1024,2) AS estimated_size_mb,
- n*2/1024>=64 AS meets_volume_target, cl>0 AS clustering_completed, false AS ml_ready,
- concat_ws('; ', CASE WHEN n<1000 THEN 'collect more records' END, CASE WHEN cl=0 THEN 'run the clustering' END, 'train the models', CASE WHEN n*2/1024<64 THEN 'collect more volume' END) AS recommendations FROM k""")
+ n*2/1024>=64 AS meets_volume_target, cl>0 AS clustering_completed, mt>0 AS ml_ready,
+ concat_ws('; ', CASE WHEN n<1000 THEN 'collect more records' END, CASE WHEN cl=0 THEN 'run the clustering' END, CASE WHEN mt=0 THEN 'train the models' END, CASE WHEN n*2/1024<64 THEN 'collect more volume' END) AS recommendations FROM k""")
 def _(t: Tables):
     status = stats.pipeline_status(t.processed, t.clusters, t.models, t.classifications)
     return status.withColumn("recommendations", F.concat_ws("; ", "recommendations"))
@@ -86,7 +86,7 @@ def _(t: Tables):
 
 
 @query("a14_master_report", f"""WITH RECURSIVE {CLUSTERS} SELECT (SELECT count(*) FROM proc) AS total_earthquakes, (SELECT count(DISTINCT cluster_id) FROM clus) AS total_clusters,
- (SELECT count(*) FROM zones) AS high_risk_zones, 0::BIGINT AS models_trained, risk_zone, count(*) AS events FROM clus GROUP BY risk_zone""")
+ (SELECT count(*) FROM zones) AS high_risk_zones, (SELECT CASE WHEN count(DISTINCT risk_zone) >= 2 THEN 2 ELSE 0 END FROM clus)::BIGINT AS models_trained, risk_zone, count(*) AS events FROM clus GROUP BY risk_zone""")
 def _(t: Tables):
     report = stats.master_report(t.processed, t.clusters, t.zones, t.models)
     return report.select(

@@ -5,12 +5,14 @@ import json
 from collections import Counter
 
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from tremor.learning import metrics, models, split
+from tremor.learning import metrics, models, registry, split
 from tremor.sources import files, sinks
 from tremor.schemas import FEATURE
 from tremor.operators import validate
@@ -265,3 +267,24 @@ def test_silhouettes_are_the_evaluators(spark):
     alone = data.withColumn("one", F.lit(0))
     assert [tuple(r) for r in models.silhouettes(alone, {1: "one"}, "f").collect()] == [(1, 0.0)]
     assert models.silhouettes(alone.limit(0), {1: "one"}, "f").count() == 0
+
+
+def test_registry_keeps_every_run(spark, tmp_path):
+    path, data = str(tmp_path / "registry"), spark.range(3)
+    assert registry.registered(spark, path).count() == 0 and registry.current_model(spark, path) is None
+    fitted = {n: Pipeline(stages=[VectorAssembler(inputCols=["id"], outputCol=f"by_{n}")]).fit(data) for n in ("a", "b")}
+
+    def scores(**f1):
+        return spark.createDataFrame(
+            [(n, 0.5, 0.5, 0.5, v, 7) for n, v in f1.items()], "model_name string, accuracy double, precision double, recall double, f1_score double, training_samples int"
+        )
+
+    first = registry.register(fitted, scores(a=0.25, b=0.75), path)
+    assert "by_b" in registry.current_model(spark, path).transform(data).columns
+    with pytest.raises(ValueError, match="do not belong"):
+        registry.register(fitted, scores(a=0.9), path)
+    second = registry.register(fitted, scores(a=0.5, b=0.5), path)
+    stored = registry.registered(spark, path)
+    assert Counter(r["run"] for r in stored.collect()) == {first: 2, second: 2}
+    assert {(r["model_name"], r["run"], r["training_samples"]) for r in registry.latest(stored).collect()} == {("a", second, 7), ("b", second, 7)}
+    assert "by_a" in registry.current_model(spark, path).transform(data).columns
