@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -45,28 +46,72 @@ def test_edited_fingerprints(docs, texts):
     assert big.near_next > 0.9 and 0.4 < big.near_edited
 
 
+UNSPACED = r"[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\uA4CF\uF900-\uFAFF\uFF00-\uFFEF\U00020000-\U0003FFFF]"
+
+
+def brute_units(text):
+    out = []
+    for run in regex.split(r"[\x20\x09-\x0D]+", text):
+        for part in regex.split(f"({UNSPACED}+)", run):
+            spaced = not regex.match(UNSPACED, part) and len(part) <= fingerprints.WORD
+            out += [part] if spaced and part else list(part)
+    return out
+
+
 def brute_anchors(text, spark):
     """Closed syncmers one by one, with Spark's hash."""
-    raw = text.encode()
-    units, i = [], 0
-    for word in raw.decode().split():
-        units += [word[k:k + 4] for k in range(0, len(word), 4)]
 
-    def xx(*values):
-        return spark.range(1).select(F.xxhash64(*map(F.lit, values))).first()[0]
+    def xx(rows):
+        df = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)])
+        return [r[0] for r in df.orderBy("_1").select(F.xxhash64(*df.columns[1:])).collect()]
 
-    h = [xx(u) for u in units]
-    m = [xx(a, b) for a, b in zip(h, h[1:])]
-    out = {xx(m[i], m[i + 2]) for i in range(len(m) - 2) if min(m[i:i + 3]) in (m[i], m[i + 2])}
-    return sorted((x % (1 << 64)) >> 16 for x in out)[:fingerprints.SKETCH]
+    h = xx([(u,) for u in brute_units(text)])
+    m = xx(list(zip(h, h[1:])))
+    out = set(xx([(m[i], m[i + 2]) for i in range(len(m) - 2) if min(m[i:i + 3]) in (m[i], m[i + 2])]))
+    hashes = sorted((x % (1 << 64)) >> 16 for x in out)
+    return hashes[:max(fingerprints.LEAST, sum(x < (1 << 48) / fingerprints.SCALE for x in hashes))]
 
 
-def test_closed_syncmers_one_by_one(spark):
-    text = "some words that are cut into pieces, then hashed"
+@pytest.mark.parametrize("text", [
+    "some words that are taken whole, and https://one.example/a-long-run-of-characters?cut=into&code=points then hashed",
+    "abc漢字かな交じりの文。 mixed ไทย and 日本 words \U0001f600\U0001f600 \U00020000 é",
+    " ".join(f"w{i * i % 977}" for i in range(900)),
+])
+def test_closed_syncmers_one_by_one(spark, text):
     got = spark.createDataFrame([(text,)], "t string").select(fingerprints.anchors(F.col("t"))).first()[0]
     assert got == brute_anchors(text, spark)
 
 
+def test_units_do_not_depend_on_offsets(spark):
+    """One character inserted at the front or in the middle of text without spaces."""
+    rng = random.Random(3)
+    for low, high in ((0x4E00, 0x9FA5), (0x21, 0x7E)):
+        text = "".join(chr(rng.randint(low, high)) for _ in range(2000))
+        one = chr(low + 5)
+        df = spark.createDataFrame([(text, one + text, text[:1000] + one + text[1000:])], "a string, b string, c string")
+        a, b, c = (fingerprints.anchors(F.col(x)) for x in "abc")
+        got = df.select(fingerprints.likeness(a, b), fingerprints.likeness(a, c)).first()
+        assert min(got) > 0.98
+
+
+def test_likeness_is_that_of_the_fingerprints(spark):
+    def brute(x, y):
+        x, y = ([int(t[i:i + 12], 16) for i in range(0, len(t), 12)] for t in (x, y))
+        ends = [(1 << 48) if len(t) < fingerprints.LEAST else max(t[-1], fingerprints.BELOW) for t in (x, y)]
+        x, y = ({h for h in t if h <= min(ends)} for t in (x, y))
+        return len(x & y) / len(x | y) if x | y else 1.0
+
+    rng = random.Random(4)
+    base = [f"w{rng.randint(0, 10**6)}" for _ in range(700)]
+    rows = [(i, " ".join(base[:rng.randint(0, 120 if i % 2 else 700)] + [str(i)] * (i % 3))) for i in range(40)]
+    got = by_id(fingerprints.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string")))
+    prints = list(got.fingerprint)
+    for i, row in enumerate(got.itertuples()):
+        after = prints[(i + 1) % len(prints)]
+        assert row.near_edited == brute(row.fingerprint, row.edited_fingerprint)
+        assert row.near_next == brute(row.fingerprint, after) and (row.near_next == 1) == (row.fingerprint == after)
+
+
 def test_long_texts_by_all_anchors(spark):
     rng = random.Random(8)
 
@@ -78,9 +123,9 @@ def test_long_texts_by_all_anchors(spark):
     rows += [(8, passage(9_000) + shared + passage(9_000)), (9, shared + passage(18_000))]
     df = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
     got = by_id(fingerprints.edited_fingerprints(df))
-    assert all(0.98 < x < 1 for x in got.near_next[:6]) and got.near_next[7] > 0.005
-    # The short name does not tell these apart.
-    assert len(set(got.fingerprint[:7])) < 7
+    assert all(0.98 < x < 1 for x in got.near_next[:6]) and got.near_next[7] > 0.003
+    # A passage of fifty words changes the fingerprint, which grows with the text.
+    assert len(set(got.fingerprint)) == 9 and all(len(x) > 12 * 2_000 for x in got.fingerprint)
     found = {r["doc_id"]: r["anchors"] for r in fingerprints.located_anchors(df).collect()}
     for row in found.values():
         units = [a["unit"] for a in row]
@@ -88,8 +133,7 @@ def test_long_texts_by_all_anchors(spark):
     # The shared passage is found at its place in both.
     at = {a["hash"]: a["unit"] for a in found[8]}
     moved = Counter(at[a["hash"]] - a["unit"] for a in found[9] if a["hash"] in at)
-    start = sum(-(-len(w) // 4) for w in rows[7][1][:9_000])
-    assert moved.most_common(1)[0][0] == start and moved[start] > 150
+    assert moved.most_common(1)[0][0] == 9_000 and moved[9_000] > 150
 
 
 def test_fingerprints_of_nothing(empty, docs_with_null):

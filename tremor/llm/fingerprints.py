@@ -1,34 +1,51 @@
 """Document fingerprints from closed syncmers, in DataFrame functions alone.
 
-A text is read as units: its words, cut into pieces of at most four characters. Four units are a k-mer with three
-inner s-mers of two units. A k-mer is chosen if the smallest of its s-mers, by hash, is its first or its last (a
-closed syncmer); that depends on the k-mer alone, so the same passage yields the same anchors wherever it stands,
-and an edit moves only the anchors it touches. All anchors are kept with their places, see :func:`located_anchors`, and
-the likeness of two texts is that of their whole sets. The fingerprint is a short name of a text for display and
-lookup, a bottom sketch: the smallest ``SKETCH`` hashes.
-
-Scale: a fingerprint is made where the text is read. Placing each document beside its successor deals the texts
-out once, by ranges of doc_id; the first document of a range is sent to the range before as well. Anchors, about
-as large as the text, are made after that and not moved.
+A text is read as units: words of at most ``WORD`` characters, and single code points where a run is longer or its
+script is written without spaces. Four units are a k-mer with three inner s-mers of two units. A k-mer is chosen if
+the smallest of its s-mers, by hash, is its first or its last (a closed syncmer). Neither units nor choice depend on an
+offset, so the same passage yields the same anchors wherever it stands, and an edit moves only the anchors it touches.
+:func:`located_anchors` returns all anchors with their places.
+
+The fingerprint holds the hashes below one in ``SCALE`` of their range, and at least the ``LEAST`` smallest, so it
+grows with the text; the likeness of two texts is read from their fingerprints alone. Fifty words hold about 33 anchors;
+that another passage of that length leaves a fingerprint as it was has a chance of 0.75^66.
+
+Scale: a fingerprint is made where the text is read, once. Placing each document beside its successor deals texts and
+fingerprints out once, by ranges of doc_id; the first document of a range is sent to the range before as well. Only
+the anchors of edited texts are made after that.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tremor.llm.base import SPACE, plain
 
-UNIT = f"[^{SPACE}]{{1,4}}"
-SKETCH = 64
+# Longest run that is one unit.
+WORD = 16
+# Thai and Lao, Myanmar, Khmer, CJK with kana and the forms of both: no spaces between words.
+UNSPACED = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u2E80-\uA4CF\uF900-\uFAFF\uFF00-\uFFEF\x{20000}-\x{3FFFF}"
+SPACED = f"[^{SPACE}{UNSPACED}]"
+UNIT = f"(?<!{SPACED}){SPACED}{{1,{WORD}}}(?!{SPACED})|[^{SPACE}]"
+# A fingerprint keeps one hash in so many, and this many at least.
+SCALE, LEAST = 4, 64
 # Digits of one hash in a fingerprint, and the bits they hold.
 DIGITS, BITS = 12, 48
+BELOW = (1 << BITS) // SCALE
 # Ranges of doc_id for each shuffle partition.
 RANGES_PER_PARTITION = 4
 FIRST = -(1 << 63)
 ANCHORS = "array<struct<hash: bigint, unit: int>>"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def places(text: Column) -> Column:
     """All closed syncmers of a text, in order: array of (hash, unit), the number of the k-mer's first unit from 0.
 
@@ -42,16 +59,21 @@ def places(text: Column) -> Column:
         pairs = F.zip_with(F.slice(h, F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice(h, F.lit(2), F.greatest(n - 1, F.lit(0))), lambda a, b: F.xxhash64(a, b))
         return F.when(n == 0, F.array().cast(ANCHORS)).when(n < 4, F.array(F.struct(F.xxhash64(h).alias("hash"), F.lit(0).alias("unit")))).otherwise(_syncmers(pairs))
 
-    return F.element_at(F.transform(F.array(hashes), chosen), 1)
+    return let(hashes, chosen)
 
 
 def sketch_of(located: Column) -> Column:
+    """The ascending hashes of a fingerprint, see the module."""
     short = F.transform(located, lambda x: F.shiftrightunsigned(x["hash"], 64 - BITS))
-    return F.slice(F.array_distinct(F.sort_array(short)), 1, SKETCH)
+
+    def kept(ascending: Column) -> Column:
+        return F.slice(ascending, F.lit(1), F.greatest(F.lit(LEAST), F.size(F.filter(ascending, lambda x: x < BELOW))))
+
+    return let(F.array_distinct(F.sort_array(short)), kept)
 
 
 def anchors(text: Column) -> Column:
-    """The sketch of a text: at most ``SKETCH`` ascending hashes of its closed syncmers, see :func:`places`."""
+    """The sketch of a text: ascending hashes of its closed syncmers, see :func:`places`."""
     return sketch_of(places(text))
 
 
@@ -66,18 +88,33 @@ def _syncmers(pairs: Column) -> Column:
         used = F.when(F.size(at_edge) > 0, at_edge).otherwise(triples)
         return F.transform(used, lambda x: F.struct(F.xxhash64(x["a"], x["c"]).alias("hash"), x["unit"].alias("unit")))
 
-    return F.element_at(F.transform(F.array(pairs), pick), 1)
+    return let(pairs, pick)
 
 
 def as_text(sketch: Column) -> Column:
     return F.array_join(F.transform(sketch, lambda x: F.lpad(F.lower(F.hex(x)), DIGITS, "0")), "")
 
 
+def reach(sketch: Column) -> Column:
+    """Up to where a sketch holds every hash of its text."""
+    return F.when(F.size(sketch) < LEAST, F.lit(1 << BITS)).otherwise(F.greatest(F.element_at(sketch, -1), F.lit(BELOW)))
+
+
 def likeness(a: Column, b: Column) -> Column:
-    """Jaccard similarity of the hashes of two texts' :func:`places`, all of them; 1 for two empty ones."""
-    a, b = a["hash"], b["hash"]
-    both = F.size(F.array_union(a, b))
-    return F.when(both == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / both)
+    """Jaccard similarity of two sketches as far as both reach; 1 for two empty ones.
+
+    It is that of all anchors where both texts have fewer than ``LEAST``, and an unbiased estimate of it otherwise. It is
+    1 only if the sketches are equal.
+    """
+    def compared(x: Column) -> Column:
+        both = F.size(F.array_union(x["a"], x["b"]))
+        return F.when(both == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(x["a"], x["b"])) / both)
+
+    def within(x: Column, common: Column) -> Column:
+        return F.struct(*[F.filter(x[side], lambda h: h <= common).alias(side) for side in "ab"])
+
+    return let(F.struct(a.alias("a"), b.alias("b")), lambda x: let(
+        F.least(reach(x["a"]), reach(x["b"])), lambda common: let(within(x, common), compared)))
 
 
 def located_anchors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -123,20 +160,17 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     empty; a null doc_id comes first; an empty table gives no row; other columns are not read.
     """
     texts = plain(docs, id_col, text_col).select(
-        "doc_id", F.xxhash64("text").alias("hash"), "text"
+        "doc_id", F.xxhash64("text").alias("hash"), "text", anchors(F.col("text")).alias("own")
     )
-    placed = beside_next(texts, ["hash", "text"])
+    placed = beside_next(texts, ["hash", "text", "own"])
     n = F.char_length("text")
     cut = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next_text"), F.lit(1), cut))
-    made = placed.select("doc_id", n.cast("bigint").alias("n_chars"), edited.alias("edited"), "text", "next_text")
-    both = made.select(
-        "doc_id", "n_chars", "edited", places(F.col("text")).alias("own"), places(F.col("edited")).alias("changed"),
-        places(F.col("next_text")).alias("next"),
-    )
+    made = placed.select("doc_id", n.cast("bigint").alias("n_chars"), edited.alias("edited"), "own", "next_own")
+    both = made.select("*", anchors(F.col("edited")).alias("changed"))
     return both.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        as_text(sketch_of(F.col("own"))).alias("fingerprint"), as_text(sketch_of(F.col("changed"))).alias("edited_fingerprint"),
+        as_text(F.col("own")).alias("fingerprint"), as_text(F.col("changed")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("changed")).alias("near_edited"),
-        likeness(F.col("own"), F.col("next")).alias("near_next"),
+        likeness(F.col("own"), F.col("next_own")).alias("near_next"),
     )
