@@ -8,6 +8,7 @@ from suite.base import Tables, query, rounded, stamp
 from suite.sql import CLUSTERS, ENH, FEAT, LABELS, PROC, r, stamp as sql_stamp
 from tremor.learning.models import trainable, training_rows
 from tremor.operators import dedup, hazard, maintain, stats
+from tremor.operators.digests import narrowed_join
 from tremor.operators.density import with_cell_counts, with_grid_cells
 from tremor.plans import served
 
@@ -95,6 +96,31 @@ def _(t: Tables):
     return dedup.missing_parents(t.catalog, parents, "id").select("id")
 
 
+def scan(t: Tables, name: str):
+    return t.spark.read.parquet(f"{t.folder}/{name}.parquet")
+
+
+@query("j8_narrowed_in", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity >= 49)")
+def _(t: Tables):
+    """Orders with a large line; the keys of the smaller side keep the other out of the shuffle."""
+    large = scan(t, "lineitem").filter("l_quantity >= 49").select(c("l_orderkey").alias("o_orderkey"))
+    return narrowed_join(scan(t, "orders").select("o_orderkey", "o_totalprice"), large, ["o_orderkey"], "left_semi", limit=0)
+
+
+@query("j10_narrowed_missing", "SELECT c_custkey, c_acctbal FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice >= 100000)")
+def _(t: Tables):
+    """Customers without a dear order: the smaller side has the rows, the larger side the references."""
+    dear = scan(t, "orders").filter("o_totalprice >= 100000")
+    return dedup.missing_parents(scan(t, "customer").select("c_custkey", "c_acctbal"), dear, "c_custkey", "o_custkey", limit=0)
+
+
+@query("j10_narrowed_lines", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_totalprice < 50000)")
+def _(t: Tables):
+    """Lines of orders outside a small set: the larger side has the rows, and most of them are kept without a shuffle."""
+    cheap = scan(t, "orders").filter("o_totalprice < 50000")
+    return dedup.missing_parents(scan(t, "lineitem").select("l_orderkey", "l_linenumber"), cheap, "l_orderkey", "o_orderkey", limit=0)
+
+
 @query("k2_labelled_events", f"""WITH RECURSIVE {CLUSTERS} SELECT proc.id, magnitude, region, risk_zone, cluster_id FROM proc JOIN clus USING (id)
  WHERE risk_zone IS NOT NULL ORDER BY magnitude DESC, proc.id LIMIT 100""")
 def _(t: Tables):

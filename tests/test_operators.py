@@ -6,7 +6,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from tremor.operators import augment, charts, dedup, density, filters, maintain, ranking, skew, stats, validate
+from tremor.operators import augment, charts, dedup, density, digests, filters, maintain, ranking, skew, stats, validate
 from tremor.operators.components import connected_components
 
 
@@ -83,6 +83,49 @@ def test_balanced_join_null_keys(spark, skewed, limit):
     assert got.columns == ["id", "g", "x", "y"] and got.filter("g is null").count() == 2
 
 
+@pytest.mark.parametrize("how", ["left_semi", "left_anti"])
+@pytest.mark.parametrize("rows,partners", [(60, 3000), (3000, 60), (3000, 3000), (3000, 0), (0, 3000)])
+@pytest.mark.parametrize("most", [None, 1])
+def test_narrowed_join_equals_join(spark, how, rows, partners, most):
+    """Either side smaller, empty sides, null and repeated keys, two keys of two types, with a digest and without."""
+    rng = random.Random(rows + partners)
+
+    def table(n):
+        made = [(rng.choice([None, "hot", *map(str, range(2000))]), rng.choice([None, 1, 2, 3]), i) for i in range(n)]
+        return spark.createDataFrame(made + [("hot", 1, -i) for i in range(n // 2)], "k string, `a b` bigint, v int")
+
+    left, right = table(rows).withColumn("block", F.lit(1)), table(partners)
+    for keys in (["k"], ["a b", "k"]):
+        got = digests.narrowed_join(left, right, keys, how, ["v"], limit=0, rows_per_split=100, most_bytes=most)
+        want = left.join(right.select(*keys), keys, how).select(*left.columns)
+        assert sorted(map(str, got.select(*left.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_digest_keeps_rows_out_of_the_shuffle(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(200_000).withColumn("v", F.hash("id")).write.parquet(path)
+    rows, wanted = spark.read.parquet(path), spark.range(5_000, 100_000, 97).select("id")
+    digest = digests.key_digest(wanted, ["id"], digests.slots_for(wanted.count()))
+    found = digest.possible(rows)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,5000)" in plan and "SortMergeJoin" not in plan
+    met = {r["id"] for r in found.collect()}
+    assert {r["id"] for r in wanted.collect()} <= met and len(met) < 0.2 * 95_000
+    assert digests.narrowed_join(rows, wanted, ["id"], "left_anti", limit=0).count() == 200_000 - wanted.count()
+
+
+def test_digest_size_is_bounded():
+    assert digests.slots_for(0) == digests.BLOCK_BITS and digests.slots_for(1 << 20) == 1 << 23
+    assert digests.slots_for(200_000_000) == 8 * digests.DIGEST_BYTES and digests.slots_for(10**9) is None
+
+
+def test_no_digest_for_keys_of_two_types(spark):
+    left, right = spark.range(10).select(F.col("id").cast("int").alias("k")), spark.range(5, 40).withColumnRenamed("id", "k")
+    assert digests.narrowed_join(left, right, ["k"], "left_anti", limit=0).count() == 5
+    left, right = (spark.createDataFrame([(x,)], "k double") for x in (0.0, -0.0))
+    assert digests.narrowed_join(left, right, ["k"], "left_semi", limit=0).count() == 1
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(0, 30)] + [(300 + rng.randint(0, 50), 300 + rng.randint(0, 50)) for _ in range(40)]

@@ -12,9 +12,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tremor.operators.digests import narrowed_join
 from tremor.operators.ranking import row_numbers
-from tremor.operators.skew import balanced_join
-from tremor.workspace import materialise
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -44,12 +43,12 @@ def except_distinct(df: DataFrame, other: DataFrame) -> DataFrame:
     return df.subtract(other)
 
 
-def new_since(df: DataFrame, snapshot: DataFrame, key: str = "id") -> DataFrame:
-    """Rows whose key is not in the snapshot."""
-    return balanced_join(df, materialise(snapshot.select(key), "snapshot-keys"), [key], "left_anti")
+def new_since(df: DataFrame, snapshot: DataFrame, key: str = "id", **options) -> DataFrame:
+    """Rows whose key is not in the snapshot. Both are read several times, see :func:`narrowed_join`."""
+    return narrowed_join(df, snapshot, [key], "left_anti", **options)
 
 
-def missing_parents(children: DataFrame, parents: DataFrame, key: str, parent_key: str = "id") -> DataFrame:
-    """Rows whose non-NULL reference has no parent."""
-    known = materialise(parents.select(F.col(parent_key).alias(key)), "parent-keys")
-    return balanced_join(children.filter(F.col(key).isNotNull()), known, [key], "left_anti")
+def missing_parents(children: DataFrame, parents: DataFrame, key: str, parent_key: str = "id", **options) -> DataFrame:
+    """Rows whose non-NULL reference has no parent. Both are read several times, see :func:`narrowed_join`."""
+    known = parents.select(F.col(parent_key).alias(key))
+    return narrowed_join(children.filter(F.col(key).isNotNull()), known, [key], "left_anti", **options)

@@ -80,7 +80,7 @@ def balanced_join(
     if small:
         return _join(left, F.broadcast(right), keys, how, nulls_match)
     heavy = F.broadcast(heavy_keys(left, keys, rows_per_split))
-    spread = spread or [f.name for f in left.schema.fields if f.name not in keys and f.dataType.typeName() != "map"]
+    spread = spread or [f.name for f in left.schema.fields if f.name not in keys and f.dataType.typeName() != "map"] or keys
     salted_left = _join(left, heavy, keys, "left", nulls_match).withColumn(
         "_salt", F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_splits")), F.lit(0).cast("bigint"))
     ).drop("_splits")
