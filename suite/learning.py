@@ -52,16 +52,29 @@ def _(t: Tables):
     return rounded(prepare.impute_medians(holes, ["depth", "magnitude"]), "depth", "magnitude", digits=9)
 
 
-# The categories that vary in the test tables, and the leading numeric features in vector order.
+# The categories that vary in the test tables, in vector order after the numeric features.
 VARYING = ["alert_standardized", "magnitude_category", "depth_category_detailed", "geographic_zone", "season"]
-LEADING = ["magnitude", "depth", "latitude", "longitude"]
-
-
-def leading(t: Tables, vector: str):
+WIDTH = len(prepare.NUMERIC)
+# Every numeric feature, and per category its values by frequency with their shares, a zero entry and the step to a one when scaled.
+WHOLE = f"""{FEAT}, whole AS (SELECT *, sqrt(pow(longitude-140,2)+pow(latitude-35,2)) AS ring_of_fire_distance, 1.5::DOUBLE*magnitude+4.8::DOUBLE AS energy_release_log,
+ magnitude * CASE geographic_zone WHEN 'indonesia' THEN 1000 WHEN 'japan' THEN 800 WHEN 'philippines' THEN 600 ELSE 200 END AS population_impact_estimate,
+ CASE geographic_zone WHEN 'indonesia' THEN 0.95::DOUBLE WHEN 'japan' THEN 0.90::DOUBLE WHEN 'philippines' THEN 0.85::DOUBLE WHEN 'chile' THEN 0.80::DOUBLE ELSE 0.30::DOUBLE END AS tectonic_activity_score FROM feat), """ + ", ".join(
+    f"""s{k} AS (SELECT {x}, row_number() OVER (ORDER BY count(*) DESC, {x})-1 AS i{k}, count(*)::DOUBLE/(sum(count(*)) OVER ()) AS share, sum(count(*)) OVER () AS n FROM feat GROUP BY {x}),
+ e{k} AS (SELECT {x}, i{k}, -share/sqrt(share*(1-share)*n/(n-1)) AS zero{k}, 1/sqrt(share*(1-share)*n/(n-1)) AS step{k} FROM s{k})""" for k, x in enumerate(VARYING))
+JOINED = "whole " + " ".join(f"JOIN e{k} USING ({x})" for k, x in enumerate(VARYING))
+SIZES = [f"(SELECT count(*) FROM e{k})" for k in range(len(VARYING))]
+
+
+def entries(t: Tables):
+    """(id, raw, scaled): both feature vectors as arrays."""
     from pyspark.ml.functions import vector_to_array
 
     _, rows = features(t)
-    return rows.select("id", vector_to_array(vector).alias("v")).select("id", *[c("v")[i].alias(n) for i, n in enumerate(LEADING)])
+    return rows.select("id", *[vector_to_array(f"features_{x}").alias(x) for x in ("raw", "scaled")])
+
+
+def numbers(vector: str):
+    return [F.get(vector, i).alias(name) for i, name in enumerate(prepare.NUMERIC)]
 
 
 @query("l2_encoded_categories", f"WITH {FEAT}, " + ", ".join(
@@ -72,15 +85,28 @@ def _(t: Tables):
     return rows.select("id", *[x for x in rows.columns if x.endswith("_index")])
 
 
-@query("l3_feature_vectors", f"WITH {FEAT} SELECT id, {', '.join(LEADING)} FROM feat")
+@query("l3_feature_vectors", f"WITH {WHOLE} SELECT id, {', '.join(r(f'{x}::DOUBLE') + f' AS {x}' for x in prepare.NUMERIC)}, "
+    + f"({WIDTH} + {' + '.join(SIZES)})::INTEGER AS entries, concat_ws(',', "
+    + ", ".join(f"({' + '.join([str(WIDTH), *SIZES[:k], f'i{k}'])})::INTEGER" for k in range(len(VARYING))) + f") AS ones FROM {JOINED}")
 def _(t: Tables):
-    return leading(t, "features_raw")
+    """Every entry: the numeric ones by value, the encoded ones by the places of the ones among zeros."""
+    place = F.transform("raw", lambda x, i: F.when((i >= WIDTH) & (x != 0), F.when(x == 1, i).otherwise(-1)))
+    rows = entries(t).select("id", *numbers("raw"), F.size("raw").alias("entries"), F.array_join(F.array_compact(place), ",").alias("ones"))
+    return rounded(rows, *prepare.NUMERIC)
 
 
-@query("l4_scaled_features", f"WITH {FEAT} SELECT id, " + ", ".join(
-    f"{r(f'({x}-avg({x}) OVER ())/stddev_samp({x}) OVER ()')} AS {x}" for x in LEADING) + " FROM feat")
+@query("l4_scaled_features", f"WITH {WHOLE} SELECT id, " + ", ".join(
+    f"{r(f'({x}-avg({x}) OVER ())/stddev_samp({x}) OVER ()')} AS {x}" for x in prepare.NUMERIC)
+    + f", {r(' + '.join(f'zero{k}+step{k}' for k in range(len(VARYING))))} AS ones, "
+    + r(" + ".join(f"(SELECT sum(zero{k}) FROM e{k}) + step{k}" for k in range(len(VARYING)))) + f" AS encoded FROM {JOINED}")
 def _(t: Tables):
-    return rounded(leading(t, "features_scaled"), *LEADING)
+    """Every numeric entry; of the encoded ones the sum of those that stand for a row's categories, and of all."""
+    def total(values):
+        return F.aggregate(F.slice(values, F.lit(WIDTH + 1), F.size("raw")), F.lit(0.0), lambda a, x: a + x)
+
+    ones = F.zip_with("raw", "scaled", lambda x, y: F.when(x == 1, y).otherwise(0.0))
+    rows = entries(t).select("id", *numbers("scaled"), total(ones).alias("ones"), total(c("scaled")).alias("encoded"))
+    return rounded(rows, *prepare.NUMERIC, "ones", "encoded")
 
 
 @query("l5_principal_components", "SELECT i::INTEGER AS component, true AS uncorrelated, true AS descending FROM range(10) g(i)")
