@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from suite.base import Tables, query, rounded
-from suite.sql import CLUSTERS, EV, LABELS, PROC, VALID, r
+from suite.base import Tables, query, rounded, stamp as as_text
+from suite.sql import CLUSTERS, EV, LABELS, PROC, REGION, VALID, r, stamp
 from tremor.operators import hazard
 from tremor.operators.augment import augment
 from tremor.operators.dbscan import dbscan
@@ -77,17 +77,22 @@ def _(t: Tables):
     return hazard.majority_risk(events.withColumn("risk_zone", cluster_risk(c("magnitude"))))
 
 
-@query("zone_ranking", f"""WITH RECURSIVE {LABELS} SELECT cluster_id, 'Hazard Zone ' || (cluster_id+1) AS cluster_name, count(*) AS "count", {r('avg(hazard_score)')} AS avg_hazard_score, max(magnitude) AS max_magnitude
- FROM proc JOIN labels USING (id) WHERE cluster_id <> -1 GROUP BY cluster_id""")
+@query("zone_ranking", f"""WITH RECURSIVE {LABELS}, j AS (SELECT proc.*, cluster_id FROM proc JOIN labels USING (id) WHERE cluster_id <> -1),
+ top AS (SELECT cluster_id, region AS dominant_region FROM j GROUP BY cluster_id, region QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY count(*) DESC, region)=1)
+ SELECT cluster_id, 'Hazard Zone ' || (cluster_id+1) AS cluster_name, count(*) AS "count", {r('avg(magnitude)')} AS avg_magnitude, max(magnitude) AS max_magnitude,
+ {r('avg(depth)')} AS avg_depth, {r('avg(hazard_score)')} AS avg_hazard_score, count(*) FILTER (tsunami=1) AS tsunami_events,
+ count(*) FILTER (alert IN ('orange','red')) AS high_alert_events, any_value(dominant_region) AS dominant_region,
+ {r('avg(latitude)')} AS latitude_center, {r('avg(longitude)')} AS longitude_center FROM j JOIN top USING (cluster_id) GROUP BY cluster_id""")
 def _(t: Tables):
-    return rounded(master.zone_ranking(t.catalog), "avg_hazard_score").select(
-        "cluster_id", "cluster_name", "count", "avg_hazard_score", "max_magnitude")
+    return rounded(master.zone_ranking(t.catalog), "avg_magnitude", "avg_depth", "avg_hazard_score", "latitude_center", "longitude_center")
 
 
-@query("ingest_features", f"""WITH {EV} SELECT id, magnitude*magnitude AS magnitude_squared, 'spark_processed' AS processing_stage,
- regexp_replace(place, '[^a-zA-Z0-9\\s,-]', '', 'g') AS place FROM ev WHERE {VALID}""")
+@query("ingest_features", f"""WITH {EV} SELECT * EXCLUDE (event_type, user_id) REPLACE ({stamp('time')} AS time, {stamp('updated')} AS updated, regexp_replace(place, '[^a-zA-Z0-9\\s,-]', '', 'g') AS place),
+ {REGION} AS indonesian_region, {r('sqrt(pow(latitude+6.2088::DOUBLE,2)+pow(longitude-106.8456::DOUBLE,2))*111')} AS distance_from_jakarta,
+ magnitude*magnitude AS magnitude_squared, 'spark_processed' AS processing_stage FROM ev WHERE {VALID}""")
 def _(t: Tables):
-    return master.ingest(t.catalog).select("id", "magnitude_squared", "processing_stage", "place")
+    rows = rounded(master.ingest(t.catalog), "distance_from_jakarta")
+    return rows.withColumns({x: as_text(x) for x in ("time", "updated")})
 
 
 @query("g4_augmented_ids", f"WITH {EV} SELECT id, magnitude_type, source FROM (SELECT id, magnitude_type, CAST(NULL AS VARCHAR) AS source FROM ev UNION ALL SELECT id || '_spark_aug_' || i, magnitude_type, 'augmented' FROM ev, range(1,3) g(i))")
