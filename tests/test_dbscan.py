@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from tremor.operators import dbscan as module
 from tremor.operators.dbscan import dbscan
 
 
@@ -117,3 +118,18 @@ def test_hot_cut_block_next_to_loose_points(spark):
     rows = [(f"h{i:05d}", 10 + rng.random() * 0.3, 20 + rng.random() * 0.3) for i in range(700)]
     rows += [(f"l{i:05d}", 10 + math.degrees(eps) * (0.7 + 0.06 * i), 20.1) for i in range(12)]
     assert run(spark, rows, eps, 40) == brute(rows, eps, 40)
+
+
+def test_linked_cubes_are_not_compared_again(spark, monkeypatch):
+    """Dense cubes that samples have put into one cluster need no block pairs; two clouds apart stay two clusters."""
+    rng = random.Random(5)
+    rows = [(f"e{i:04d}", rng.uniform(0, 1) + i % 2 * 20, rng.uniform(0, 1)) for i in range(1200)]
+    compared, plain = [], module._dense_links
+
+    def counted(points, blocks, pairs, p):
+        compared.append(pairs.count())
+        return plain(points, blocks, pairs, p)
+
+    monkeypatch.setattr(module, "_dense_links", counted)
+    assert run(spark, rows, 0.004, 5) == brute(rows, 0.004, 5)
+    assert compared == [0]
