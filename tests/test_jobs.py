@@ -10,6 +10,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tremor.learning import metrics, models, registry, split
@@ -286,6 +287,24 @@ def test_models_of_a_single_class(spark):
         models.compare_models(rows.limit(0))
 
 
+def test_models_of_two_classes_after_an_observation(spark):
+    """A session that has seen an observation cannot be sent to tasks; models must not hold it."""
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    rows = spark.range(60).select(
+        F.concat(F.lit("e"), "id").alias("id"), F.when(F.col("id") % 2 == 0, "Low").otherwise("High").alias("risk_zone"),
+        (F.col("id") % 5 == 0).alias("is_test"), *[(F.col("id") % 2 + k).cast("double").alias(x) for k, x in enumerate(models.BASIC_FEATURES)])
+    fitted, _ = models.compare_models(rows, trees=2)
+    for model in fitted.values():
+        assert {tuple(r) for r in model.transform(rows).groupBy("predicted_zone").count().collect()} == {("Low", 30), ("High", 30)}
+    grid = {"numTrees": [1, 2], "maxDepth": [1], "minInstancesPerNode": [1], "featureSubsetStrategy": ["all"]}
+    found = models.search(rows, models.BASIC_FEATURES, grid, 2)
+    assert [r["f1_weighted"] for r in found.collect()] == [1.0, 1.0]
+    best = models.best_forest(rows, found, models.BASIC_FEATURES)
+    assert best.transform(rows).filter("predicted_zone = risk_zone").count() == 60
+
+
 def test_registry_keeps_every_run(spark, tmp_path):
     path, data = str(tmp_path / "registry"), spark.range(3)
     assert registry.registered(spark, path).count() == 0 and registry.current_model(spark, path) is None

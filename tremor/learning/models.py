@@ -24,7 +24,7 @@ from tremor.learning.metrics import grouped_metrics, weighted_metrics, with_gap
 from tremor.learning.prepare import imputer
 from tremor.learning.split import stratified_folds, stratified_split
 from tremor.operators.filters import labelled
-from tremor.workspace import constants, materialise
+from tremor.workspace import constants, materialise, new_path
 
 SEED = 42
 
@@ -89,6 +89,17 @@ def prepare_training(processed: DataFrame, clusters: DataFrame) -> DataFrame:
     return materialise(stratified_split(materialise(rows, "training-rows"), "risk_zone", 0.2, "id", SEED), "training")
 
 
+def detached(model: PipelineModel, rows: DataFrame) -> PipelineModel:
+    """The fitted model read back from a scratch folder, without its training summary.
+
+    The summary of a model of one or two classes holds the session, which cannot be sent to tasks once it has seen an
+    observation (as table refreshes make); the model could not be applied then.
+    """
+    path = new_path(rows.sparkSession, "fitted-model")
+    save(model, path)
+    return load(path)
+
+
 def compare_models(prepared: DataFrame, trees: int = 100) -> tuple[dict[str, PipelineModel], DataFrame]:
     """Fit both classifiers; (models, one row of metrics per model).
 
@@ -105,7 +116,7 @@ def compare_models(prepared: DataFrame, trees: int = 100) -> tuple[dict[str, Pip
     fitted, rows = {}, None
     for name, estimator in {"RandomForest": random_forest(trees), "LogisticRegression": logistic_regression(samples)}.items():
         back = IndexToString(inputCol="prediction", outputCol="predicted_zone", labels=indexer.labels)
-        model = Pipeline(stages=[*vector_stages(BASIC_FEATURES), estimator, back]).fit(train)
+        model = detached(Pipeline(stages=[*vector_stages(BASIC_FEATURES), estimator, back]).fit(train), train)
         fitted[name] = model
         scored = with_gap(
             weighted_metrics(materialise(model.transform(test).select("label", "prediction"), "scored")),
@@ -154,7 +165,8 @@ def forest_prefixes(train: DataFrame, valid: DataFrame, trees: list[int], settin
             rawPredictionCol=f"raw_{upto}", probabilityCol=f"probability_{upto}", predictionCol=f"prediction_{upto}", **setting,
         )
         own = vector_to_array(F.col(f"raw_{upto}"))
-        votes = forest.fit(train).transform(votes)
+        # A copy of a forest has no training summary; see :func:`detached`.
+        votes = forest.fit(train).copy().transform(votes)
         votes = votes.withColumn(f"sum_{upto}", F.zip_with(f"sum_{grown}", own, lambda a, b: a + b) if grown else own)
         prefixes.append(F.struct(
             F.lit(upto).alias("numTrees"),
@@ -206,7 +218,7 @@ def best_forest(rows: DataFrame, scores: DataFrame, features: tuple[str, ...] =
     forest = RandomForestClassifier(featuresCol="features", labelCol="label", seed=SEED, cacheNodeIds=True, **setting)
     back = IndexToString(inputCol="prediction", outputCol="predicted_zone", labels=indexer.labels)
     assemble = VectorAssembler(inputCols=list(features), outputCol="features")
-    return Pipeline(stages=[imputer(list(features)), assemble, forest, back]).fit(indexer.transform(rows))
+    return detached(Pipeline(stages=[imputer(list(features)), assemble, forest, back]).fit(indexer.transform(rows)), rows)
 
 
 def feature_importances(spark, model: PipelineModel, features: tuple[str, ...] = BASIC_FEATURES) -> DataFrame:
