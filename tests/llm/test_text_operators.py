@@ -255,6 +255,28 @@ def test_joined_model_scores_like_a_sent_one(spark, labelled, docs):
     assert x == y
 
 
+def test_texts_go_to_python_in_small_batches(spark, labelled, monkeypatch):
+    # Ten thousand texts in one Arrow batch took hundreds of MB outside the heap of every executor, which it keeps.
+    def narrow(batches, *names):
+        for batch in batches:
+            if batch.num_rows > 1000:
+                raise ValueError(f"{batch.num_rows} rows in a batch")
+            yield from zip(*[batch.column(n).to_pylist() for n in names])
+
+    many = labelled.drop("toxic").crossJoin(spark.range(6).select(F.col("id").alias("copy"))).select(
+        (F.col("copy") * 700 + F.col("doc_id")).alias("doc_id"), "text").coalesce(1).cache()
+    labels = many.join(labelled.select("text", "toxic"), "text").select("doc_id", "toxic")
+    scores = toxicity.toxicity(many, toxicity.train(many, labels)).toPandas()
+    for module in (toxicity, packing):
+        monkeypatch.setattr(module, "rows_of", narrow)
+    model = toxicity.train(many, labels)
+    ordinary = set(scores[scores.predicted == 0].doc_id)
+    assert set(toxicity.drop_toxic(many, model).toPandas().doc_id) == ordinary and 0 < len(ordinary) < 4200
+    assert packing.pack_documents(many, WORD_BPE).select("doc_id").distinct().count() == 4200
+    monkeypatch.setattr(toxicity, "SMALL_ROWS", 0)  # as if the toxic texts were too many to be sent
+    assert set(toxicity.drop_toxic(many, model).toPandas().doc_id) == ordinary
+
+
 # 7: mixing
 
 

@@ -10,6 +10,7 @@ task becomes sequences whose lengths are powers of two, so there is no padding a
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -18,7 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tremor.llm.base import per_process, plain, rows_of, ship_by_value
+from tremor.llm.base import per_process, plain, rows_of, ship_by_value, small_batches
+from tremor.workspace import materialise
 
 CAPACITY = 4096
 END_ID = 2
@@ -26,7 +28,7 @@ LINEAR, QUADRATIC = 1.0, 1.0 / 4096
 # Sequences of one block; bounds the memory of a task.
 BLOCK_SEQUENCES = 256
 # Words whose ids a worker remembers.
-HELD_WORDS = 600_000
+HELD_WORDS = 150_000
 # Characters of the words it remembers: runs of encoded data can be as long as their texts.
 HELD_CHARACTERS = 32_000_000
 PIECES = (
@@ -67,6 +69,8 @@ class WordIds:
         import tiktoken
         from tokenizers import Tokenizer
 
+        # Tasks run side by side already; each thread of the tokenizer would keep memory of its own.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             vocabulary = json.load(file)["model"]["vocab"]
@@ -251,7 +255,8 @@ def pack_documents(
     little-endian 32-bit numbers; doc_tokens, all ids of the document with the closing ``end_id``; sequence_id;
     offset in the sequence. A null or empty text is its end id alone; a null doc_id stays null; repeated rows are
     documents of their own; an empty table gives no row. Each id lies in one piece, each sequence is gapless and
-    either full or as long as a power of two. ``tokenizer`` names a file every executor can open.
+    either full or as long as a power of two. ``tokenizer`` names a file every executor can open. The pieces are
+    written: the texts, which are long, go to Python in small batches.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +270,8 @@ def pack_documents(
             columns = zip(*out) if out else [[]] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    return plain(docs, id_col, text_col).mapInArrow(run, PIECES)
+    with small_batches(docs.sparkSession):
+        return materialise(plain(docs, id_col, text_col).mapInArrow(run, PIECES), "packed-pieces")
 
 
 ship_by_value(__name__)

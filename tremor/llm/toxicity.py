@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremor.llm.base import SMALL_ROWS, SPACE, in_chunks, per_process, plain, rows_of, ship_by_value
+from tremor.llm.base import SMALL_ROWS, SPACE, in_chunks, per_process, plain, rows_of, ship_by_value, small_batches
+from tremor.operators.digests import narrowed_join
 from tremor.operators.skew import balanced_join, is_small
 from tremor.workspace import materialise
 
@@ -354,8 +355,11 @@ def train(
     right = F.broadcast(known) if is_small(known, SMALL_ROWS) else known
     labelled = texts.join(right, F.col("doc_id") == F.col("_id")).drop("_id")
     labelled = materialise(labelled, "toxic-training")
-    model = Model(log_ratios(materialise(count_grams(labelled.filter("fold < 4").select("text", "toxic")), "toxic-grams")), limit)
-    checked = materialise(features(labelled.filter("fold = 4"), model, ("toxic",)), "toxic-features")
+    with small_batches(docs.sparkSession):
+        grams = materialise(count_grams(labelled.filter("fold < 4").select("text", "toxic")), "toxic-grams")
+    model = Model(log_ratios(grams), limit)
+    with small_batches(docs.sparkSession):
+        checked = materialise(features(labelled.filter("fold = 4"), model, ("toxic",)), "toxic-features")
     model.logistic = fit_logistic(checked)
     return model
 
@@ -373,9 +377,12 @@ def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 
 def drop_toxic(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text scores below 0.5, with all their columns."""
+    """The rows of ``docs`` whose text scores below 0.5, with all their columns.
+
+    Only the keys of the other texts come back from Python, and are written.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
     if not model.small:
-        text = F.coalesce(F.col(text_col), F.lit(""))
         scored = joined_features(docs.select(text.alias("text")), model)
         none = score_column(F.lit(0.0), F.lit(0.0), model.logistic)
         toxic = scored.filter(score_column(F.col("mean"), F.col("top"), model.logistic) >= 0.5).select(F.col("key").alias("_key"))
@@ -389,12 +396,14 @@ def drop_toxic(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, logistic = tables_of(held.value), held.value[-1]
-        for batch in batches:
-            texts = (text.as_py() or "" for text in batch.column(text_col))
-            keep = [score_of(*word_features(text, *tables), logistic) < 0.5 for text in texts]
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+        toxic = ((key,) for text, key in rows_of(batches, "text", "_key") if not score_of(*word_features(text, *tables), logistic) < 0.5)
+        yield from in_chunks(toxic, lambda rows: pa.RecordBatch.from_arrays([pa.array([k for k, in rows], pa.binary())], names=["_key"]))
+
+    keyed = docs.select(text.alias("text"), text_key(text).alias("_key"))
+    with small_batches(docs.sparkSession):
+        toxic = materialise(keyed.mapInArrow(run, "_key binary").distinct(), "toxic-texts")
+    marked = docs.select(F.struct(*docs.columns).alias("_doc"), text_key(text).alias("_key"), F.monotonically_increasing_id().alias("_row"))
+    return narrowed_join(marked, toxic, ["_key"], "left_anti", ["_row"], limit=SMALL_ROWS).select("_doc.*")
 
 
 ship_by_value(__name__)
