@@ -270,6 +270,32 @@ def test_silhouettes_are_the_evaluators(spark):
     assert models.silhouettes(alone.limit(0), {1: "one"}, "f").count() == 0
 
 
+def test_k_means_keeps_vectors_on_disk(spark, monkeypatch):
+    """The fits hold no vectors in the memory for storage, and the scores need no Python workers."""
+    data = spark.range(300).select(array_to_vector(F.array(F.randn(1) + F.col("id") % 3 * 4, F.randn(2))).alias("f"))
+    before = {i.id() for i in spark.sparkContext._jsc.sc().getRDDStorageInfo()}
+    seen, plans, scored = [], [], models.silhouettes
+
+    def watched(*arguments):
+        seen.extend(i for i in spark.sparkContext._jsc.sc().getRDDStorageInfo() if i.id() not in before)
+        found = scored(*arguments)
+        plans.append(found._jdf.queryExecution().toString())
+        return found
+
+    monkeypatch.setattr(models, "silhouettes", watched)
+    best, scores = models.choose_k_means(data, range(2, 4), "f")
+    assert seen and not any(i.memSize() for i in seen) and any(i.diskSize() for i in seen)
+    assert best.getSolver() == "row" and not any(x in plans[0] for x in ("InArrow", "ExistingRDD")) and scores.count() == 2
+
+
+def test_silhouettes_of_equal_rows(spark):
+    """Rows that are all equal make one cluster, whatever k is asked for."""
+    data = spark.range(20).select(array_to_vector(F.array(F.lit(1.0), F.lit(2.0))).alias("f"))
+    best, scores = models.choose_k_means(data, range(2, 4), "f")
+    assert sorted(map(tuple, scores.collect())) == [(2, 0.0), (3, 0.0)]
+    assert [tuple(r) for r in best.transform(data).groupBy("earthquake_cluster").count().collect()] == [(0, 20)]
+
+
 def test_models_of_a_single_class(spark):
     """A catalog that forms one cluster has one risk zone; both models know that zone and nothing else."""
     rows = spark.range(40).select(
