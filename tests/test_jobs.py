@@ -3,6 +3,8 @@
 import gzip
 import json
 from collections import Counter
+from itertools import product
+from types import SimpleNamespace
 
 import pytest
 from pyspark.ml import Pipeline
@@ -13,6 +15,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from suite import base, load
+from suite.check import compare
 from tremor.learning import metrics, models, registry, split
 from tremor.sources import files, sinks
 from tremor.schemas import FEATURE
@@ -331,6 +335,45 @@ def test_models_of_two_classes_after_an_observation(spark):
     assert best.transform(rows).filter("predicted_zone = risk_zone").count() == 60
 
 
+def test_registered_search_has_every_setting(spark, monkeypatch):
+    """The query asks for the whole default grid over five folds, and its SQL lists all 81 settings."""
+    import duckdb
+
+    columns = ("latitude", "longitude", "magnitude", "depth", "spatial_density", "hazard_score")
+    rows = spark.range(3).select(F.concat(F.lit("e"), "id").alias("id"), F.lit("Low").alias("risk_zone"), F.lit(False).alias("is_test"),
+                                 *[F.col("id").cast("double").alias(x) for x in columns])
+    asked = []
+
+    def watched(rows, features=models.EXTENDED_FEATURES, grid=None, folds=5, parallelism=None):
+        asked.append(({**models.GRID, **(grid or {})}, folds))
+        found = [(*x, 0.5, 0.25, 0.75, i == 0) for i, x in enumerate(product(*asked[0][0].values()))]
+        return spark.createDataFrame(found, "numTrees int, maxDepth int, minInstancesPerNode int, featureSubsetStrategy string, f1_weighted double, f1_lowest double, f1_highest double, best boolean")
+
+    monkeypatch.setattr(models, "search", watched)
+    monkeypatch.setattr(base, "tables", lambda session, folder: SimpleNamespace(training=rows))
+    queries, oracles = load()
+    got = queries["l11_grid_search"](spark, "")
+    assert asked == [(models.GRID, 5)] and got.count() == 81
+    assert compare(got, duckdb.connect(), oracles["l11_grid_search"]) == ""
+
+
+def test_equal_forests_are_grown_once(spark, monkeypatch):
+    """Strategies that draw the same number of features share forests; their scores are those of a search of their own."""
+    rows = spark.range(90).select(
+        F.concat(F.lit("e"), "id").alias("id"), F.when(F.xxhash64("id") % 3 == 0, "Low").otherwise("High").alias("risk_zone"),
+        *[(F.col("id") * (2 * k + 3) % 17).cast("double").alias(x) for k, x in enumerate(models.EXTENDED_FEATURES)])
+    grid = {"numTrees": [2, 4], "maxDepth": [3], "minInstancesPerNode": [1], "featureSubsetStrategy": ["sqrt", "log2", "all"]}
+    grown, prefixes = [], models.forest_prefixes
+    monkeypatch.setattr(models, "forest_prefixes", lambda *a: grown.append(a[3]["featureSubsetStrategy"]) or prefixes(*a))
+    assert [models.drawn(x, 14) for x in grid["featureSubsetStrategy"]] == [4, 4, 14]
+    found = models.search(rows, grid=grid, folds=2)
+    assert Counter(grown) == {"sqrt": 2, "all": 2} and found.count() == 6
+    alone = models.search(rows, grid={**grid, "featureSubsetStrategy": ["log2"]}, folds=2)
+    assert Counter(grown) == {"sqrt": 2, "all": 2, "log2": 2}
+    scores = [{r["numTrees"]: r["f1_weighted"] for r in x.filter("featureSubsetStrategy = 'log2'").collect()} for x in (found, alone)]
+    assert scores[0] == pytest.approx(scores[1], abs=1e-12) and 0 < min(scores[0].values()) < 1
+
+
 def test_registry_keeps_every_run(spark, tmp_path):
     path, data = str(tmp_path / "registry"), spark.range(3)
     assert registry.registered(spark, path).count() == 0 and registry.current_model(spark, path) is None
